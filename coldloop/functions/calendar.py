@@ -19,7 +19,8 @@ def epoch_micros(col: Column) -> Column:
 
 
 def timestamp_text(col: Column) -> Column:
-    return F.date_format(col, "yyyy-MM-dd HH:mm:ss")
+    """Date and time; a fraction of a second appears only where there is one."""
+    return F.replace(F.date_format(col, "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit(".000000"), F.lit(""))
 
 
 def date_text(col: Column) -> Column:
