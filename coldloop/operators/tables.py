@@ -46,12 +46,16 @@ def simulation_table(sliced: DataFrame) -> DataFrame:
         .select("asset_id", "d", "k", *RAW_COLUMNS))
 
 
+# JSON defaults to milliseconds; records keep the full timestamp.
+RECORD_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+
+
 def to_records(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.select(*keys, F.to_json(F.struct("*")).alias("record"))
+    return df.select(*keys, F.to_json(F.struct("*"), RECORD_OPTIONS).alias("record"))
 
 
 def from_records(records: DataFrame, schema: T.StructType) -> DataFrame:
-    parsed = records.select(F.from_json("record", schema).alias("row"))
+    parsed = records.select(F.from_json("record", schema, RECORD_OPTIONS).alias("row"))
     return parsed.select("row.*")
 
 

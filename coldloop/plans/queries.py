@@ -12,8 +12,7 @@ from coldloop.config import FEATURES, OPTIMISATION_COLUMNS, TwinConfig
 from coldloop.functions.calendar import date_text, timestamp_text
 from coldloop.functions.numeric import half_even
 from coldloop.operators import days as D
-from coldloop.operators import evaluate, kpi, learning, registry, sequences, tables
-from coldloop.operators.metrics import run_metrics
+from coldloop.operators import evaluate, kpi, learning, metrics, registry, sequences, tables
 from coldloop.operators.ordering import with_positions
 from coldloop.operators.scorers import ModelPower, PowerLine, array_mean_udf
 from coldloop.operators.slopes import slope_degrees, with_rolling_slopes, with_slopes
@@ -362,8 +361,8 @@ def variant_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register
-def run_metrics_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_metrics(_twin(spark, sf_dir))
+def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.run_metrics(_twin(spark, sf_dir))
 
 
 @register
