@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from coldloop.config import TwinConfig
@@ -13,6 +15,32 @@ from coldloop.operators.layout import Layout, measure
 KEY = ("asset_id", "d")
 
 
+@dataclass(frozen=True)
+class Frames:
+    """Day slices together with the readings before them.
+
+    ``k`` numbers a slice from 0; rows that only serve as context have a ``k`` outside
+    it. ``keys`` are the columns within which ``pos`` has no gap before a slice row, so
+    windows over earlier rows partition by them.
+    """
+
+    df: DataFrame
+    keys: tuple[str, ...]
+
+    @property
+    def order(self) -> WindowSpec:
+        return Window.partitionBy(*self.keys).orderBy("pos")
+
+    def map(self, change: Callable[[DataFrame], DataFrame]) -> Frames:
+        return Frames(change(self.df), self.keys)
+
+    def with_columns(self, columns: dict[str, Column]) -> Frames:
+        return self.map(lambda df: df.withColumns(columns))
+
+    def slices(self, cfg: TwinConfig = TwinConfig()) -> DataFrame:
+        return self.df.where(F.col("k").between(0, cfg.rows_per_day - 1))
+
+
 def day_index(readings: DataFrame) -> DataFrame:
     """First and last position per asset and date, from counts only."""
     by_date = Window.partitionBy("asset_id").orderBy("d")
@@ -68,13 +96,28 @@ def borrowed_days(days: DataFrame, rows: int) -> DataFrame:
 
 
 def day_frames(readings: DataFrame, cfg: TwinConfig = TwinConfig(),
-               layout: Layout | None = None, wanted: DataFrame | None = None) -> DataFrame:
-    """Each asset-day's slice with the readings before it, in one bounded group.
+               layout: Layout | None = None, wanted: DataFrame | None = None) -> Frames:
+    """Frames of every asset-day, or of those ``wanted``.
 
-    ``k`` numbers the slice from 0; borrowed readings have a negative ``k``. ``wanted``
-    restricts the work to some asset-days.
+    Assets of moderate size are ordered as a whole, which shuffles each row once. Larger
+    ones, and requests for some days, are split by day.
     """
     layout = layout or measure(readings)
+    if layout.by_asset and wanted is None:
+        return frames_by_asset(readings, cfg)
+    return frames_by_day(readings, cfg, layout.day_salts, wanted)
+
+
+def frames_by_asset(readings: DataFrame, cfg: TwinConfig = TwinConfig()) -> Frames:
+    order = Window.partitionBy("asset_id").orderBy("timestamp", "reading_id")
+    rows = readings.withColumn("pos", (F.row_number().over(order) - 1).cast("bigint"))
+    start = F.greatest(F.min("pos").over(Window.partitionBy(*KEY)), F.lit(cfg.lookback))
+    return Frames(rows.withColumn("k", (F.col("pos") - start).cast("int")), ("asset_id",))
+
+
+def frames_by_day(readings: DataFrame, cfg: TwinConfig = TwinConfig(), salts: int = 1,
+                  wanted: DataFrame | None = None) -> Frames:
+    """Each day's slice with a copy of the readings before it, in one bounded group."""
     days = day_index(readings)
     sources = borrowed_days(days, cfg.context_rows)
     heads, tails = readings, readings
@@ -83,13 +126,13 @@ def day_frames(readings: DataFrame, cfg: TwinConfig = TwinConfig(),
         heads = readings.join(wanted, list(KEY), "left_semi")
         tails = readings.join(
             sources.select("asset_id", F.col("source_d").alias("d")), list(KEY), "left_semi")
-    heads = end_rows(heads, cfg.head_rows, salts=layout.day_salts)
-    tails = end_rows(tails, cfg.context_rows, newest=True, salts=layout.day_salts)
+    heads = end_rows(heads, cfg.head_rows, salts=salts)
+    tails = end_rows(tails, cfg.context_rows, newest=True, salts=salts)
     return assemble(heads, tails, days, sources, cfg)
 
 
 def assemble(heads: DataFrame, tails: DataFrame, days: DataFrame, sources: DataFrame,
-             cfg: TwinConfig) -> DataFrame:
+             cfg: TwinConfig) -> Frames:
     own = (
         heads.join(days.drop("last_pos"), list(KEY))
         .withColumn("pos", F.col("first_pos") + F.col("rank") - 1)
@@ -103,38 +146,30 @@ def assemble(heads: DataFrame, tails: DataFrame, days: DataFrame, sources: DataF
         .drop("rank", "source_d", "source_last")
     )
     start = F.greatest(F.col("first_pos"), F.lit(cfg.lookback))
-    return (
+    rows = (
         own.unionByName(borrowed)
         .withColumn("k", (F.col("pos") - start).cast("int"))
-        .where(F.col("k") < cfg.rows_per_day)
         .drop("first_pos")
     )
+    return Frames(rows, KEY)
 
 
-def by_row() -> Window:
-    return Window.partitionBy(*KEY).orderBy("pos")
+def with_lag_feature(frames: Frames) -> Frames:
+    return frames.with_columns({"T_int_lag_1": F.lag("T_int").over(frames.order)})
 
 
-def with_lag_feature(frames: DataFrame) -> DataFrame:
-    return frames.withColumn("T_int_lag_1", F.lag("T_int").over(by_row()))
+def with_seed(frames: Frames) -> Frames:
+    """Recorded temperature and state of the reading before each row.
 
-
-def with_seed(frames: DataFrame) -> DataFrame:
-    """Recorded temperature and state of the reading just before the slice, on every row."""
-    whole = Window.partitionBy(*KEY)
-    seed = F.col("k") == -1
-    return frames.withColumns({
-        "t_init": F.max(F.when(seed, F.col("T_int"))).over(whole),
-        "etat_init": F.max(F.when(seed, F.col("Etat_Compresseur"))).over(whole),
-    })
-
-
-def day_slice(frames: DataFrame) -> DataFrame:
-    return frames.where(F.col("k") >= 0)
+    On a slice's first row these are the values the controller starts from.
+    """
+    return frames.with_columns({
+        "t_init": F.lag("T_int").over(frames.order),
+        "etat_init": F.lag("Etat_Compresseur").over(frames.order)})
 
 
 def frames_for_date(readings: DataFrame, day: dt.date, cfg: TwinConfig = TwinConfig(),
-                    layout: Layout | None = None) -> DataFrame:
+                    layout: Layout | None = None) -> Frames:
     """Frames of one date over all assets, reading only the time range they need.
 
     The oldest borrowed date comes from the day index, so the scan is bounded on both

@@ -43,10 +43,10 @@ def split_date(readings: DataFrame, share: float = 2 / 3) -> dt.date:
     return first + dt.timedelta(days=int(((last - first).days + 1) * share))
 
 
-def score_thermal_variants(frames: DataFrame) -> DataFrame:
+def score_thermal_variants(frames: D.Frames) -> DataFrame:
     for scorer in thermal_variants().values():
         frames = scorer(frames)
-    return D.day_slice(frames)
+    return frames.slices()
 
 
 def _error_rows(df: DataFrame, target: str, actual: str, predicted: dict[str, str]) -> DataFrame:
@@ -57,7 +57,7 @@ def _error_rows(df: DataFrame, target: str, actual: str, predicted: dict[str, st
     return df.select(F.inline(pairs)).select("model", F.lit(target).alias("target"), "error")
 
 
-def model_errors(readings: DataFrame, frames: DataFrame, cutoff: dt.date) -> DataFrame:
+def model_errors(readings: DataFrame, frames: D.Frames, cutoff: dt.date) -> DataFrame:
     """MAE and RMSE per variant. Power models learn before ``cutoff`` and are tested after."""
     thermal = _error_rows(
         score_thermal_variants(frames), TEMPERATURE, "T_int",
@@ -87,7 +87,7 @@ def leaderboard(errors: DataFrame, models: DataFrame) -> DataFrame:
     )
 
 
-def variant_kpis(readings: DataFrame, frames: DataFrame,
+def variant_kpis(readings: DataFrame, frames: D.Frames,
                  cfg: TwinConfig = TwinConfig()) -> DataFrame:
     """KPIs of every pair of thermal and energy variants, per asset.
 

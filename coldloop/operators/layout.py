@@ -15,11 +15,17 @@ TARGET_ROWS = 1_000_000
 
 @dataclass(frozen=True)
 class Layout:
-    """How many rows the fullest asset-day holds, and the splits that follow from it."""
+    """Rows of the fullest asset and asset-day, and the splits that follow from them."""
 
+    busiest_asset: int
     busiest_day: int
     target_rows: int = TARGET_ROWS
 
+    @property
+    def by_asset(self) -> bool:
+        """Whether every asset's whole history fits one task's share of rows."""
+        return self.busiest_asset <= self.target_rows
+
     @property
     def segment_seconds(self) -> int:
         for width in SEGMENT_WIDTHS:
@@ -33,7 +39,8 @@ class Layout:
 
 
 def measure(readings: DataFrame, target_rows: int = TARGET_ROWS) -> Layout:
-    """Count rows per asset-day (two columns read, pre-aggregated) and keep the maximum."""
-    per_day = readings.groupBy("asset_id", "d").count()
-    busiest = per_day.agg(F.max("count")).first()[0]
-    return Layout(busiest or 0, target_rows)
+    """Count rows per asset-day (two columns read, pre-aggregated) and keep the maxima."""
+    per_asset = readings.groupBy("asset_id", "d").count().groupBy("asset_id").agg(
+        F.sum("count").alias("rows"), F.max("count").alias("day_rows"))
+    asset, day = per_asset.agg(F.max("rows"), F.max("day_rows")).first()
+    return Layout(asset or 0, day or 0, target_rows)

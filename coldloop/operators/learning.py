@@ -18,16 +18,16 @@ from coldloop.session import scratch_path
 from coldloop.sources.readings import with_time_features
 
 
-def lookback_vectors(frames: DataFrame, scaler: DataFrame,
+def lookback_vectors(frames: D.Frames, scaler: DataFrame,
                      cfg: TwinConfig = TwinConfig()) -> DataFrame:
     """Slice rows with the flattened, scaled lookback as an ML vector.
 
     The very first reading of an asset has no predecessor; its own temperature fills in.
     """
-    filled = with_time_features(D.with_lag_feature(frames)).withColumns({
-        "T_int_lag_1": F.coalesce("T_int_lag_1", "T_int"), "actual": F.col("T_int"),
-        "state": F.col("Etat_Compresseur")})
-    rows = D.day_slice(flat_lookback(with_lookback(scale(filled, scaler), cfg)))
+    filled = D.with_lag_feature(frames).map(with_time_features).with_columns({
+        "T_int_lag_1": F.coalesce("T_int_lag_1", "T_int"), "actual": F.col("T_int")})
+    scaled = filled.map(lambda df: scale(df, scaler))
+    rows = flat_lookback(with_lookback(scaled, cfg).slices(cfg))
     return rows.withColumn("vector", array_to_vector(F.col("flat").cast("array<double>")))
 
 

@@ -1,8 +1,8 @@
 """Position and previous value of every reading in its asset's time order.
 
-A window over the whole asset would put one asset's history into a single task. Here rows
-are numbered inside small time segments, and each segment learns from counts alone where
-it starts. Should a single segment still be too full (many rows in one second), the rows
+Assets of a measured, moderate size take one window each. Where an asset is too large for
+one task, rows are numbered inside small time segments, and each segment learns from
+counts alone where it starts. Should a single segment still be too full (many rows in one second), the rows
 are range-partitioned instead, which splits any run of rows, equal timestamps included.
 """
 
@@ -27,11 +27,20 @@ def _segment(width: int) -> Column:
 def with_positions(readings: DataFrame, layout: Layout | None = None) -> DataFrame:
     """Adds ``pos`` (from 0, per asset) and ``T_int_lag_1`` to every reading."""
     layout = layout or measure(readings)
+    if layout.by_asset:
+        return positions_by_asset(readings)
     if layout.segment_seconds < DAY_SECONDS and _crowded(readings, layout):
         return positions_by_range(readings)
     return positions_by_segment(readings, layout.segment_seconds)
 
 
+def positions_by_asset(readings: DataFrame) -> DataFrame:
+    order = Window.partitionBy("asset_id").orderBy("timestamp", "reading_id")
+    return readings.withColumns({
+        "pos": (F.row_number().over(order) - 1).cast("bigint"),
+        "T_int_lag_1": F.lag("T_int").over(order)})
+
+
 def _crowded(readings: DataFrame, layout: Layout) -> bool:
     segments = readings.groupBy("asset_id", "d", _segment(layout.segment_seconds)).count()
     return segments.agg(F.max("count")).first()[0] > CROWDED * layout.target_rows

@@ -1,7 +1,7 @@
 """Temperature and power scorers.
 
-A thermal scorer is a function from day frames to day frames with ``t_int_pred``; a power
-scorer predicts kW from a temperature column and a state column.
+A thermal scorer is a function from frames to frames with ``t_int_pred``; a power scorer
+predicts kW from a temperature column and a state column.
 """
 
 from __future__ import annotations
@@ -18,9 +18,9 @@ from coldloop.config import TwinConfig
 from coldloop.functions.numeric import (
     POWER_DIGITS, from_fixed, half_even, nan_to_null, to_fixed,
 )
-from coldloop.operators.days import by_row
+from coldloop.operators.days import Frames
 
-ThermalScorer = Callable[[DataFrame], DataFrame]
+ThermalScorer = Callable[[Frames], Frames]
 SENSOR_DIGITS = 2
 
 
@@ -30,17 +30,17 @@ def lookback_mean(steps: int = 12, recency: bool = False, digits: int = SENSOR_D
 
     With ``recency`` the newest reading weighs ``steps`` times as much as the oldest.
     """
-    def score(frames: DataFrame) -> DataFrame:
+    def score(frames: Frames) -> Frames:
         reading = to_fixed(F.col("T_int"), digits)
         if recency:
             value = F.lit(0).cast("bigint")
             for age in range(1, steps + 1):
-                value = value + F.lag(reading, age).over(by_row()) * (steps + 1 - age)
+                value = value + F.lag(reading, age).over(frames.order) * (steps + 1 - age)
             mean = value / F.lit(steps * (steps + 1) // 2)
         else:
-            frame = by_row().rowsBetween(-steps, -1)
-            mean = F.try_divide(F.sum(reading).over(frame), F.count(reading).over(frame))
-        return frames.withColumn(out, from_fixed(F.floor(mean), digits))
+            before = frames.order.rowsBetween(-steps, -1)
+            mean = F.try_divide(F.sum(reading).over(before), F.count(reading).over(before))
+        return frames.with_columns({out: from_fixed(F.floor(mean), digits)})
     return score
 
 
@@ -51,14 +51,12 @@ def array_mean_udf(steps: int = 12, digits: int = SENSOR_DIGITS) -> ThermalScore
         units = np.rint(np.vstack(values.to_numpy()) * 10 ** digits)
         return pd.Series(np.floor(units.sum(axis=1) / units.shape[1]) / 10 ** digits)
 
-    def score(frames: DataFrame) -> DataFrame:
-        before = F.collect_list("T_int").over(by_row().rowsBetween(-steps, -1))
-        return (
-            frames.withColumn("before", before)
-            .withColumn("t_int_pred", F.when(F.size("before") == steps, F.col("before")))
-            .where("t_int_pred is not null")
-            .withColumn("t_int_pred", floor_mean("t_int_pred")).drop("before")
-        )
+    def score(frames: Frames) -> Frames:
+        before = F.collect_list("T_int").over(frames.order.rowsBetween(-steps, -1))
+        full = frames.with_columns({"before": before}).map(
+            lambda df: df.where(F.size("before") == steps))
+        return full.with_columns({"t_int_pred": floor_mean("before")}).map(
+            lambda df: df.drop("before"))
     return score
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from coldloop.config import FEATURES, TwinConfig
-from coldloop.operators.days import KEY, by_row
+from coldloop.operators.days import KEY, Frames
 from coldloop.sources.readings import with_time_features
 
 
@@ -60,11 +60,11 @@ def scale(df: DataFrame, scaler: DataFrame) -> DataFrame:
     )
 
 
-def with_lookback(frames: DataFrame, cfg: TwinConfig = TwinConfig()) -> DataFrame:
+def with_lookback(frames: Frames, cfg: TwinConfig = TwinConfig()) -> Frames:
     """Adds ``lookback``: the rows before each row, oldest first, as float32 arrays."""
     row = F.array(*(F.col(f).cast(T.FloatType()) for f in FEATURES))
-    frame = by_row().rowsBetween(-cfg.lookback, -1)
-    return frames.withColumn("lookback", F.collect_list(row).over(frame))
+    before = frames.order.rowsBetween(-cfg.lookback, -1)
+    return frames.with_columns({"lookback": F.collect_list(row).over(before)})
 
 
 def lookback_values(sequences: DataFrame) -> DataFrame:

@@ -288,6 +288,9 @@ def oracle_sql() -> dict[str, str]:
     series = f"""
         SELECT {ROW}, {ts_text('ts')} AS timestamp, "T_ext", 7.0::DOUBLE AS setpoint, "T_int",
                t_int_pred, t_int_opt, "Puissance_Elec_kW", pwr_pred_ia, pwr_opt FROM twin"""
+    all_readings = f"""
+        SELECT asset_id, reading_id, {ts_text('ts')} AS timestamp, {D_TEXT}, pos, {RECORDED}
+        FROM ordered"""
     requests = "SELECT asset_id, CAST(d + 15 AS DATE) AS d FROM days"
     forecast_out = f"SELECT {ROW}, t_int_pred FROM forecast"
     control_out = f"SELECT {ROW}, t_int_opt, etat_opt FROM controlled"
@@ -336,9 +339,9 @@ def oracle_sql() -> dict[str, str]:
     root = "'trained_models/modeles_'"
     thermal = "family = 'physiciens'"
     return {
-        "readings": statement(b, f"""
-            SELECT asset_id, reading_id, {ts_text('ts')} AS timestamp, {D_TEXT}, pos, {RECORDED}
-            FROM ordered"""),
+        "readings": statement(b, all_readings),
+        "readings_split": statement(b, all_readings),
+        "readings_by_range": statement(b, all_readings),
         "features": statement(b, f"""
             SELECT asset_id, reading_id, {ts_text('ts')} AS timestamp, "T_ext", "T_int",
                    "Etat_Compresseur", "T_int_lag_1", {_cyclic()} FROM ordered"""),
@@ -382,7 +385,9 @@ def oracle_sql() -> dict[str, str]:
         "stream_controller": statement(c, control_out),
         "energy_optimised": statement(t, f"SELECT {ROW}, t_int_opt, etat_opt, pwr_opt FROM twin"),
         "twin_day": statement(t, full),
+        "twin_day_split": statement(t, full),
         "fleet_twin_day": statement(fleet, full),
+        "fleet_twin_day_split": statement(fleet, full),
         "twin_latest_date": statement(t, f"""
             SELECT {ROW}, t_int_pred, pwr_pred_ia, t_int_opt, etat_opt, pwr_opt FROM twin
             WHERE d = (SELECT max(d) FROM source)"""),

@@ -13,7 +13,9 @@ from coldloop.functions.calendar import date_text, timestamp_text
 from coldloop.functions.numeric import half_even
 from coldloop.operators import days as D
 from coldloop.operators import evaluate, kpi, learning, metrics, registry, sequences, tables
-from coldloop.operators.ordering import with_positions
+from coldloop.operators.ordering import (
+    positions_by_range, positions_by_segment, with_positions,
+)
 from coldloop.operators.scorers import ModelPower, PowerLine, array_mean_udf
 from coldloop.operators.slopes import slope_degrees, with_rolling_slopes, with_slopes
 from coldloop.plans.twin import controlled, forecast, twin_date, twin_days, twin_from_frames
@@ -70,6 +72,20 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edge(rows, "asset_id", "reading_id", "timestamp", "d", "pos", *RECORDED)
 
 
+@register
+def readings_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions by ten-minute segments, the way large assets are numbered."""
+    rows = positions_by_segment(read_events(spark, sf_dir), 600)
+    return edge(rows, "asset_id", "reading_id", "timestamp", "d", "pos", *RECORDED)
+
+
+@register
+def readings_by_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions by a global sort, the way crowded segments are numbered."""
+    rows = positions_by_range(read_events(spark, sf_dir))
+    return edge(rows, "asset_id", "reading_id", "timestamp", "d", "pos", *RECORDED)
+
+
 @register
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = with_time_features(with_positions(read_events(spark, sf_dir)))
@@ -89,7 +105,7 @@ def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = read_events(spark, sf_dir)
     counts = source.groupBy("asset_id").agg(
         F.count("*").alias("readings"), F.countDistinct("d").alias("dates"))
-    rows = D.day_slice(D.day_frames(source, CFG)).groupBy("asset_id").agg(
+    rows = D.day_frames(source, CFG).slices(CFG).groupBy("asset_id").agg(
         F.count("*").alias("slice_rows"))
     joined = counts.join(rows, "asset_id", "left")
     return joined.select("asset_id", "readings", "dates",
@@ -100,7 +116,7 @@ def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Days ------------------------------------------------------------------------------------
 
 
-def _frames(spark: SparkSession, sf_dir: str, assets: int | None = 2) -> DataFrame:
+def _frames(spark: SparkSession, sf_dir: str, assets: int | None = 2) -> D.Frames:
     return D.day_frames(read_events(spark, sf_dir, assets), CFG)
 
 
@@ -128,13 +144,13 @@ def day_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def day_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = D.day_slice(_frames(spark, sf_dir))
+    rows = _frames(spark, sf_dir).slices(CFG)
     return edge(rows, *DAY_ROW, "pos", "timestamp", *RECORDED)
 
 
 @register
 def day_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seeded = D.with_seed(_frames(spark, sf_dir)).where("k = 0")
+    seeded = D.with_seed(_frames(spark, sf_dir)).df.where("k = 0")
     return edge(seeded, "asset_id", "d", "t_init", "etat_init")
 
 
@@ -146,9 +162,10 @@ def day_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def lookback_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = read_events(spark, sf_dir)
-    frames = with_time_features(D.with_lag_feature(D.day_frames(source, CFG)))
-    scaled = sequences.scale(frames, sequences.fit_scaler(source))
-    rows = D.day_slice(sequences.with_lookback(scaled, CFG))
+    frames = D.with_lag_feature(D.day_frames(source, CFG)).map(with_time_features)
+    scaler = sequences.fit_scaler(source)
+    scaled = frames.map(lambda df: sequences.scale(df, scaler))
+    rows = sequences.with_lookback(scaled, CFG).slices(CFG)
     return edge(six(sequences.lookback_values(rows), "value"))
 
 
@@ -201,20 +218,35 @@ def energy_optimised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edge(_twin(spark, sf_dir), *DAY_ROW, "t_int_opt", "etat_opt", "pwr_opt")
 
 
-def full_twin(source: DataFrame) -> DataFrame:
-    frames = with_time_features(D.with_lag_feature(D.day_frames(source, CFG)))
+def full_twin(source: DataFrame, frames: D.Frames) -> DataFrame:
+    frames = D.with_lag_feature(frames).map(with_time_features)
     return edge(six(twin_from_frames(frames, PowerLine.fit(source), CFG), *CYCLIC), *TWIN_COLUMNS)
 
 
 @register
 def twin_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return full_twin(read_events(spark, sf_dir))
+    source = read_events(spark, sf_dir)
+    return full_twin(source, D.day_frames(source, CFG))
+
+
+@register
+def twin_day_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plan for assets too large for one task: days in groups of their own, salted."""
+    source = read_events(spark, sf_dir)
+    return full_twin(source, D.frames_by_day(source, CFG, salts=4))
 
 
 @register
 def fleet_twin_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every user an asset of its own: many assets with sparse days."""
-    return full_twin(read_events(spark, sf_dir, assets=None))
+    source = read_events(spark, sf_dir, assets=None)
+    return full_twin(source, D.day_frames(source, CFG))
+
+
+@register
+def fleet_twin_day_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = read_events(spark, sf_dir, assets=None)
+    return full_twin(source, D.frames_by_day(source, CFG))
 
 
 @register
@@ -294,7 +326,7 @@ def optimisation_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def simulation_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = with_time_features(D.day_slice(_frames(spark, sf_dir)))
+    rows = with_time_features(_frames(spark, sf_dir).slices(CFG))
     return edge(tables.simulation_table(six(rows, *CYCLIC)))
 
 

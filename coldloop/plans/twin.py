@@ -14,11 +14,11 @@ from coldloop.operators.scorers import PowerLine, PowerScorer, ThermalScorer, lo
 from coldloop.operators.slopes import with_rolling_slopes, with_slopes
 
 
-def forecast(frames: DataFrame, cfg: TwinConfig = TwinConfig(),
+def forecast(frames: D.Frames, cfg: TwinConfig = TwinConfig(),
              thermal: ThermalScorer | None = None) -> DataFrame:
     """Slice rows with the seed reading and ``t_int_pred``."""
     thermal = thermal or lookback_mean(cfg.lookback)
-    return D.day_slice(thermal(D.with_seed(frames)))
+    return thermal(D.with_seed(frames)).slices(cfg)
 
 
 def controlled(scored: DataFrame, cfg: TwinConfig = TwinConfig()) -> DataFrame:
@@ -26,7 +26,7 @@ def controlled(scored: DataFrame, cfg: TwinConfig = TwinConfig()) -> DataFrame:
     return replay(with_rolling_slopes(with_slopes(scored), cfg), cfg)
 
 
-def twin_from_frames(frames: DataFrame, power: PowerScorer, cfg: TwinConfig = TwinConfig(),
+def twin_from_frames(frames: D.Frames, power: PowerScorer, cfg: TwinConfig = TwinConfig(),
                      thermal: ThermalScorer | None = None) -> DataFrame:
     scored = forecast(frames, cfg, thermal)
     scored = power.apply(scored, "t_int_pred", "Etat_Compresseur", "pwr_pred_ia")

@@ -111,7 +111,7 @@ class StreamingTwin:
         )
         return heads.unionByName(tails).select(*READINGS_SCHEMA.names, "d", "pos")
 
-    def _frames(self, rows: DataFrame, days: DataFrame) -> DataFrame:
+    def _frames(self, rows: DataFrame, days: DataFrame) -> D.Frames:
         """Day frames for the dates that received rows, from positioned rows."""
         cfg = self.cfg
         touched = days.where(F.col("first_new").isNotNull())
