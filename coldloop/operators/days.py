@@ -29,7 +29,7 @@ class Frames:
 
     @property
     def order(self) -> WindowSpec:
-        return Window.partitionBy(*self.keys).orderBy("pos")
+        return Window.partitionBy(*self.keys).orderBy("timestamp", "reading_id")
 
     def map(self, change: Callable[[DataFrame], DataFrame]) -> Frames:
         return Frames(change(self.df), self.keys)
@@ -109,10 +109,16 @@ def day_frames(readings: DataFrame, cfg: TwinConfig = TwinConfig(),
 
 
 def frames_by_asset(readings: DataFrame, cfg: TwinConfig = TwinConfig()) -> Frames:
-    order = Window.partitionBy("asset_id").orderBy("timestamp", "reading_id")
-    rows = readings.withColumn("pos", (F.row_number().over(order) - 1).cast("bigint"))
-    start = F.greatest(F.min("pos").over(Window.partitionBy(*KEY)), F.lit(cfg.lookback))
-    return Frames(rows.withColumn("k", (F.col("pos") - start).cast("int")), ("asset_id",))
+    """Every window here and in the scorers shares one sort by asset and time."""
+    frames = Frames(readings, ("asset_id",))
+    so_far = frames.order.rowsBetween(Window.unboundedPreceding, 0)
+    frames = frames.with_columns({
+        "pos": (F.row_number().over(frames.order) - 1).cast("bigint"),
+        "same_day": F.col("d").eqNullSafe(F.lag("d").over(frames.order)),
+    })
+    first_pos = F.last(F.when(~F.col("same_day"), F.col("pos")), ignorenulls=True).over(so_far)
+    k = F.col("pos") - F.greatest(first_pos, F.lit(cfg.lookback))
+    return frames.with_columns({"k": k.cast("int")}).map(lambda df: df.drop("same_day"))
 
 
 def frames_by_day(readings: DataFrame, cfg: TwinConfig = TwinConfig(), salts: int = 1,

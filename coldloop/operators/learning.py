@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 
 from coldloop.config import TwinConfig
 from coldloop.operators import days as D
-from coldloop.operators.sequences import flat_lookback, scale, with_lookback
+from coldloop.operators.sequences import Scaler, flat_lookback, with_lookback
 from coldloop.session import scratch_path
 from coldloop.sources.readings import with_time_features
 
 
-def lookback_vectors(frames: D.Frames, scaler: DataFrame,
+def lookback_vectors(frames: D.Frames, scaler: Scaler,
                      cfg: TwinConfig = TwinConfig()) -> DataFrame:
     """Slice rows with the flattened, scaled lookback as an ML vector.
 
@@ -26,8 +26,7 @@ def lookback_vectors(frames: D.Frames, scaler: DataFrame,
     """
     filled = D.with_lag_feature(frames).map(with_time_features).with_columns({
         "T_int_lag_1": F.coalesce("T_int_lag_1", "T_int"), "actual": F.col("T_int")})
-    scaled = filled.map(lambda df: scale(df, scaler))
-    rows = flat_lookback(with_lookback(scaled, cfg).slices(cfg))
+    rows = flat_lookback(with_lookback(filled.map(scaler.apply), cfg).slices(cfg))
     return rows.withColumn("vector", array_to_vector(F.col("flat").cast("array<double>")))
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,54 +13,63 @@ from coldloop.config import FEATURES, TwinConfig
 from coldloop.operators.days import KEY, Frames
 from coldloop.sources.readings import with_time_features
 
-
-def fit_scaler(readings: DataFrame) -> DataFrame:
-    """One row with ``<feature>_mean`` and ``<feature>_std`` (population) per feature.
-
-    The lag feature holds every indoor temperature but each asset's last, so its moments
-    come from the same partial sums and no row has to be ordered.
-    """
-    direct = [f for f in FEATURES if f != "T_int_lag_1"]
-    sums = []
-    for name in direct:
-        col = F.col(name)
-        sums += [F.count(col).alias(f"{name}_n"), F.sum(col).alias(f"{name}_s"),
-                 F.sum(col * col).alias(f"{name}_q")]
-    per_asset = with_time_features(readings).groupBy("asset_id").agg(
-        *sums, F.max_by("T_int", F.struct("timestamp", "reading_id")).alias("last_value"))
-
-    last = F.col("last_value")
-    totals = [F.sum(f"{f}_{part}").alias(f"{f}_{part}") for f in direct for part in "nsq"]
-    totals += [
-        (F.sum("T_int_n") - F.count(last)).alias("T_int_lag_1_n"),
-        (F.sum("T_int_s") - F.coalesce(F.sum(last), F.lit(0.0))).alias("T_int_lag_1_s"),
-        (F.sum("T_int_q") - F.coalesce(F.sum(last * last), F.lit(0.0))).alias("T_int_lag_1_q"),
-    ]
-    stats = []
-    for name in FEATURES:
-        n, mean = F.col(f"{name}_n"), F.try_divide(F.col(f"{name}_s"), F.col(f"{name}_n"))
-        variance = F.greatest(F.try_divide(F.col(f"{name}_q"), n) - mean * mean, F.lit(0.0))
-        stats += [mean.alias(f"{name}_mean"), F.sqrt(variance).alias(f"{name}_std")]
-    return per_asset.agg(*totals).select(*stats)
-
-
-def scale(df: DataFrame, scaler: DataFrame) -> DataFrame:
-    """Replaces each feature by (x - mean) / std; a constant feature is only centred.
-
-    The scaler is a single aggregated row, attached to every reading as constants.
-    """
-    constant = F.lit(1e-9)
-    scaled = {
-        name: (F.col(name) - F.col(f"{name}_mean"))
-        / F.when(F.col(f"{name}_std") < constant, 1.0).otherwise(F.col(f"{name}_std"))
-        for name in FEATURES
-    }
-    one_row = F.broadcast(scaler.withColumn("one", F.lit(1)))
-    keep = [c for c in df.columns if c not in FEATURES]
-    return (
-        df.withColumn("one", F.lit(1)).join(one_row, "one", "left")
-        .select(*keep, *(col.alias(name) for name, col in scaled.items()))
-    )
+SCALER_SCHEMA = "feature string, mean double, std double"
+# Below this spread a feature counts as constant; sums of squares are not exact.
+CONSTANT = 1e-7
+
+
+@dataclass(frozen=True)
+class Scaler:
+    """Mean and population standard deviation of each feature, as fitted constants."""
+
+    mean: dict[str, float]
+    std: dict[str, float]
+
+    @classmethod
+    def fit(cls, readings: DataFrame) -> Scaler:
+        """One aggregated row of sums.
+
+        The lag feature holds every indoor temperature but each asset's last, so its
+        moments come from the same partial sums and no row has to be ordered.
+        """
+        direct = [f for f in FEATURES if f != "T_int_lag_1"]
+        sums = []
+        for name in direct:
+            col = F.col(name)
+            sums += [F.count(col).alias(f"{name}_n"), F.sum(col).alias(f"{name}_s"),
+                     F.sum(col * col).alias(f"{name}_q")]
+        per_asset = with_time_features(readings).groupBy("asset_id").agg(
+            *sums, F.max_by("T_int", F.struct("timestamp", "reading_id")).alias("last_value"))
+        last = F.col("last_value")
+        totals = per_asset.agg(
+            *(F.sum(f"{f}_{part}").alias(f"{f}_{part}") for f in direct for part in "nsq"),
+            (F.sum("T_int_n") - F.count(last)).alias("T_int_lag_1_n"),
+            (F.sum("T_int_s") - F.coalesce(F.sum(last), F.lit(0.0))).alias("T_int_lag_1_s"),
+            (F.sum("T_int_q") - F.coalesce(F.sum(last * last), F.lit(0.0))).alias("T_int_lag_1_q"),
+        ).first()
+        mean, std = {}, {}
+        for name in FEATURES:
+            n = totals[f"{name}_n"] or 1
+            mean[name] = (totals[f"{name}_s"] or 0.0) / n
+            variance = (totals[f"{name}_q"] or 0.0) / n - mean[name] ** 2
+            std[name] = math.sqrt(max(variance, 0.0))
+        return cls(mean, std)
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        """Replaces each feature by (x - mean) / std; a constant feature is only centred."""
+        return df.withColumns({
+            name: (F.col(name) - F.lit(self.mean[name]))
+            / F.lit(self.std[name] if self.std[name] >= CONSTANT else 1.0)
+            for name in FEATURES})
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        rows = [(name, self.mean[name], self.std[name]) for name in FEATURES]
+        spark.createDataFrame(rows, SCALER_SCHEMA).coalesce(1).write.mode("overwrite").json(path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Scaler:
+        rows = spark.read.schema(SCALER_SCHEMA).json(path).collect()  # one row per feature
+        return cls({r["feature"]: r["mean"] for r in rows}, {r["feature"]: r["std"] for r in rows})
 
 
 def with_lookback(frames: Frames, cfg: TwinConfig = TwinConfig()) -> Frames:

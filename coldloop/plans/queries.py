@@ -96,7 +96,7 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scaled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = read_events(spark, sf_dir)
     rows = with_time_features(with_positions(source))
-    scaled = sequences.scale(rows, sequences.fit_scaler(source))
+    scaled = sequences.Scaler.fit(source).apply(rows)
     return edge(six(scaled, *FEATURES), "asset_id", "reading_id", *FEATURES)
 
 
@@ -163,8 +163,7 @@ def day_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lookback_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = read_events(spark, sf_dir)
     frames = D.with_lag_feature(D.day_frames(source, CFG)).map(with_time_features)
-    scaler = sequences.fit_scaler(source)
-    scaled = frames.map(lambda df: sequences.scale(df, scaler))
+    scaled = frames.map(sequences.Scaler.fit(source).apply)
     rows = sequences.with_lookback(scaled, CFG).slices(CFG)
     return edge(six(sequences.lookback_values(rows), "value"))
 
@@ -402,9 +401,10 @@ def thermal_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Linear regression on the lookback: trained on earlier dates, scored on later ones."""
     source = read_events(spark, sf_dir)
     cutoff = evaluate.split_date(source)
+    scaler_path = scratch_path(spark, "scaler")
+    sequences.Scaler.fit(source.where(F.col("d") < F.lit(cutoff))).save(spark, scaler_path)
     vectors = learning.lookback_vectors(
-        D.day_frames(source, CFG),
-        sequences.fit_scaler(source.where(F.col("d") < F.lit(cutoff))), CFG)
+        D.day_frames(source, CFG), sequences.Scaler.load(spark, scaler_path), CFG)
     model = learning.save_and_load(
         learning.train_thermal(vectors, cutoff), source, "thermal-model")
     later = model.transform(vectors.where(F.col("d") >= F.lit(cutoff)))
