@@ -17,6 +17,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
+        # Call-site capture costs several JVM round trips per column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

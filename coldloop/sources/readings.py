@@ -16,7 +16,7 @@ RUNNING_EVENTS = ("click", "purchase")
 def normalise(raw: DataFrame) -> DataFrame:
     """Readings columns in fixed types, NaN as null, plus the calendar date ``d``.
 
-    Rows without a timestamp have no date and no place in the time order, so they go.
+    Rows without an asset or a timestamp have no place in any time order, so they go.
     """
     typed = raw.withColumn("timestamp", to_naive_timestamp(F.col("timestamp")))
     columns = []
@@ -27,7 +27,7 @@ def normalise(raw: DataFrame) -> DataFrame:
         columns.append(col.cast(field.dataType).alias(field.name))
     return (
         typed.select(*columns)
-        .where(F.col("timestamp").isNotNull())
+        .where(F.col("asset_id").isNotNull() & F.col("timestamp").isNotNull())
         .withColumn("d", F.to_date("timestamp"))
     )
 
