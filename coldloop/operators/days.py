@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from coldloop.config import TwinConfig
-from coldloop.operators.layout import Layout, measure
+from coldloop.operators.layout import Layout, measure, segment
 
 KEY = ("asset_id", "d")
 
@@ -105,7 +105,7 @@ def day_frames(readings: DataFrame, cfg: TwinConfig = TwinConfig(),
     layout = layout or measure(readings)
     if layout.by_asset and wanted is None:
         return frames_by_asset(readings, cfg)
-    return frames_by_day(readings, cfg, layout.day_salts, wanted)
+    return frames_by_day(readings, cfg, layout, wanted)
 
 
 def frames_by_asset(readings: DataFrame, cfg: TwinConfig = TwinConfig()) -> Frames:
@@ -121,22 +121,52 @@ def frames_by_asset(readings: DataFrame, cfg: TwinConfig = TwinConfig()) -> Fram
     return frames.with_columns({"k": k.cast("int")}).map(lambda df: df.drop("same_day"))
 
 
-def frames_by_day(readings: DataFrame, cfg: TwinConfig = TwinConfig(), salts: int = 1,
-                  wanted: DataFrame | None = None) -> Frames:
+def frames_by_day(readings: DataFrame, cfg: TwinConfig = TwinConfig(),
+                  layout: Layout | None = None, wanted: DataFrame | None = None) -> Frames:
     """Each day's slice with a copy of the readings before it, in one bounded group."""
+    layout = layout or measure(readings)
     days = day_index(readings)
     sources = borrowed_days(days, cfg.context_rows)
-    heads, tails = readings, readings
+    heads, tails = day_ends(readings, cfg, layout)
     if wanted is not None:
         sources = sources.join(wanted, list(KEY), "left_semi")
-        heads = readings.join(wanted, list(KEY), "left_semi")
-        tails = readings.join(
+        heads = heads.join(wanted, list(KEY), "left_semi")
+        tails = tails.join(
             sources.select("asset_id", F.col("source_d").alias("d")), list(KEY), "left_semi")
-    heads = end_rows(heads, cfg.head_rows, salts=salts)
-    tails = end_rows(tails, cfg.context_rows, newest=True, salts=salts)
+    heads = end_rows(heads, cfg.head_rows, salts=layout.day_salts)
+    tails = end_rows(tails, cfg.context_rows, newest=True, salts=layout.day_salts)
     return assemble(heads, tails, days, sources, cfg)
 
 
+def day_ends(readings: DataFrame, cfg: TwinConfig, layout: Layout) -> tuple[DataFrame, DataFrame]:
+    """Rows that can be among a day's first or last ones, judged from counts.
+
+    On days above the target size, counts per time segment tell which segments hold the
+    ends, so the other rows are dropped in the scan's stage instead of being sorted there.
+    Smaller days pass whole.
+    """
+    if layout.day_salts == 1:
+        return readings, readings
+    width = layout.width_for(100 * cfg.head_rows)
+    in_day = Window.partitionBy(*KEY)
+    earlier = in_day.orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
+    counts = readings.groupBy(*KEY, segment(width)).agg(F.count("*").alias("n")).withColumns({
+        "before": F.coalesce(F.sum("n").over(earlier), F.lit(0)),
+        "total": F.sum("n").over(in_day)})
+    after = F.col("total") - F.col("before") - F.col("n")
+    bounds = (
+        counts.where(F.col("total") > layout.target_rows).groupBy(*KEY).agg(
+            F.max(F.when(F.col("before") < cfg.head_rows, F.col("segment"))).alias("last_head"),
+            F.min(F.when(after < cfg.context_rows, F.col("segment"))).alias("first_tail"))
+    )
+    marked = readings.withColumn("segment", segment(width)).join(bounds, list(KEY), "left")
+    whole = F.col("last_head").isNull()
+    heads = marked.where(whole | (F.col("segment") <= F.col("last_head")))
+    tails = marked.where(whole | (F.col("segment") >= F.col("first_tail")))
+    extra = ("segment", "last_head", "first_tail")
+    return heads.drop(*extra), tails.drop(*extra)
+
+
 def assemble(heads: DataFrame, tails: DataFrame, days: DataFrame, sources: DataFrame,
              cfg: TwinConfig) -> Frames:
     own = (

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from coldloop.functions.calendar import epoch_micros
+
 DAY_SECONDS = 86_400
 # Segment widths tried, widest first (day, quarter day, hour, ... second).
 SEGMENT_WIDTHS = (86_400, 21_600, 3_600, 600, 60, 10, 1)
@@ -28,16 +30,27 @@ class Layout:
 
     @property
     def segment_seconds(self) -> int:
+        return self.width_for(self.target_rows)
+
+    def width_for(self, rows: int) -> int:
+        """Widest segment that holds at most ``rows`` on the fullest day, if evenly spread."""
         for width in SEGMENT_WIDTHS:
-            if self.busiest_day * width <= self.target_rows * DAY_SECONDS:
+            if self.busiest_day * width <= rows * DAY_SECONDS:
                 return width
         return SEGMENT_WIDTHS[-1]
 
     @property
     def day_salts(self) -> int:
+        """Parts of a crowded day that are ranked on their own first; 1 if none is crowded."""
         return max(1, min(4096, -(-self.busiest_day // self.target_rows)))
 
 
+def segment(width: int) -> Column:
+    """Number of the ``width``-second segment of its day a timestamp falls into."""
+    second = F.floor(epoch_micros(F.col("timestamp")) / F.lit(1_000_000))
+    return F.floor(F.pmod(second, F.lit(DAY_SECONDS)) / F.lit(width)).alias("segment")
+
+
 def measure(readings: DataFrame, target_rows: int = TARGET_ROWS) -> Layout:
     """Count rows per asset-day (two columns read, pre-aggregated) and keep the maxima."""
     per_asset = readings.groupBy("asset_id", "d").count().groupBy("asset_id").agg(

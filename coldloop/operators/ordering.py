@@ -8,22 +8,16 @@ are range-partitioned instead, which splits any run of rows, equal timestamps in
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from coldloop.functions.calendar import epoch_micros
-from coldloop.operators.layout import DAY_SECONDS, Layout, measure
+from coldloop.operators.layout import DAY_SECONDS, Layout, measure, segment
 from coldloop.session import scratch_path
 
 # A segment may exceed the target by this factor before rows are range-partitioned.
 CROWDED = 16
 
 
-def _segment(width: int) -> Column:
-    second = F.floor(epoch_micros(F.col("timestamp")) / F.lit(1_000_000))
-    return F.floor(F.pmod(second, F.lit(DAY_SECONDS)) / F.lit(width)).alias("segment")
-
-
 def with_positions(readings: DataFrame, layout: Layout | None = None) -> DataFrame:
     """Adds ``pos`` (from 0, per asset) and ``T_int_lag_1`` to every reading."""
     layout = layout or measure(readings)
@@ -42,12 +36,12 @@ def positions_by_asset(readings: DataFrame) -> DataFrame:
 
 
 def _crowded(readings: DataFrame, layout: Layout) -> bool:
-    segments = readings.groupBy("asset_id", "d", _segment(layout.segment_seconds)).count()
+    segments = readings.groupBy("asset_id", "d", segment(layout.segment_seconds)).count()
     return segments.agg(F.max("count")).first()[0] > CROWDED * layout.target_rows
 
 
 def positions_by_segment(readings: DataFrame, width: int) -> DataFrame:
-    rows = readings.withColumn("segment", _segment(width))
+    rows = readings.withColumn("segment", segment(width))
     segments = rows.groupBy("asset_id", "d", "segment").agg(
         F.count("*").alias("n"),
         F.max_by("T_int", F.struct("timestamp", "reading_id")).alias("last_value"),

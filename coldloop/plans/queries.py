@@ -13,6 +13,7 @@ from coldloop.functions.calendar import date_text, timestamp_text
 from coldloop.functions.numeric import half_even
 from coldloop.operators import days as D
 from coldloop.operators import evaluate, kpi, learning, metrics, registry, sequences, tables
+from coldloop.operators.layout import measure
 from coldloop.operators.ordering import (
     positions_by_range, positions_by_segment, with_positions,
 )
@@ -230,9 +231,9 @@ def twin_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def twin_day_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The plan for assets too large for one task: days in groups of their own, salted."""
+    """The plan for assets and days too large for one task, whatever their size here."""
     source = read_events(spark, sf_dir)
-    return full_twin(source, D.frames_by_day(source, CFG, salts=4))
+    return full_twin(source, D.frames_by_day(source, CFG, measure(source, target_rows=50)))
 
 
 @register

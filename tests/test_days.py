@@ -12,9 +12,8 @@ from coldloop.config import TwinConfig
 from coldloop.operators import days as D
 from coldloop.operators import ordering
 from coldloop.operators.layout import Layout, measure
-from coldloop.operators.scorers import lookback_mean
+from coldloop.operators.scorers import PowerLine, lookback_mean
 from coldloop.plans.twin import forecast, twin_date, twin_days, twin_from_frames
-from coldloop.operators.scorers import PowerLine
 from tests import brute
 
 CFG = TwinConfig()
@@ -22,7 +21,7 @@ D1, D2, D9 = dt.date(2026, 5, 1), dt.date(2026, 5, 2), dt.date(2026, 5, 9)
 LAYOUTS = {
     "by_asset": lambda r: D.frames_by_asset(r, CFG),
     "by_day": lambda r: D.frames_by_day(r, CFG),
-    "by_day_salted": lambda r: D.frames_by_day(r, CFG, salts=5),
+    "by_crowded_day": lambda r: D.frames_by_day(r, CFG, measure(r, target_rows=20)),
 }
 
 
