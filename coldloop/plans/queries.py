@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -231,9 +232,12 @@ def twin_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def twin_day_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The plan for assets and days too large for one task, whatever their size here."""
+    """The plan for crowded days; small tables lower the target so that theirs are, too."""
     source = read_events(spark, sf_dir)
-    return full_twin(source, D.frames_by_day(source, CFG, measure(source, target_rows=50)))
+    layout = measure(source)
+    target = max(1, min(layout.target_rows, layout.busiest_day // 4))
+    crowded = replace(layout, target_rows=target)
+    return full_twin(source, D.frames_by_day(source, CFG, crowded))
 
 
 @register

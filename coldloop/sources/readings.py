@@ -55,7 +55,8 @@ def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str,
 
 def from_events(events: DataFrame, assets: int | None = 2) -> DataFrame:
     """One reading per event. ``assets=None`` makes every user an asset of its own."""
-    cents = F.round(F.col("value") * 100).cast("bigint")
+    # Values have two decimals, so no product lies halfway; rint avoids decimal arithmetic.
+    cents = F.rint(F.col("value") * 100).cast("bigint")
     running = F.col("event_type").isin(*RUNNING_EVENTS)
     asset = F.col("user_id") if assets is None else F.col("user_id") % assets
     return normalise(events.select(
