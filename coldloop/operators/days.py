@@ -215,14 +215,15 @@ def frames_for_date(readings: DataFrame, day: dt.date, cfg: TwinConfig = TwinCon
     is_day = F.col("d") == F.lit(day)
     sources = borrowed_days(days, cfg.context_rows).where(is_day)
     oldest = sources.agg(F.min("source_d")).first()[0] or day
-    ts = F.col("timestamp")
-    opening = dt.datetime.combine(day, dt.time.min)
+    ts, opening = F.col("timestamp"), _midnight(day)
     part = readings.where(
-        (ts >= F.lit(dt.datetime.combine(oldest, dt.time.min)).cast("timestamp_ntz"))
-        & (ts < F.lit(opening + dt.timedelta(days=1)).cast("timestamp_ntz")))
+        (ts >= _midnight(oldest)) & (ts < _midnight(day + dt.timedelta(days=1))))
     salts = (layout or measure(part)).day_salts
-    heads = end_rows(part.where(ts >= F.lit(opening).cast("timestamp_ntz")),
-                     cfg.head_rows, salts=salts)
-    tails = end_rows(part.where(ts < F.lit(opening).cast("timestamp_ntz")),
-                     cfg.context_rows, newest=True, salts=salts)
+    heads = end_rows(part.where(ts >= opening), cfg.head_rows, salts=salts)
+    tails = end_rows(part.where(ts < opening), cfg.context_rows, newest=True, salts=salts)
     return assemble(heads, tails, days.where(is_day), sources, cfg)
+
+
+def _midnight(day: dt.date) -> Column:
+    """A zone-less literal; a datetime literal would pass through the session's zone."""
+    return F.lit(f"{day} 00:00:00").cast("timestamp_ntz")

@@ -61,7 +61,7 @@ def from_records(records: DataFrame, schema: T.StructType) -> DataFrame:
 
 def day_labels(days: DataFrame) -> DataFrame:
     """Date label and the bounds of the day's time axis."""
-    opening = F.date_trunc("DAY", F.col("d").cast("timestamp_ntz")).cast("timestamp_ntz")
+    opening = F.col("d").cast("timestamp_ntz")
     return days.select(
         "asset_id", "d", date_label(F.col("d")).alias("label"),
         timestamp_text(opening).alias("axis_start"),

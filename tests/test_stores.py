@@ -8,9 +8,11 @@ import pytest
 from pyspark.sql import types as T
 
 from coldloop.config import OPTIMISATION_SCHEMA
+from coldloop.operators.ordering import with_positions
 from coldloop.operators.registry import family_tag, lookup, registry, with_paths
 from coldloop.operators.sequences import Scaler
 from coldloop.session import scratch_path
+from coldloop.sources.readings import with_time_features
 from coldloop.sources.results import DayCache, OptimisationStore, read_metrics, write_metrics
 
 D1, D2 = dt.date(2026, 5, 1), dt.date(2026, 5, 2)
@@ -34,6 +36,15 @@ def rows(spark, date, values):
          for i, v in enumerate(values)], OPTIMISATION_SCHEMA)
 
 
+def test_written_tables_go_below_the_checkpoint_folder(spark, tmp_path):
+    spark.conf.set("spark.checkpoint.dir", f"{tmp_path}/")
+    try:
+        first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")
+    assert first.startswith(f"{tmp_path}/x-") and first != second
+
+
 def test_store_create_replace_upsert_clear(spark):
     store = OptimisationStore(spark, scratch_path(spark, "store"))
     store.create()
@@ -122,8 +133,6 @@ def test_scaler_centres_constants_and_reloads(spark, make_readings):
     lags = temperatures[:-1]
     assert scaler.mean["T_int_lag_1"] == pytest.approx(sum(lags) / 19)
     assert scaler.std["Etat_Compresseur"] == pytest.approx(0, abs=1e-6)
-    from coldloop.operators.ordering import with_positions
-    from coldloop.sources.readings import with_time_features
     scaled = scaler.apply(with_time_features(with_positions(readings))).collect()
     assert {r.Etat_Compresseur for r in scaled} == {0.0}
     path = scratch_path(spark, "scaler")
