@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import types as T
@@ -36,13 +37,18 @@ def rows(spark, date, values):
          for i, v in enumerate(values)], OPTIMISATION_SCHEMA)
 
 
-def test_written_tables_go_below_the_checkpoint_folder(spark, tmp_path):
-    spark.conf.set("spark.checkpoint.dir", f"{tmp_path}/")
-    try:
-        first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
-    assert first.startswith(f"{tmp_path}/x-") and first != second
+def session_with(folder, master):
+    """The two settings ``scratch_path`` reads; a running session cannot change them."""
+    conf = SimpleNamespace(get=lambda name, default: folder or default)
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+
+def test_written_tables_go_below_the_checkpoint_folder():
+    cluster = session_with("hdfs://shared/work/", "yarn")
+    first, second = scratch_path(cluster, "x"), scratch_path(cluster, "x")
+    assert first.startswith("hdfs://shared/work/x-") and first != second
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(session_with(None, "yarn"), "x")
 
 
 def test_store_create_replace_upsert_clear(spark):
