@@ -4,14 +4,26 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from coldloop.llm import token_files
+from coldloop.llm import pii, token_files
 from coldloop.llm.text import load
 from coldloop.session import scratch_path
 
 END_ID = 2
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every whole text: base counts and digest, and all spans."""
+    def of(kind: str):
+        return F.size(F.filter("pii", lambda s: s["base"] & (s["kind"] == kind))).cast("long")
+
+    return pii.detect(load(spark, sf_dir, "documents")).select(
+        "doc_id", *(of(kind).alias(f"n_{kind}") for kind in pii.BASE_KINDS),
+        F.sha2(pii.listed(F.filter("pii", lambda s: s["base"])), 256).alias("base_sha256"),
+        pii.listed(F.col("pii")).alias("spans"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, read back from the files."""
     store = token_files.write_tokens(
@@ -21,6 +33,7 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_pii": op3_pii,
     "op7_token_files": op7_token_files,
 }
 
