@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coldloop.llm import pii, token_files
+from coldloop.llm import language_id, pii, token_files
 from coldloop.llm.text import load
 from coldloop.session import scratch_path
 
@@ -24,6 +24,24 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         pii.listed(F.col("pii")).alias("spans"))
 
 
+def remainder(modulus: int) -> Column:
+    """crc32 of the document id as text, modulo ``modulus``; rows without an id count as ""."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % modulus
+
+
+def language_profiles(docs: DataFrame) -> language_id.Profiles:
+    """Profiles from the documents that are not held out."""
+    usable = (remainder(3) != 1) & F.col("text").isNotNull()
+    return language_id.learn(language_id.training_rows(docs, usable, "doc_id", "lang"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole text."""
+    docs = load(spark, sf_dir, "documents")
+    texts = docs.select("doc_id", (remainder(3) == 1).alias("held_out"), "text")
+    return language_id.identify(texts, language_profiles(docs)).drop("text")
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, read back from the files."""
     store = token_files.write_tokens(
@@ -34,6 +52,7 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_pii": op3_pii,
+    "op5_language_id": op5_language_id,
     "op7_token_files": op7_token_files,
 }
 
