@@ -11,8 +11,11 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +26,11 @@ from pyspark.sql import functions as F
 from coldloop.llm.text import file_system, quiet_tokenizers, ragged, slices, words
 
 PART = "part int, docs long, without_id long, ids long"
+# The letters by which byte-level BPE names the bytes that are no visible Latin-1
+# characters, in order from 256 on; here those from 127 on, others do not occur in words.
+BYTE_LETTERS = {byte: 256 + 33 + i for i, byte in enumerate([*range(127, 161), 173])}
 #: Distinct words whose ids a Python worker keeps.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 150_000
 
 
 @dataclass(frozen=True)
@@ -43,69 +49,93 @@ class TokenStore:
 class WordEncoder:
     """Encodes texts through their distinct words.
 
-    Exact for tokenizers that neither merge nor look across ASCII white space, as those whose
-    pre-tokenizer drops it. Many words are encoded by one call, a special token between them.
+    Exact for byte-level BPE with word ends that drops white space, folds case and puts letters
+    and punctuation into separate pieces. Ids of words met again are kept, up to a bound.
     """
 
-    def __init__(self, path: str, separator: str) -> None:
+    def __init__(self, path: str) -> None:
         quiet_tokenizers()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.separator, self.separator_id = separator, self.tokenizer.token_to_id(separator)
+        #: Ids of words met in several slices, and of those met since the last clearing.
         self.known: dict[str, bytes] = {}
-
-    def _learn(self, missing: list[str]) -> None:
-        plain = [w for w in missing if self.separator not in w]
-        text = f" {self.separator} ".join(plain)
-        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids,
-                       dtype=np.uint32)
-        cuts = np.flatnonzero(ids == self.separator_id)
-        starts, ends = np.concatenate([[0], cuts + 1]), np.concatenate([cuts, [len(ids)]])
-        raw = ids.tobytes()
-        for word, a, b in zip(plain, (starts * 4).tolist(), (ends * 4).tolist()):
-            self.known[word] = raw[a:b]
-        for word in missing:
-            if word not in self.known:
-                found = self.tokenizer.encode(word, add_special_tokens=False).ids
-                self.known[word] = np.array(found, np.uint32).tobytes()
+        self.recent: dict[str, bytes] = {}
+
+    def _learn(self, word: str) -> bytes:
+        """Ids of a word: runs of letters by the merges alone, others through all steps."""
+        if word.isalpha() and (word.isascii() or max(word) <= "\xff") and word == word.lower():
+            piece = word if word.isascii() else word.encode().decode(
+                "latin-1").translate(BYTE_LETTERS)
+            found = [token.id for token in self.tokenizer.model.tokenize(piece)]
+        else:
+            found = self.tokenizer.encode(word, add_special_tokens=False).ids
+        return array("I", found).tobytes()
+
+    def _runs(self, listed: list[str]) -> list[bytes]:
+        """The ids of each word, as bytes."""
+        if len(self.recent) > 2 * CACHED_WORDS:
+            self.recent = {}
+        if len(self.known) > CACHED_WORDS:
+            self.known = {}
+        known, recent = self.known, self.recent
+        runs = list(map(known.get, listed))
+        for at, run in enumerate(runs):
+            if run is None:
+                word = listed[at]
+                run = recent.pop(word, None)
+                if run is None:
+                    stem, tail = folded(word)
+                    run = b""
+                    for piece in (stem, tail) if tail else (stem,):
+                        ids = known.get(piece) or recent.get(piece)
+                        if ids is None:
+                            ids = recent[piece] = self._learn(piece)
+                        run += ids
+                    recent[word] = run
+                else:
+                    known[word] = run
+                runs[at] = run
+        return runs
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each closed by ``end_id``, and the number of ids of each text."""
         bounds, codes, distinct = words(texts)
-        listed = distinct.to_pylist()
-        missing = [w for w in listed if w not in self.known]
-        if len(self.known) + len(missing) > CACHED_WORDS:
-            self.known.clear()
-            missing = listed
-        if missing:
-            self._learn(missing)
-        runs = [self.known[w] for w in listed]
-        runs.append(np.uint32(end_id).tobytes())
+        runs = [*self._runs(distinct.to_pylist()), np.uint32(end_id).tobytes()]
         lengths = np.fromiter(map(len, runs), np.int64, len(runs)) // 4
         table = np.frombuffer(b"".join(runs), np.uint32)
         starts = np.cumsum(lengths) - lengths
         # One more word, the end, after the words of each text.
-        with_end = np.insert(codes, bounds[1:], len(listed))
+        with_end = np.insert(codes, bounds[1:], len(runs) - 1)
         each = lengths[with_end]
         sums = np.concatenate([[0], np.cumsum(each)])
         ends = sums[bounds[1:] + np.arange(1, len(bounds))]
         return table[ragged(starts[with_end], each)], np.diff(ends, prepend=0)
 
 
-_ENCODERS: dict[tuple[str, str], WordEncoder] = {}
+def folded(word: str) -> tuple[str, str]:
+    """A word as lower-case stem and closing punctuation, where both encode apart the same.
+
+    Other words stay whole: those with an added token's ``<|`` and those beyond Latin-1, whose
+    case and composition rules are the tokenizer's own.
+    """
+    if not (word.isascii() or max(word) <= "\xff") or "<|" in word:
+        return word, ""
+    word = word.lower()
+    stem = word.rstrip(".,!?;:")
+    if stem and len(stem) < len(word) and stem[-1].isalnum():
+        return stem, word[len(stem):]
+    return word, ""
 
 
-def word_encoder(path: str, separator: str) -> WordEncoder:
+@cache
+def word_encoder(path: str) -> WordEncoder:
     """One encoder per Python worker, kept between tasks."""
-    if (path, separator) not in _ENCODERS:
-        _ENCODERS[path, separator] = WordEncoder(path, separator)
-    return _ENCODERS[path, separator]
+    return WordEncoder(path)
 
 
 def write_tokens(docs: DataFrame, root: str, tokenizer_path: str, end_id: int,
-                 separator: str = "<|startoftext|>", id_column: str = "doc_id",
-                 text_column: str = "text") -> TokenStore:
+                 id_column: str = "doc_id", text_column: str = "text") -> TokenStore:
     """Encode every text (null: empty) and write the ids in ascending document order.
 
     Documents are dealt by ranges of their id, so the order of parts is the order of ids.
@@ -122,7 +152,7 @@ def write_tokens(docs: DataFrame, root: str, tokenizer_path: str, end_id: int,
                     F.coalesce(F.col(text_column), F.lit("")).alias("text"))
         .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"))
     written = ordered.mapInArrow(
-        _part_writer(root, width, tokenizer_path, separator, end_id), PART).collect()
+        _part_writer(root, width, tokenizer_path, end_id), PART).collect()
     parts, base = [], 0
     for row in sorted(written):
         parts.append((*row, base))
@@ -130,8 +160,7 @@ def write_tokens(docs: DataFrame, root: str, tokenizer_path: str, end_id: int,
     return TokenStore(root, width, tuple(parts))
 
 
-def _part_writer(root: str, width: int, tokenizer_path: str, separator: str,
-                 end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _part_writer(root: str, width: int, tokenizer_path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, (fs, folder) = TaskContext.get().partitionId(), file_system(root)
         fs.create_dir(folder, recursive=True)
@@ -140,8 +169,8 @@ def _part_writer(root: str, width: int, tokenizer_path: str, separator: str,
         out = {kind: fs.open_output_stream(name) for kind, name in names.items()}
         docs = without_id = ids = 0
         out["offsets"].write(np.zeros(1, "<i8").tobytes())
-        for batch in slices(batches, "text"):
-            found, each = word_encoder(tokenizer_path, separator).encode(
+        for batch in slices(batches, "text", 4 << 20):
+            found, each = word_encoder(tokenizer_path).encode(
                 batch.column("text"), end_id)
             out["ids"].write(found.astype(f"<u{width}").tobytes())
             out["offsets"].write((ids + np.cumsum(each)).astype("<i8").tobytes())
