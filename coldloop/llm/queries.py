@@ -6,13 +6,19 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coldloop.llm import language_id, pii, token_files
+from coldloop.llm import language_id, mixture, oracle, pii, token_files
 from coldloop.llm.text import load
 from coldloop.session import scratch_path
 
 END_ID = 2
 
 
+def op2_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each document a mix of all sources takes."""
+    return mixture.mix(load(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every whole text: base counts and digest, and all spans."""
     def of(kind: str):
@@ -51,9 +57,12 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_mixture": op2_mixture,
     "op3_pii": op3_pii,
     "op5_language_id": op5_language_id,
     "op7_token_files": op7_token_files,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op2_mixture": oracle.MIXTURE,
+}
