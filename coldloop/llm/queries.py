@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coldloop.llm import language_id, mixture, oracle, pii, token_files
+from coldloop.llm import embedding_dedup, language_id, mixture, oracle, pii, token_files
 from coldloop.llm.text import load
 from coldloop.session import scratch_path
 
@@ -56,11 +56,17 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, store)
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, components and representatives of all vectors."""
+    return embedding_dedup.near_duplicates(load(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op2_mixture": op2_mixture,
     "op3_pii": op3_pii,
     "op5_language_id": op5_language_id,
     "op7_token_files": op7_token_files,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 
 ORACLE_SQL = {
