@@ -6,13 +6,19 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coldloop.llm import embedding_dedup, language_id, mixture, oracle, pii, token_files
+from coldloop.llm import embedding_dedup, language_id, mixture, oracle, pii, substring_dedup, token_files
 from coldloop.llm.text import load
 from coldloop.session import scratch_path
 
 END_ID = 2
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without passages of smaller documents."""
+    return substring_dedup.deduplicate(load(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op2_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document a mix of all sources takes."""
     return mixture.mix(load(spark, sf_dir, "documents")).select(
@@ -62,6 +68,7 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_mixture": op2_mixture,
     "op3_pii": op3_pii,
     "op5_language_id": op5_language_id,
