@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from coldloop.llm.graph import components
+from coldloop.llm.graph import components, roots
 from coldloop.llm.text import stored
 
 #: Cosine from which on two vectors link.
@@ -174,18 +174,7 @@ def block_links(table: pa.Table, threshold: float) -> pa.Table:
     count[a] += links @ copies[b]
     if i != j:
         count[b] += links.T @ copies[a]
-    root = roots(ids, a, b, links)
+    x, y = np.nonzero(links)
+    root = roots(ids, a[x], b[y])
     linked = count > 0
     return pa.table({"rep": ids[linked], "root": root[linked], "links": count[linked]})
-
-
-def roots(ids: np.ndarray, a: np.ndarray, b: np.ndarray, links: np.ndarray) -> np.ndarray:
-    """The smallest id each vector is connected with by ``links`` between rows a and b."""
-    root, (x, y) = ids.copy(), np.nonzero(links)
-    x, y = a[x], b[y]
-    while True:
-        before = root.copy()
-        np.minimum.at(root, x, before[y])
-        np.minimum.at(root, y, before[x])
-        if (root == before).all():
-            return root

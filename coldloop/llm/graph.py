@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,3 +48,14 @@ def fingerprint(edges: DataFrame) -> tuple:
     def total(seed: int):
         return F.sum(F.xxhash64(F.lit(seed), "u", "v").cast("decimal(38,0)"))
     return tuple(edges.agg(F.count("*"), total(1), total(2)).first())
+
+
+def roots(ids: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Per row the smallest id it is connected with by links between rows x and rows y."""
+    root = ids.copy()
+    while True:
+        before = root.copy()
+        np.minimum.at(root, x, before[y])
+        np.minimum.at(root, y, before[x])
+        if (root == before).all():
+            return root

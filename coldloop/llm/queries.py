@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coldloop.llm import embedding_dedup, language_id, mixture, oracle, pii, substring_dedup, token_files
+from coldloop.llm import (
+    embedding_dedup, jaccard_join, language_id, mixture, oracle, pii, substring_dedup, token_files)
 from coldloop.llm.text import load
 from coldloop.session import scratch_path
 
@@ -62,6 +63,11 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, store)
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents with similar sets of four-word shingles."""
+    return jaccard_join.join(load(spark, sf_dir, "documents"))
+
+
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links, components and representatives of all vectors."""
     return embedding_dedup.near_duplicates(load(spark, sf_dir, "embeddings"))
@@ -73,6 +79,7 @@ QUERIES = {
     "op3_pii": op3_pii,
     "op5_language_id": op5_language_id,
     "op7_token_files": op7_token_files,
+    "op8_jaccard_join": op8_jaccard_join,
     "op10_embedding_dedup": op10_embedding_dedup,
 }
 
