@@ -7,11 +7,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coldloop.llm import (
-    embedding_dedup, jaccard_join, language_id, mixture, oracle, pii, substring_dedup, token_files)
+    embedding_dedup, jaccard_join, language_id, mixture, oracle, pii, substring_dedup,
+    token_files, toxicity)
 from coldloop.llm.text import load
 from coldloop.session import scratch_path
 
 END_ID = 2
+TOXIC_FROM = 0.3
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +70,16 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(load(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every whole text."""
+    docs = load(spark, sf_dir, "documents")
+    model = toxicity.learn(toxicity.training_rows(
+        docs, load(spark, sf_dir, "labels"), remainder(4) != 2, "doc_id", "text", "toxic"))
+    texts = docs.select("doc_id", (remainder(4) == 2).alias("held_out"), "text")
+    return toxicity.score(texts, model).drop("text").withColumn(
+        "predicted", (F.col("score") >= TOXIC_FROM).cast("int"))
+
+
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links, components and representatives of all vectors."""
     return embedding_dedup.near_duplicates(load(spark, sf_dir, "embeddings"))
@@ -80,6 +92,7 @@ QUERIES = {
     "op5_language_id": op5_language_id,
     "op7_token_files": op7_token_files,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_toxicity": op9_toxicity,
     "op10_embedding_dedup": op10_embedding_dedup,
 }
 
