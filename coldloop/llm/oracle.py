@@ -91,3 +91,34 @@ SELECT doc_id, size, source_size, target,
         + greatest(least(b + shard_size, high) - greatest(a + shard_size, low), 0))::BIGINT AS taken
 FROM runs
 """
+
+LINE_DEDUP = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) AS i
+  FROM documents
+), filled AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS pos FROM lines
+  WHERE NOT regexp_full_match(line, '[\x20\x09-\x0D]*')
+), windows AS (
+  SELECT doc_id, pos, line AS l1, lead(line, 1) OVER w AS l2, lead(line, 2) OVER w AS l3
+  FROM filled WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
+), firsts AS (
+  SELECT l1, l2, l3, min((doc_id, pos)) AS first FROM windows WHERE l3 IS NOT NULL
+  GROUP BY l1, l2, l3 HAVING count(*) > 1
+), later AS (
+  SELECT w.doc_id, w.pos FROM windows w
+  JOIN firsts f ON w.l1 = f.l1 AND w.l2 = f.l2 AND w.l3 = f.l3
+  WHERE (w.doc_id, w.pos) <> f.first
+), gone AS (
+  SELECT DISTINCT doc_id, pos + k AS pos FROM later, (SELECT unnest([0, 1, 2]) AS k)
+), marked AS (
+  SELECT l.doc_id, l.line, l.i, f.pos IS NOT NULL AS filled, g.pos IS NOT NULL AS gone
+  FROM lines l LEFT JOIN filled f ON l.doc_id = f.doc_id AND l.i = f.i
+  LEFT JOIN gone g ON f.doc_id = g.doc_id AND f.pos = g.pos
+)
+SELECT doc_id, count(*) FILTER (WHERE filled)::INTEGER AS n_lines,
+       count(*) FILTER (WHERE gone)::INTEGER AS n_removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coldloop.llm import (
-    embedding_dedup, jaccard_join, language_id, mixture, oracle, pii, substring_dedup,
+    embedding_dedup, jaccard_join, language_id, line_dedup, mixture, oracle, pii, substring_dedup,
     token_files, toxicity)
 from coldloop.llm.text import load
 from coldloop.session import scratch_path
@@ -57,6 +57,12 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(texts, language_profiles(docs)).drop("text")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without repeated windows of three lines."""
+    return line_dedup.deduplicate(load(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, read back from the files."""
     store = token_files.write_tokens(
@@ -90,6 +96,7 @@ QUERIES = {
     "op2_mixture": op2_mixture,
     "op3_pii": op3_pii,
     "op5_language_id": op5_language_id,
+    "op6_line_dedup": op6_line_dedup,
     "op7_token_files": op7_token_files,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_toxicity": op9_toxicity,
@@ -98,4 +105,5 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op2_mixture": oracle.MIXTURE,
+    "op6_line_dedup": oracle.LINE_DEDUP,
 }
