@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from coldloop.llm.text import stored, word_count
+from coldloop.llm.text import WORD, stored, word_count
 
 WEIGHTS = (3, 1, 2)
 #: Words per block, the seed, the share of all words that is asked for in hundredths, and how
@@ -93,31 +93,28 @@ def source_targets(sizes: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: str = SEED,
         id_column: str = "doc_id", text_column: str = "text",
-        source_column: str = "source") -> DataFrame:
+        source_column: str = "source", keep_rows: bool = False) -> DataFrame:
     """How many words of each document the mix takes.
 
     Returns doc_id, source, size, source_size, target, taken and, to cut by: ``copies`` (of the
     whole document) and two pieces of it, each from a word (``from1``, ``from2``) on for a
     number of words (``words1``, ``words2``, mostly 0). The pieces of a shard are one cyclic
-    run, so nearly all documents are taken whole or left out.
+    run, so nearly all documents are taken whole or left out. With ``keep_rows`` the column
+    ``_row`` holds the document's own columns.
 
     Null texts have size 0; a null source is a source of its own, the last; rows with equal or
     null ids are documents of their own. Extra columns are not read. An empty table gives an
     empty result.
     """
-    sizes = stored(docs.select(
-        F.col(id_column).alias("doc_id"), F.col(source_column).alias("source"),
-        word_count(F.col(text_column)).alias("size")), "mix-sizes")
+    own = [F.struct(*docs.columns).alias("_row")] if keep_rows else []
+    rows = docs.select(F.col(id_column).alias("doc_id"), F.col(source_column).alias("source"),
+                       word_count(F.col(text_column)).alias("size"), *own)
+    sizes = stored(rows.drop("_row"), "mix-sizes")
     sources = source_targets(sizes)
-    # Sources are few; their table is joined by value, a null source to itself.
-    dealt = (
-        sizes.alias("d").join(sources.withColumnRenamed("source", "_source"),
-                              F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-        .withColumn("draw", draw("doc_id", seed=seed))
-        .withColumn("shard", F.pmod("draw", F.ceil(F.sqrt("documents")))))
-    quotas = shard_quotas(dealt, block_words)
+    quotas = shard_quotas(dealt(sizes, sources, seed), block_words)
+    mine = dealt(rows if keep_rows else sizes, sources, seed)
     order = Window.partitionBy("sid", "shard").orderBy("draw", "doc_id", "size")
-    placed = dealt.withColumn(
+    placed = mine.withColumn(
         "b", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
     ).withColumn("a", F.col("b") - F.col("size"))
     first = F.pmod(draw("sid", "shard", seed=seed), F.greatest("blocks", F.lit(1)))
@@ -138,12 +135,22 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: str = SEED,
                            ).select(
         "doc_id", "source", "size", "source_size", "target",
         (F.col("copies") * F.col("size") + F.col("words1") + F.col("words2")).alias("taken"),
-        "copies", "from1", "words1", "from2", "words2")
+        "copies", "from1", "words1", "from2", "words2", *(["_row"] if keep_rows else []))
+
+
+def dealt(rows: DataFrame, sources: DataFrame, seed: str) -> DataFrame:
+    """Rows with their source's figures, their seeded draw and their shard."""
+    # Sources are few; their table is joined by value, a null source to itself.
+    return (
+        rows.join(sources.withColumnRenamed("source", "_source"),
+                  F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+        .withColumn("draw", draw("doc_id", seed=seed))
+        .withColumn("shard", F.pmod("draw", F.ceil(F.sqrt("documents")))))
 
 
-def shard_quotas(dealt: DataFrame, block_words: int) -> DataFrame:
+def shard_quotas(placed: DataFrame, block_words: int) -> DataFrame:
     """Per shard: its words, its blocks and the blocks it has to give."""
-    shards = dealt.groupBy("sid", "shard", "source_size", "target").agg(
+    shards = placed.groupBy("sid", "shard", "source_size", "target").agg(
         F.sum("size").alias("shard_size"))
     blocks = F.when(F.col("shard_size") > 0, F.greatest(F.lit(1), F.expr(
         f"(2 * shard_size + {block_words}) div {2 * block_words}"))).otherwise(0)
@@ -163,23 +170,26 @@ def shard_quotas(dealt: DataFrame, block_words: int) -> DataFrame:
     return apportion(votes, ["sid"], "shard").select("sid", "shard", "shard_size", "blocks", "won")
 
 
-def taken_texts(docs: DataFrame, plan: DataFrame) -> DataFrame:
+def taken_texts(plan: DataFrame, text_column: str = "text",
+                length_column: str = "n_chars") -> DataFrame:
     """Documents as the mix takes them: whole copies, and pieces as rows of their own.
 
-    ``plan`` holds the columns of ``mix`` beside the documents' own. A piece's words are joined
-    by one space and its ``n_chars`` is its length.
+    ``plan`` is the result of ``mix`` with ``keep_rows``; the columns are those of the documents. A
+    piece's words are joined by one space, and its length, if there is such a column, is its own.
     """
     def cut(start: str, n: str) -> Column:
-        return F.array_join(F.slice(F.regexp_extract_all(
-            "text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1)), F.col(start) + 1, F.col(n)), " ")
-
-    whole = plan.withColumn("_row", F.explode(F.expr(
-        "array_repeat(0, cast(copies + cast(words1 = size and size > 0 as int) as int))")))
-    partly = plan.where((F.col("words1") != F.col("size")) & (F.col("words1") + F.col("words2") > 0))
-    pieces = partly.withColumn("_piece", F.explode(F.array(
-        F.struct("from1", "words1"), F.struct(F.col("from2").alias("from1"),
-                                              F.col("words2").alias("words1")))))
-    pieces = pieces.where(F.col("_piece.words1") > 0).withColumns({
-        "_from": F.col("_piece.from1"), "_words": F.col("_piece.words1")}).withColumn(
-        "text", cut("_from", "_words")).withColumn("n_chars", F.length("text").cast("long"))
-    return whole.select(*docs.columns).unionByName(pieces.select(*docs.columns))
+        found = F.regexp_extract_all(text_column, F.lit(f"({WORD})"), F.lit(1))
+        return F.array_join(F.slice(found, (F.col(start) + 1).cast("int"), F.col(n).cast("int")), " ")
+
+    all_of_it = ((F.col("words1") == F.col("size")) & (F.col("size") > 0)).cast("int")
+    whole = plan.withColumn("_copy", F.explode(F.array_repeat(
+        F.lit(0), (F.col("copies") + all_of_it).cast("int")))).select("_row.*")
+    pieces = plan.where(F.col("words1") != F.col("size")).withColumn("_piece", F.explode(F.array(
+        F.struct(F.col("from1").alias("a"), F.col("words1").alias("n")),
+        F.struct(F.col("from2").alias("a"), F.col("words2").alias("n"))))).where("_piece.n > 0")
+    pieces = pieces.select("_row.*", F.col("_piece.a").alias("_a"), F.col("_piece.n").alias("_n"))
+    pieces = pieces.withColumn(text_column, cut("_a", "_n")).drop("_a", "_n")
+    if length_column in pieces.columns:
+        pieces = pieces.withColumn(length_column, F.length(text_column).cast(
+            pieces.schema[length_column].dataType))
+    return whole.unionByName(pieces)

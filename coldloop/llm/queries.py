@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coldloop.llm import (
-    embedding_dedup, jaccard_join, language_id, line_dedup, mixture, oracle, pii, substring_dedup,
+    decontaminate, embedding_dedup, jaccard_join, language_id, line_dedup, mixture, oracle, pii, substring_dedup,
     token_files, toxicity)
 from coldloop.llm.text import load
 from coldloop.session import scratch_path
@@ -50,6 +50,11 @@ def language_profiles(docs: DataFrame) -> language_id.Profiles:
     return language_id.learn(language_id.training_rows(docs, usable, "doc_id", "lang"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold passages of benchmark items, also with other numbers or names."""
+    return decontaminate.leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every whole text."""
     docs = load(spark, sf_dir, "documents")
@@ -95,6 +100,7 @@ QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_mixture": op2_mixture,
     "op3_pii": op3_pii,
+    "op4_decontamination": op4_decontamination,
     "op5_language_id": op5_language_id,
     "op6_line_dedup": op6_line_dedup,
     "op7_token_files": op7_token_files,

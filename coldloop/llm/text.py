@@ -20,6 +20,8 @@ from coldloop.session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 #: Text bytes handled at once inside a task.
 SLICE_BYTES = 8 << 20
+#: At most this many 64-bit ids are broadcast.
+BROADCAST_IDS = 1_000_000
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -38,6 +40,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def without(docs: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:
+    """Rows of ``docs`` whose ``column`` is not among ``ids``; null ones stay.
+
+    Up to ``BROADCAST_IDS`` ids go to all tasks and ``docs`` is not shuffled; more are joined.
+    """
+    ids = stored(ids.select(column).distinct(), "ids")
+    few = ids.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(ids) if few else ids, column, "left_anti")
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str,
            size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that ``column`` holds about ``size`` bytes; a longer text stays whole."""

@@ -1,15 +1,67 @@
-"""A corpus from raw documents: STAGES in order, each on what the one before it kept."""
+"""A corpus from raw documents: STAGES in order, each on all that the one before it kept.
+
+Every stage but the last returns the columns of documents; ``run`` writes each stage's result and
+reads it back as the next one's documents. Empty tables and nulls in any column pass through all
+stages as their operators define.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from coldloop.llm import decontaminate, jaccard_join, language_id, mixture, token_files
+from coldloop.llm.queries import END_ID, language_profiles
+from coldloop.llm.text import load, stored, without
+from coldloop.session import scratch_path
+
+#: Least nearness to a language's profile; noise without any language's n-grams is below it.
+LEAST_SCORE = 0.3
+
+
+def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without documents that are in no language: without letters, or far from all profiles."""
+    judged = language_id.identify(docs, language_profiles(docs), predicted="_lang", score="_near")
+    return judged.where((F.col("_lang") != language_id.UNDETERMINED)
+                        & (F.col("_near") >= LEAST_SCORE)).select(*docs.columns)
+
+
+def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar ones, the one with the smallest id."""
+    groups = jaccard_join.join(docs)
+    return without(docs, groups.where("doc_id <> component_id")).select(*docs.columns)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without documents that hold passages of the benchmark."""
+    found = decontaminate.leaks(docs, load(spark, sf_dir, "benchmark"))
+    return without(docs, found).select(*docs.columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated, cut or left out so that the sources have their target weights."""
+    return mixture.taken_texts(mixture.mix(docs, keep_rows=True)).select(*docs.columns)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of the mix; one row per document written, as read back from the files."""
+    store = token_files.write_tokens(docs, scratch_path(spark, "tokens"),
+                                     public_tokenizers.path("word_bpe_49k.json"), END_ID)
+    return token_files.read_tokens(spark, store)
 
-from coldloop.llm.text import load, stored
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", identified),
+    ("jaccard_join", distinct_documents),
+    ("decontamination", decontaminated),
+    ("mixture", mixed),
+    ("token_files", encoded),
+]
 
+#: Profiles, template matching and tokenizers are beyond SQL.
 ORACLE_SQL = None
 
 
