@@ -25,7 +25,9 @@ PROFILE_LENGTH, DOCS_PER_LANGUAGE = 400, 2_000
 #: More values of the language column than this are taken for a mistake.
 MAX_LANGUAGES = 10_000
 UNDETERMINED = "und"
-_BITS = 21  # of a code point, so that three fit into 63
+#: Bits of a code point, so that three fit into 63, and what stands for a word boundary: not
+#: zero, so that n-grams of different length differ.
+_BITS, _BOUNDARY = 21, 1
 
 
 @dataclass(frozen=True)
@@ -50,14 +52,16 @@ def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
     Letters are lower-cased; a run of anything else is one word boundary, also at both ends.
     """
     points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    points = np.where(_letters()[points], points, 0).astype(np.int64)
-    points = np.concatenate([[0], points, [0]])
-    points = points[np.concatenate([[True], (points[1:] != 0) | (points[:-1] != 0)])]
-    if len(points) < 2:
+    points = np.where(_letters()[points], points, _BOUNDARY).astype(np.int64)
+    points = np.concatenate([[_BOUNDARY], points, [_BOUNDARY]])
+    inner = points != _BOUNDARY
+    points = points[np.concatenate([[True], inner[1:] | inner[:-1]])]
+    letter = points != _BOUNDARY
+    if not letter.any():
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     two = (points[:-1] << _BITS) | points[1:]
-    three = ((two[:-1] << _BITS) | points[2:])[points[1:-1] != 0]
-    found = np.sort(np.concatenate([points[points != 0], two, three]))
+    three = ((two[:-1] << _BITS) | points[2:])[letter[1:-1]]
+    found = np.sort(np.concatenate([points[letter], two, three]))
     first = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
     return found[first], np.diff(first, append=len(found))
 

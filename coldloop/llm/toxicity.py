@@ -136,7 +136,8 @@ def features(texts: pa.Array, lexicon: Lexicon) -> np.ndarray:
     """What a text's hits say, one row per whole text.
 
     Weights of exact hits (as sum and as density), numbers of hits that are nearly certain,
-    misspelled, quoted and close to another, and the length. A quoted hit counts as such only.
+    misspelled, quoted and close to another, and the length, from 20 words on. A quoted hit
+    counts as such only.
     """
     bounds, codes, distinct = words(texts)
     machine, listed = automaton(lexicon), distinct.to_pylist()
@@ -160,7 +161,7 @@ def features(texts: pa.Array, lexicon: Lexicon) -> np.ndarray:
     np.add.at(counts[:, 3], doc[together], 1)
     return np.column_stack([
         np.log1p(weight), np.log1p(100 * weight / np.maximum(size, 20)), np.log1p(counts),
-        np.log1p(size), np.ones(len(texts))])
+        np.log1p(np.maximum(size, 20)), np.ones(len(texts))])
 
 
 def is_quoted(near: list[str], i: int) -> bool:
