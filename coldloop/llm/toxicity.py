@@ -10,7 +10,6 @@ terms. A window around each hit tells quotation (quotation marks, words of repor
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -21,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from coldloop.llm.text import slices, words
+from coldloop.llm.text import WORD, slices, stored, words
 
 #: Labelled documents per class that the model is learned from (the expected number, by a hash
 #: of the id; a class with fewer gives all).
@@ -171,53 +170,61 @@ def is_quoted(near: list[str], i: int) -> bool:
     return (opened and closed) or any(bare(w) in REPORTING for w in near)
 
 
-def learn_lexicon(toxic: list[str], others: list[str]) -> Lexicon:
-    """Terms by the number of different neighbourhoods they have in the two classes.
+def term_counts(rows: DataFrame) -> DataFrame:
+    """(term, toxic, other): how often words and beginnings (closed by ``*``) occur.
 
-    Copies of a document repeat a term's neighbours, so they do not make a term. Of terms with
-    nearly the same occurrences the longest stays; below a beginning only clearly more telling
-    terms do.
+    In toxic documents different neighbourhoods of a word count, so that copies of a document
+    do not make a term; in others all occurrences do.
     """
-    def contexts(text: str) -> Iterator[tuple[str, tuple[str, str]]]:
-        listed = ["", *map(bare, text.split()), ""]
-        for i in range(1, len(listed) - 1):
-            yield listed[i], (listed[i - 1], listed[i + 1])
-
-    def terms(word: str) -> list[str]:
-        if len(word) < SHORTEST:
-            return []
-        return [word[:n] + "*" for n in range(SHORTEST, min(len(word), LONGEST_BEGINNING) + 1)
-                ] + [word]
-
-    found: dict[str, set] = defaultdict(set)
-    size = [1, 1]
-    for text in toxic:
-        for word, around in contexts(text):
-            size[0] += 1
-            for term in terms(word):
-                found[term].add(around)
-    found = {t: c for t, c in found.items() if len(c) >= LEAST_CONTEXTS}
-    against: Counter = Counter()
-    for text in others:
-        for word in map(bare, text.split()):
-            size[1] += 1
-            for term in terms(word):
-                if term in found:
-                    against[term] += 1
-    ratio = {t: (len(c) / size[0]) / ((against[t] + 0.5) / size[1]) for t, c in found.items()}
-    telling = {t: len(found[t]) for t, r in ratio.items() if r >= LEAST_RATIO}
-    kept: list[str] = []
+    bare_words = F.transform(F.regexp_extract_all(F.lower("text"), F.lit(f"({WORD})"), F.lit(1)),
+                             lambda w: F.btrim(w, F.lit(MARKS)))
+
+    def with_context(word: Column, i: Column) -> Column:
+        around = F.xxhash64(F.get("words", i - 1), F.get("words", i + 1))
+        return F.struct(word.alias("word"), around.alias("around"))
+
+    each = rows.withColumn("words", bare_words).select(
+        "label", F.inline(F.transform("words", with_context)))
+    by_word = each.groupBy("word").agg(
+        F.countDistinct(F.when(F.col("label") == 1, F.col("around"))).alias("toxic"),
+        F.count(F.when(F.col("label") == 0, 1)).alias("other"))
+    lengths = F.sequence(F.lit(SHORTEST), F.least(F.length("word"), F.lit(LONGEST_BEGINNING)))
+    terms = F.concat(F.array("word"), F.transform(lengths, lambda n: F.concat(
+        F.substring(F.col("word"), F.lit(1), n), F.lit("*"))))
+    return (
+        by_word.where(F.length("word") >= SHORTEST)
+        .select(F.explode(terms).alias("term"), "toxic", "other")
+        .groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")))
+
+
+def learn_lexicon(rows: DataFrame) -> Lexicon:
+    """The terms that tell the classes apart.
+
+    Of terms with nearly the same occurrences the longest stays; below a beginning only clearly
+    more telling terms do.
+    """
+    counts = stored(term_counts(rows), "terms")
+    size = [n or 1 for n in counts.where(~F.col("term").endswith("*")).agg(
+        F.sum("toxic"), F.sum("other")).first()]
+    often = (F.col("toxic") / size[0]) / ((F.col("other") + 0.5) / size[1])
+    # Bounded by the sample: a term needs several contexts in it.
+    telling = {r.term: (r.toxic, r.often) for r in counts.withColumn("often", often).where(
+        (F.col("toxic") >= LEAST_CONTEXTS) & (F.col("often") >= LEAST_RATIO)).collect()}
+    longer: dict[str, int] = {}
+    for term, (n, _) in telling.items():
+        stem = term.rstrip("*")
+        for k in range(SHORTEST, len(stem) + (not term.endswith("*"))):
+            longer[stem[:k]] = max(n, longer.get(stem[:k], 0))
+    kept: dict[str, float] = {}
     for term in sorted(telling, key=lambda t: (len(t.rstrip("*")), not t.endswith("*"), t)):
+        n, ratio = telling[term]
         stem = term.rstrip("*")
-        if any(stem.startswith(k[:-1]) and 3 * ratio[k] >= ratio[term]
-               for k in kept if k.endswith("*")):
+        if any(3 * kept.get(stem[:k] + "*", 0) >= ratio for k in range(SHORTEST, len(stem) + 1)):
             continue
-        longer = max((n for t, n in telling.items() if t != term and t.startswith(stem)),
-                     default=0)
-        if term.endswith("*") and longer >= 0.95 * telling[term]:
+        if term.endswith("*") and longer.get(stem, 0) >= 0.95 * n:
             continue
-        kept.append(term)
-    weights = {t: float(np.log(ratio[t])) for t in kept}
+        kept[term] = ratio
+    weights = {t: float(np.log(r)) for t, r in kept.items()}
     return Lexicon(tuple((t, w) for t, w in weights.items() if not t.endswith("*")),
                    tuple((t[:-1], w) for t, w in weights.items() if t.endswith("*")))
 
@@ -250,14 +257,27 @@ def training_rows(docs: DataFrame, labels: DataFrame, usable: Column, id_column:
 
 
 def learn(rows: DataFrame) -> Model | None:
-    """A model from the bounded rows of ``training_rows``; None unless both labels occur."""
-    sample = rows.toPandas().sort_values(["id", "text"], ignore_index=True)
-    if sample["label"].nunique() < 2:
+    """A model from the bounded rows of ``training_rows``; None unless both labels occur.
+
+    The driver sees the telling terms and eight numbers per row of the sample.
+    """
+    rows = stored(rows, "labelled")
+    lexicon = learn_lexicon(rows)
+
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 4 << 20):
+            x = features(batch.column("text"), lexicon)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("label").cast(pa.int32()), pa.array(list(x))],
+                names=["id", "label", "x"])
+
+    seen = rows.select(F.col("id").cast("string").alias("id"), "label", "text").mapInArrow(
+        measured, "id string, label int, x array<double>").collect()
+    seen = sorted((r.id, r.label, r.x) for r in seen)
+    y = np.array([label for _, label, _ in seen], float)
+    if len(set(y)) < 2:
         return None
-    toxic, others = (sample.text[sample.label == k].tolist() for k in (1, 0))
-    lexicon = learn_lexicon(toxic, others)
-    x = features(pa.array(sample.text, pa.string()), lexicon)
-    return Model(lexicon, tuple(fit_logistic(x, sample.label.to_numpy(float))))
+    return Model(lexicon, tuple(fit_logistic(np.array([x for *_, x in seen]), y)))
 
 
 def score(docs: DataFrame, model: Model | None, text_column: str = "text",
