@@ -21,10 +21,10 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coldloop.llm.text import file_system, publish, slices
+from coldloop.llm.text import file_system, give_back, publish, slices
 
 #: Text bytes of a slice and, about, of all documents per bucket.
-SLICE, PER_BUCKET = 4 << 20, 16 << 20
+SLICE, PER_BUCKET = 2 << 20, 16 << 20
 #: Rows in flight: an array per name, ``slice`` and ``bucket`` say where from and where to;
 #: bucket -1 is the slice's own row, which carries what the answers will need.
 PACKED = "slice string, bucket int, a binary, b binary, c binary, d binary"
@@ -140,7 +140,9 @@ def gathered(replies: DataFrame, finish: Callable[[str, dict, list[dict]], pa.Ta
     def collect(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         own = next(r for r in rows if r["bucket"] < 0)
-        return finish(own["slice"], own, [r for r in rows if r["bucket"] >= 0])
+        done = finish(own["slice"], own, [r for r in rows if r["bucket"] >= 0])
+        give_back()
+        return done
 
     return replies.groupBy("slice").applyInArrow(collect, schema)
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
+import sys
 import uuid
 from collections.abc import Iterator
 
@@ -19,7 +21,7 @@ from coldloop.session import scratch_path
 # Fixed value: a word is a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Text bytes handled at once inside a task.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 #: At most this many 64-bit ids are broadcast.
 BROADCAST_IDS = 1_000_000
 
@@ -50,6 +52,13 @@ def without(docs: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFram
     return docs.join(F.broadcast(ids) if few else ids, column, "left_anti")
 
 
+def give_back() -> None:
+    """Return freed memory to the system, as an idle worker would keep it from its neighbours."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str,
            size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that ``column`` holds about ``size`` bytes; a longer text stays whole."""
@@ -62,6 +71,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str,
             stop = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
             yield batch.slice(start, stop - start)
             start = stop
+        del batch
+        give_back()
 
 
 def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
