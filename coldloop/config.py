@@ -34,6 +34,8 @@ class TwinConfig:
     default_heating: float = 0.04
     default_cooling: float = -0.12
     minutes_per_row: int = 10
+    #: Earlier readings a scorer looks back on, where that is more than the lookback.
+    reach: int = 0
 
     @property
     def switch_on_above(self) -> float:
@@ -45,8 +47,9 @@ class TwinConfig:
 
     @property
     def context_rows(self) -> int:
-        """Earlier readings a day needs: the lookback, and one more for the lag feature."""
-        return self.lookback + 1
+        """Earlier readings a day needs: the lookback (or what a scorer looks back on, if
+        that is more), and one more for the lag feature."""
+        return max(self.lookback, self.reach) + 1
 
     @property
     def head_rows(self) -> int:

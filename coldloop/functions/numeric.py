@@ -11,8 +11,9 @@ TEMPERATURE_DIGITS = 9
 POWER_DIGITS = 6
 
 
-def nan_to_null(col: Column) -> Column:
-    return F.when(~F.isnan(col), col)
+def finite_or_null(col: Column) -> Column:
+    """NaN and infinities are no measurements."""
+    return F.when(~F.isnan(col) & (F.abs(col) < float("inf")), col)
 
 
 def half_even(col: Column, digits: int) -> Column:
@@ -21,7 +22,8 @@ def half_even(col: Column, digits: int) -> Column:
 
 
 def to_fixed(col: Column, digits: int) -> Column:
-    return F.rint(col * F.lit(float(10 ** digits))).cast("bigint")
+    """In whole units; null where they exceed 64 bits."""
+    return F.rint(col * F.lit(float(10 ** digits))).try_cast("bigint")
 
 
 def from_fixed(col: Column, digits: int) -> Column:

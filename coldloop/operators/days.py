@@ -26,18 +26,20 @@ class Frames:
 
     df: DataFrame
     keys: tuple[str, ...]
+    #: Rows before a slice row that are sure to be there; None: all of the asset's.
+    reach: int | None = None
 
     @property
     def order(self) -> WindowSpec:
         return Window.partitionBy(*self.keys).orderBy("timestamp", "reading_id")
 
     def map(self, change: Callable[[DataFrame], DataFrame]) -> Frames:
-        return Frames(change(self.df), self.keys)
+        return Frames(change(self.df), self.keys, self.reach)
 
     def with_columns(self, columns: dict[str, Column]) -> Frames:
         return self.map(lambda df: df.withColumns(columns))
 
-    def slices(self, cfg: TwinConfig = TwinConfig()) -> DataFrame:
+    def slices(self, cfg: TwinConfig) -> DataFrame:
         return self.df.where(F.col("k").between(0, cfg.rows_per_day - 1))
 
 
@@ -187,7 +189,7 @@ def assemble(heads: DataFrame, tails: DataFrame, days: DataFrame, sources: DataF
         .withColumn("k", (F.col("pos") - start).cast("int"))
         .drop("first_pos")
     )
-    return Frames(rows, KEY)
+    return Frames(rows, KEY, cfg.context_rows - 1)
 
 
 def with_lag_feature(frames: Frames) -> Frames:

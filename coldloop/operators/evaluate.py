@@ -43,10 +43,10 @@ def split_date(readings: DataFrame, share: float = 2 / 3) -> dt.date:
     return first + dt.timedelta(days=int(((last - first).days + 1) * share))
 
 
-def score_thermal_variants(frames: D.Frames) -> DataFrame:
+def score_thermal_variants(frames: D.Frames, cfg: TwinConfig) -> DataFrame:
     for scorer in thermal_variants().values():
         frames = scorer(frames)
-    return frames.slices()
+    return frames.slices(cfg)
 
 
 def _error_rows(df: DataFrame, target: str, actual: str, predicted: dict[str, str]) -> DataFrame:
@@ -57,10 +57,11 @@ def _error_rows(df: DataFrame, target: str, actual: str, predicted: dict[str, st
     return df.select(F.inline(pairs)).select("model", F.lit(target).alias("target"), "error")
 
 
-def model_errors(readings: DataFrame, frames: D.Frames, cutoff: dt.date) -> DataFrame:
+def model_errors(readings: DataFrame, frames: D.Frames, cutoff: dt.date,
+                 cfg: TwinConfig = TwinConfig()) -> DataFrame:
     """MAE and RMSE per variant. Power models learn before ``cutoff`` and are tested after."""
     thermal = _error_rows(
-        score_thermal_variants(frames), TEMPERATURE, "T_int",
+        score_thermal_variants(frames, cfg), TEMPERATURE, "T_int",
         {label: f"t_{i}" for i, label in enumerate(thermal_variants())})
     leaves = LeafMeans.fit(readings.where(F.col("d") < F.lit(cutoff)), DEPTHS)
     later = readings.where(F.col("d") >= F.lit(cutoff))
@@ -96,7 +97,7 @@ def variant_kpis(readings: DataFrame, frames: D.Frames,
     """
     from coldloop.plans.twin import controlled
 
-    scored = score_thermal_variants(D.with_seed(frames))
+    scored = score_thermal_variants(D.with_seed(frames), cfg)
     labels = list(thermal_variants())
     forecasts = F.array(*(
         F.struct(F.lit(label).alias("thermal"), F.col(f"t_{i}").alias("t_int_pred"))
@@ -107,7 +108,7 @@ def variant_kpis(readings: DataFrame, frames: D.Frames,
         scored.select(*kept, F.inline(forecasts))
         .withColumn("asset_id", F.struct("asset_id", "thermal")).drop("thermal")
     )
-    leaves = LeafMeans.fit(readings, DEPTHS, cfg)
+    leaves = LeafMeans.fit(readings, DEPTHS)
     run = leaves.apply(long, "t_int_pred", "Etat_Compresseur", "pred")
     run = leaves.apply(controlled(run, cfg), "t_int_opt", "etat_opt", "opt")
     pairs = F.array(*(

@@ -18,28 +18,43 @@ from coldloop.session import scratch_path
 from coldloop.sources.readings import with_time_features
 
 
+#: Boosting rounds of a power model.
+ROUNDS = 50
+
+
 def lookback_vectors(frames: D.Frames, scaler: Scaler,
                      cfg: TwinConfig = TwinConfig()) -> DataFrame:
     """Slice rows with the flattened, scaled lookback as an ML vector.
 
-    The very first reading of an asset has no predecessor; its own temperature fills in.
+    The very first reading of an asset has no predecessor; its own temperature fills in. Rows
+    with an unknown value in their lookback are marked by ``known``: they train nothing and
+    are scored null.
     """
     filled = D.with_lag_feature(frames).map(with_time_features).with_columns({
         "T_int_lag_1": F.coalesce("T_int_lag_1", "T_int"), "actual": F.col("T_int")})
     rows = flat_lookback(with_lookback(filled.map(scaler.apply), cfg).slices(cfg))
-    return rows.withColumn("vector", array_to_vector(F.col("flat").cast("array<double>")))
+    known = F.forall("flat", lambda x: x.isNotNull() & ~F.isnan(x))
+    filled = F.when(known, F.col("flat").cast("array<double>")).otherwise(
+        F.array_repeat(F.lit(0.0), F.size("flat")))
+    return rows.withColumns({"vector": array_to_vector(filled), "known": known})
 
 
 def train_thermal(vectors: DataFrame, cutoff: dt.date) -> PipelineModel:
     """Fits on the days before ``cutoff``; the normal equations need one pass."""
     regression = LinearRegression(featuresCol="vector", labelCol="actual",
                                   predictionCol="t_int_pred", solver="normal", regParam=1e-3)
-    earlier = vectors.where(F.col("d") < F.lit(cutoff)).where("actual is not null")
+    earlier = vectors.where(F.col("d") < F.lit(cutoff)).where("actual is not null and known")
     return Pipeline(stages=[regression]).fit(earlier.select("vector", "actual"))
 
 
+def score_thermal(model: PipelineModel, vectors: DataFrame) -> DataFrame:
+    """Adds ``t_int_pred``; null where the lookback is not fully known."""
+    return model.transform(vectors).withColumn(
+        "t_int_pred", F.when(F.col("known"), F.col("t_int_pred")))
+
+
 def train_power(readings: DataFrame, cutoff: dt.date, depth: int = 5,
-                rounds: int = 5) -> PipelineModel:
+                rounds: int = ROUNDS) -> PipelineModel:
     """Boosted trees of one depth over (temperature, state), fitted before ``cutoff``."""
     columns = ["model_T_int", "model_state"]
     earlier = (

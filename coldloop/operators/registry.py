@@ -29,20 +29,25 @@ def normalised(name: Column) -> Column:
 
 
 def with_paths(models: DataFrame) -> DataFrame:
-    """Model, scaler and validation picture of each registry row."""
+    """Model, scaler and the three pictures of each registry row."""
     artifact = F.trim("artifact")
     thermal = F.col("family") == THERMAL
     folder = F.concat_ws("/", F.lit(MODEL_ROOT), F.concat(F.lit("modeles_"), "family"))
     own_folder = F.concat_ws("/", folder, artifact)
     suffix = F.replace(artifact, F.lit("lstm_"), F.lit(""))
     thermal_file = F.concat(F.lit("modele_physicien_"), artifact, F.lit(".keras"))
-    picture = F.concat(F.lit("validation_vs_test_"), suffix, F.lit(".png"))
+    pictures = {
+        "picture_path": F.concat(F.lit("validation_vs_test_"), suffix, F.lit(".png")),
+        "importance_path": F.concat(F.lit("feature_importance_lstm_"), suffix, F.lit(".png")),
+        "curve_path": F.concat(F.lit("learning_curve_"), suffix, F.lit(".png")),
+    }
     return models.select(
         "*",
         F.when(thermal, F.concat_ws("/", own_folder, thermal_file)).otherwise(own_folder)
         .alias("model_path"),
         F.when(thermal, F.concat_ws("/", own_folder, F.lit("scaler.pkl"))).alias("scaler_path"),
-        F.when(thermal, F.concat_ws("/", own_folder, picture)).alias("picture_path"),
+        *(F.when(thermal, F.concat_ws("/", own_folder, picture)).alias(name)
+          for name, picture in pictures.items()),
     )
 
 

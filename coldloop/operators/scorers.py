@@ -14,24 +14,29 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from coldloop.config import TwinConfig
 from coldloop.functions.numeric import (
-    POWER_DIGITS, from_fixed, half_even, nan_to_null, to_fixed,
+    POWER_DIGITS, TEMPERATURE_DIGITS, finite_or_null, from_fixed, half_even, to_fixed,
 )
 from coldloop.operators.days import Frames
 
 ThermalScorer = Callable[[Frames], Frames]
-SENSOR_DIGITS = 2
 
 
-def lookback_mean(steps: int = 12, recency: bool = False, digits: int = SENSOR_DIGITS,
+def reaching(scorer: ThermalScorer, steps: int) -> ThermalScorer:
+    """Declares how many earlier readings a scorer looks back on, so that frames hold them."""
+    scorer.reach = steps
+    return scorer
+
+
+def lookback_mean(steps: int = 12, recency: bool = False,
                   out: str = "t_int_pred") -> ThermalScorer:
-    """Mean of the previous ``steps`` temperatures, floored to the sensor's resolution.
+    """Mean of the previous ``steps`` temperatures, rounded half-even to billionths.
 
-    With ``recency`` the newest reading weighs ``steps`` times as much as the oldest.
+    With ``recency`` the newest reading weighs ``steps`` times as much as the oldest. Without it,
+    missing temperatures are left out.
     """
     def score(frames: Frames) -> Frames:
-        reading = to_fixed(F.col("T_int"), digits)
+        reading = to_fixed(F.col("T_int"), TEMPERATURE_DIGITS)
         if recency:
             value = F.lit(0).cast("bigint")
             for age in range(1, steps + 1):
@@ -40,24 +45,29 @@ def lookback_mean(steps: int = 12, recency: bool = False, digits: int = SENSOR_D
         else:
             before = frames.order.rowsBetween(-steps, -1)
             mean = F.try_divide(F.sum(reading).over(before), F.count(reading).over(before))
-        return frames.with_columns({out: from_fixed(F.floor(mean), digits)})
-    return score
+        return frames.with_columns({out: from_fixed(F.rint(mean), TEMPERATURE_DIGITS)})
+    return reaching(score, steps)
+
 
+def array_mean_udf(steps: int = 12) -> ThermalScorer:
+    """The same forecast as ``lookback_mean`` through the user-code hook: a pandas UDF.
+
+    Every row is scored: missing temperatures reach the function as NaN, and it returns NaN,
+    here null, where it has nothing to average.
+    """
+    scale = 10.0 ** TEMPERATURE_DIGITS
 
-def array_mean_udf(steps: int = 12, digits: int = SENSOR_DIGITS) -> ThermalScorer:
-    """The same forecast as ``lookback_mean`` through the user-code hook: a pandas UDF."""
     @F.pandas_udf("double")
-    def floor_mean(values: pd.Series) -> pd.Series:
-        units = np.rint(np.vstack(values.to_numpy()) * 10 ** digits)
-        return pd.Series(np.floor(units.sum(axis=1) / units.shape[1]) / 10 ** digits)
+    def mean(values: pd.Series) -> pd.Series:
+        units = [np.rint(v[~np.isnan(v)] * scale) for v in values]
+        return pd.Series([np.rint(u.sum() / len(u)) / scale if len(u) else np.nan for u in units])
 
     def score(frames: Frames) -> Frames:
-        before = F.collect_list("T_int").over(frames.order.rowsBetween(-steps, -1))
-        full = frames.with_columns({"before": before}).map(
-            lambda df: df.where(F.size("before") == steps))
-        return full.with_columns({"t_int_pred": floor_mean("before")}).map(
-            lambda df: df.drop("before"))
-    return score
+        reading = F.coalesce("T_int", F.lit(float("nan")))
+        before = F.collect_list(reading).over(frames.order.rowsBetween(-steps, -1))
+        return frames.with_columns({"before": before}).with_columns(
+            {"t_int_pred": finite_or_null(mean("before"))}).map(lambda df: df.drop("before"))
+    return reaching(score, steps)
 
 
 def running(state: Column) -> Column:
@@ -105,37 +115,37 @@ class LeafMeans(PowerScorer):
     """Mean power per state and temperature bin, at several nested bin widths.
 
     A stand-in for trees of a given depth: the first split is the state, each further
-    level halves the temperature range. Bins outside the range fall into the outer ones,
-    and an empty leaf takes the mean of its state.
+    level halves the range of temperatures seen when fitting. Temperatures outside fall into the
+    outer bins, an empty leaf takes the mean of its state, and an unknown temperature gives null.
     """
 
     leaves: DataFrame
     depths: tuple[int, ...]
-    centre: float
-    reach: float
+    low: float
+    high: float
 
     @staticmethod
-    def _bin(temperature: Column, bins: int, centre: float, reach: float) -> Column:
-        at = F.floor((temperature - F.lit(centre - reach)) * F.lit(float(bins))
-                     / F.lit(2 * reach))
-        return F.greatest(F.least(at, F.lit(bins - 1)), F.lit(0))
+    def _bin(temperature: Column, bins: int, low: float, high: float) -> Column:
+        at = F.floor((temperature - F.lit(low)) * F.lit(float(bins))
+                     / F.lit(high - low if high > low else 1.0))
+        return F.when(temperature.isNotNull(), F.greatest(F.least(at, F.lit(bins - 1)), F.lit(0)))
 
     @classmethod
-    def fit(cls, readings: DataFrame, depths: tuple[int, ...] = (3, 5, 7, 9),
-            cfg: TwinConfig = TwinConfig(), reach: float = 1.5) -> LeafMeans:
+    def fit(cls, readings: DataFrame, depths: tuple[int, ...] = (3, 5, 7, 9)) -> LeafMeans:
         finest = 2 ** (max(depths) - 1)
-        power = to_fixed(F.col("Puissance_Elec_kW"), SENSOR_DIGITS)
-        bins = (
-            readings.where("T_int is not null and Puissance_Elec_kW is not null")
-            .groupBy(running(F.col("Etat_Compresseur")).alias("line"),
-                     cls._bin(F.col("T_int"), finest, cfg.setpoint, reach).alias("bin"))
-            .agg(F.sum(power).alias("units"), F.count("*").alias("n"))
-        )
+        known = readings.where("T_int is not null and Puissance_Elec_kW is not null")
+        low, high = known.agg(F.min("T_int"), F.max("T_int")).first()
+        low, high = low or 0.0, high or 0.0
+        power = to_fixed(F.col("Puissance_Elec_kW"), POWER_DIGITS)
+        bins = known.groupBy(
+            running(F.col("Etat_Compresseur")).alias("line"),
+            cls._bin(F.col("T_int"), finest, low, high).alias("bin")
+        ).agg(F.sum(power).alias("units"), F.count("*").alias("n"))
         # At most 2 x finest rows from here on: every leaf with its ancestors' means.
         grid = readings.sparkSession.range(2 * finest).select(
             (F.col("id") >= finest).alias("line"), (F.col("id") % finest).alias("bin"))
         leaves = grid.join(bins, ["line", "bin"], "left")
-        scale = F.lit(float(10 ** SENSOR_DIGITS))
+        scale = F.lit(float(10 ** POWER_DIGITS))
         whole = Window.partitionBy("line")
         fallback = F.sum("units").over(whole) / F.sum("n").over(whole)
         means = {}
@@ -145,7 +155,7 @@ class LeafMeans(PowerScorer):
             mean = F.sum("units").over(leaf) / F.sum("n").over(leaf)
             means[f"depth_{depth}"] = F.coalesce(mean, fallback) / scale
         return cls(leaves.select("line", "bin", *(c.alias(n) for n, c in means.items())),
-                   tuple(depths), cfg.setpoint, reach)
+                   tuple(depths), low, high)
 
     def apply(self, df: DataFrame, temperature: str, state: str, out: str) -> DataFrame:
         """Adds ``<out>_<depth>`` for every depth, with one broadcast of the leaf table."""
@@ -155,7 +165,7 @@ class LeafMeans(PowerScorer):
             *(F.col(f"depth_{d}").alias(f"{out}_{d}") for d in self.depths))
         return (
             df.withColumn("line", running(F.col(state)))
-            .withColumn("bin", self._bin(F.col(temperature), finest, self.centre, self.reach))
+            .withColumn("bin", self._bin(F.col(temperature), finest, self.low, self.high))
             .join(F.broadcast(leaves), ["line", "bin"], "left")
             .drop("line", "bin")
         )
@@ -170,7 +180,8 @@ class ModelPower(PowerScorer):
     def apply(self, df: DataFrame, temperature: str, state: str, out: str) -> DataFrame:
         inputs = df.withColumns({"model_T_int": F.col(temperature), "model_state": F.col(state)})
         scored = self.model.transform(inputs)
+        known = F.col("model_T_int").isNotNull() & F.col("model_state").isNotNull()
         return (
-            scored.withColumn(out, nan_to_null(F.col("prediction")))
+            scored.withColumn(out, F.when(known, finite_or_null(F.col("prediction"))))
             .drop("model_T_int", "model_state", "power_inputs", "prediction")
         )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +13,8 @@ from coldloop.operators.days import KEY, Frames
 from coldloop.sources.readings import with_time_features
 
 SCALER_SCHEMA = "feature string, mean double, std double"
-# Below this spread a feature counts as constant; sums of squares are not exact.
-CONSTANT = 1e-7
+# Below this spread a feature counts as constant.
+CONSTANT = 1e-9
 
 
 @dataclass(frozen=True)
@@ -27,33 +26,19 @@ class Scaler:
 
     @classmethod
     def fit(cls, readings: DataFrame) -> Scaler:
-        """One aggregated row of sums.
+        """One aggregated row of means and deviations.
 
-        The lag feature holds every indoor temperature but each asset's last, so its
-        moments come from the same partial sums and no row has to be ordered.
+        The lag feature holds every indoor temperature but each asset's last, so it is
+        measured on the readings themselves and no row has to be ordered.
         """
-        direct = [f for f in FEATURES if f != "T_int_lag_1"]
-        sums = []
-        for name in direct:
-            col = F.col(name)
-            sums += [F.count(col).alias(f"{name}_n"), F.sum(col).alias(f"{name}_s"),
-                     F.sum(col * col).alias(f"{name}_q")]
-        per_asset = with_time_features(readings).groupBy("asset_id").agg(
-            *sums, F.max_by("T_int", F.struct("timestamp", "reading_id")).alias("last_value"))
-        last = F.col("last_value")
-        totals = per_asset.agg(
-            *(F.sum(f"{f}_{part}").alias(f"{f}_{part}") for f in direct for part in "nsq"),
-            (F.sum("T_int_n") - F.count(last)).alias("T_int_lag_1_n"),
-            (F.sum("T_int_s") - F.coalesce(F.sum(last), F.lit(0.0))).alias("T_int_lag_1_s"),
-            (F.sum("T_int_q") - F.coalesce(F.sum(last * last), F.lit(0.0))).alias("T_int_lag_1_q"),
-        ).first()
-        mean, std = {}, {}
-        for name in FEATURES:
-            n = totals[f"{name}_n"] or 1
-            mean[name] = (totals[f"{name}_s"] or 0.0) / n
-            variance = (totals[f"{name}_q"] or 0.0) / n - mean[name] ** 2
-            std[name] = math.sqrt(max(variance, 0.0))
-        return cls(mean, std)
+        stamp = F.struct("timestamp", "reading_id")
+        last = readings.groupBy("asset_id").agg(F.max(stamp).alias("last"))
+        rows = with_time_features(readings).join(last, "asset_id").withColumn(
+            "T_int_lag_1", F.when(stamp != F.col("last"), F.col("T_int")))
+        found = rows.agg(*(measure(F.col(name)).alias(f"{name}_{part}") for name in FEATURES
+                           for part, measure in (("mean", F.avg), ("std", F.stddev_pop)))).first()
+        return cls({name: found[f"{name}_mean"] or 0.0 for name in FEATURES},
+                   {name: found[f"{name}_std"] or 0.0 for name in FEATURES})
 
     def apply(self, df: DataFrame) -> DataFrame:
         """Replaces each feature by (x - mean) / std; a constant feature is only centred."""

@@ -39,6 +39,15 @@ def page(df: DataFrame, number: int, size: int = PAGE_SIZE) -> DataFrame:
     return newest_first(df).offset(number * size).limit(size)
 
 
+def page_before(df: DataFrame, timestamp: str, size: int = PAGE_SIZE) -> DataFrame:
+    """The page that follows ``timestamp`` in the newest-first order.
+
+    A filter on the key, so the depth of the page costs nothing; rows that share the last shown
+    timestamp belong to the page before.
+    """
+    return newest_first(df.where(F.col("timestamp") < F.lit(timestamp))).limit(size)
+
+
 def simulation_table(sliced: DataFrame) -> DataFrame:
     """The raw columns of each day's slice, rounded."""
     return rounded(

@@ -59,21 +59,44 @@ def base(asset: str) -> dict[str, str]:
     }
 
 
+def condensed(parts: dict[str, str]) -> dict[str, str]:
+    """The same parts on ten-minute means of the readings."""
+    def mean(name: str, digits: int) -> str:
+        units = fixed(f'"{name}"', digits)
+        return (f"round_even(sum({units})::DOUBLE / count({units})::DOUBLE, 0)"
+                f' / 1e{digits}::DOUBLE AS "{name}"')
+
+    features = parts["source"][parts["source"].index("sin("):parts["source"].index("FROM events")]
+    return {
+        "raw": parts["source"],
+        "windows": f"""
+            SELECT asset_id, time_bucket(INTERVAL 10 MINUTE, ts) AS opened,
+                   min(reading_id) AS reading_id, {mean('T_ext', 9)}, {mean('T_int', 9)},
+                   arg_max("Etat_Compresseur", (ts, reading_id)) AS "Etat_Compresseur",
+                   {mean('Puissance_Elec_kW', 6)}
+            FROM raw GROUP BY 1, 2""",
+        "source": f"""
+            SELECT *, CAST(ts AS DATE) AS d, {features}
+            FROM (SELECT * RENAME (opened AS ts) FROM windows)""",
+        **{name: body for name, body in parts.items() if name != "source"},
+    }
+
+
 def weighted(steps: int) -> str:
     terms = [f"{steps + 1 - age} * lag(u, {age}) OVER w" for age in range(1, steps + 1)]
-    return (f"floor(CAST({' + '.join(terms)} AS DOUBLE) / {steps * (steps + 1) // 2}::DOUBLE)"
-            " / 100::DOUBLE")
+    return (f"round_even(CAST({' + '.join(terms)} AS DOUBLE) / {steps * (steps + 1) // 2}::DOUBLE, 0)"
+            " / 1e9::DOUBLE")
 
 
 def plain(steps: int) -> str:
     frame = f"(PARTITION BY asset_id ORDER BY pos ROWS BETWEEN {steps} PRECEDING AND 1 PRECEDING)"
-    return (f"floor(CAST(sum(u) OVER {frame} AS DOUBLE) / count(u) OVER {frame})"
-            " / 100::DOUBLE")
+    return (f"round_even(CAST(sum(u) OVER {frame} AS DOUBLE) / count(u) OVER {frame}, 0)"
+            " / 1e9::DOUBLE")
 
 
 def forecasts() -> dict[str, str]:
     return {
-        "units": f"SELECT *, {fixed('\"T_int\"', 2)} AS u FROM ordered",
+        "units": f"SELECT *, {fixed('\"T_int\"', 9)} AS u FROM ordered",
         "all_forecasts": f"""
             SELECT asset_id, pos, {plain(12)} AS plain_12, {plain(6)} AS plain_6,
                    {weighted(12)} AS weighted_12, {weighted(6)} AS weighted_6
@@ -167,11 +190,12 @@ def kpi_sql(keys: str, source: str, optimise: bool = True) -> str:
 
 
 def leaves(source: str, depths=(3, 5, 7, 9)) -> dict[str, str]:
-    """Leaf means per state and nested temperature bin of width 3/256."""
+    """Leaf means per state and nested temperature bin, 256 between the extremes."""
     spec = {
+        "bounds": f'SELECT min("T_int") AS low, max("T_int") AS high FROM {source}',
         "leaf_rows": f"""
             SELECT coalesce("Etat_Compresseur" = 1, FALSE) AS line, {leaf_bin('"T_int"')} AS bin,
-                   {fixed('"Puissance_Elec_kW"', 2)} AS u FROM {source}""",
+                   {fixed('"Puissance_Elec_kW"', 6)} AS u FROM {source}""",
         "state_means": "SELECT line, sum(u)::DOUBLE / count(*) AS mean FROM leaf_rows GROUP BY 1",
     }
     for depth in depths:
@@ -182,7 +206,8 @@ def leaves(source: str, depths=(3, 5, 7, 9)) -> dict[str, str]:
 
 
 def leaf_bin(t: str) -> str:
-    return (f"greatest(least(CAST(floor(({t} - 5.5::DOUBLE) * 256::DOUBLE / 3::DOUBLE) AS BIGINT),"
+    low, high = "(SELECT low FROM bounds)", "(SELECT high FROM bounds)"
+    return (f"greatest(least(CAST(floor(({t} - {low}) * 256::DOUBLE / ({high} - {low})) AS BIGINT),"
             " 255), 0)")
 
 
@@ -194,7 +219,7 @@ def with_leaves(source: str, t: str, state: str, prefix: str, depths=(3, 5, 7, 9
             f"LEFT JOIN leaves_{depth} {name} ON {name}.line = coalesce(a.{state} = 1, FALSE)"
             f" AND {name}.bin = {leaf_bin('a.' + t)} // {2 ** (9 - depth)}")
         columns.append(f"CASE WHEN a.{t} IS NOT NULL THEN coalesce({name}.mean, m.mean)"
-                       f" / 100::DOUBLE END AS {prefix}_{depth}")
+                       f" / 1e6::DOUBLE END AS {prefix}_{depth}")
     return f"""
         SELECT a.*, {', '.join(columns)} FROM {source} a
         LEFT JOIN state_means m ON m.line = coalesce(a.{state} = 1, FALSE) {' '.join(joins)}"""
@@ -386,6 +411,17 @@ def oracle_sql() -> dict[str, str]:
         "energy_optimised": statement(t, f"SELECT {ROW}, t_int_opt, etat_opt, pwr_opt FROM twin"),
         "twin_day": statement(t, full),
         "twin_day_split": statement(t, full),
+        "twin_day_cadence": statement({**condensed(b), **forecasts(), **control(),
+                                       **power_lines()}, full),
+        "day_overflow": statement(b, f"""
+            SELECT asset_id, {D_TEXT}, last_pos - first_pos + 1 AS readings,
+                   least(available, 144) AS in_slice, greatest(available - 144, 0) AS beyond_cap
+            FROM (SELECT *, greatest(last_pos + 1 - greatest(first_pos, 12), 0) AS available
+                  FROM days)"""),
+        "run_metrics": statement(f, """
+            SELECT count(t_int_pred) AS rows_scored, count(*) FILTER (WHERE k = 0) AS days_scored,
+                   count(*) FILTER (WHERE k = 0) AS thermal_calls,
+                   2 * count(*) FILTER (WHERE k = 0) AS power_calls FROM forecast"""),
         "fleet_twin_day": statement(fleet, full),
         "fleet_twin_day_split": statement(fleet, full),
         "twin_latest_date": statement(t, f"""
@@ -419,6 +455,11 @@ def oracle_sql() -> dict[str, str]:
         "optimisation_page": statement(t, f"""
             SELECT asset_id, timestamp, {shown} FROM ({stored} {newest} LIMIT 20 OFFSET 40)"""),
         "optimisation_sink": statement(t, stored),
+        "optimisation_upsert": statement(t, stored),
+        "optimisation_replace": statement(t, f"""
+            SELECT asset_id, timestamp, {shown} FROM ({stored} WHERE d >=
+                (SELECT min(d) + CAST(floor((max(d) - min(d) + 1) * 0.5::DOUBLE) AS INTEGER)
+                 FROM source) {newest})"""),
         "simulation_table": statement(b, f"""
             SELECT {ROW}, {ts_text('ts')} AS timestamp, {', '.join(
                 f'{even(f"{col}", 2)} AS {col}'
@@ -437,10 +478,14 @@ def oracle_sql() -> dict[str, str]:
                        THEN 'modele_physicien_' || artifact || '.keras' END) AS model_path,
                    CASE WHEN {thermal} THEN {root} || family || '/' || artifact || '/scaler.pkl'
                    END AS scaler_path,
-                   CASE WHEN {thermal} THEN {root} || family || '/' || artifact
-                       || '/validation_vs_test_' || replace(artifact, 'lstm_', '') || '.png'
-                   END AS picture_path, n
-            FROM errors JOIN registry ON replace(model, '_', ' ') = label"""),
+                   {', '.join(f"""CASE WHEN {thermal} THEN {root} || family || '/' || artifact
+                       || '/{start}' || replace(artifact, 'lstm_', '') || '.png'
+                   END AS {name}""" for name, start in (
+                       ("picture_path", "validation_vs_test_"),
+                       ("importance_path", "feature_importance_lstm_"),
+                       ("curve_path", "learning_curve_")))}, n
+            FROM (SELECT reading_id % 8 AS i, count(*) AS n FROM source GROUP BY 1)
+            JOIN (SELECT *, row_number() OVER () - 1 AS i FROM registry) USING (i)"""),
         "metrics_table": statement(e, f"""
             SELECT model, target, printf('%.4f', {even('mae', 4)}) AS mae,
                    printf('%.4f', {even('rmse', 4)}) AS rmse,

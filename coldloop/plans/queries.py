@@ -13,7 +13,8 @@ from coldloop.config import FEATURES, OPTIMISATION_COLUMNS, TwinConfig
 from coldloop.functions.calendar import date_text, timestamp_text
 from coldloop.functions.numeric import half_even
 from coldloop.operators import days as D
-from coldloop.operators import evaluate, kpi, learning, metrics, registry, sequences, tables
+from coldloop.operators import cadence, evaluate, kpi, learning, metrics, registry, sequences, tables
+from coldloop.operators.cadence import to_cadence
 from coldloop.operators.layout import measure
 from coldloop.operators.ordering import (
     positions_by_range, positions_by_segment, with_positions,
@@ -240,6 +241,19 @@ def twin_day_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return full_twin(source, D.frames_by_day(source, CFG, crowded))
 
 
+@register
+def twin_day_cadence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twin on ten-minute means of all readings, where the day cap leaves nothing out."""
+    source = to_cadence(read_events(spark, sf_dir))
+    return full_twin(source, D.day_frames(source, CFG))
+
+
+@register
+def day_overflow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings that the day cap leaves out of the uncondensed table."""
+    return edge(cadence.day_overflow(D.day_index(read_events(spark, sf_dir)), CFG))
+
+
 @register
 def fleet_twin_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every user an asset of its own: many assets with sparse days."""
@@ -328,6 +342,30 @@ def optimisation_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edge(store.read(), "asset_id", *OPTIMISATION_COLUMNS)
 
 
+@register
+def optimisation_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two results are stored one after the other; the table holds and shows the latest."""
+    rows = tables.optimisation_rows(_twin(spark, sf_dir))
+    cutoff = evaluate.split_date(read_events(spark, sf_dir), 0.5)
+    store = results.OptimisationStore(spark, scratch_path(spark, "optimisations"))
+    store.create()
+    store.replace(rows.where(F.col("d") < F.lit(cutoff)))
+    store.replace(rows.where(F.col("d") >= F.lit(cutoff)))
+    return edge(tables.rounded(tables.newest_first(store.read().drop("d"))))
+
+
+@register
+def optimisation_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Assets stored one after the other on the same dates; each keeps its own rows."""
+    rows = tables.optimisation_rows(_twin(spark, sf_dir)).persist()
+    store = results.OptimisationStore(spark, scratch_path(spark, "optimisations"))
+    store.create()
+    for asset in (0, 1, 0):
+        store.upsert(rows.where(F.col("asset_id") == asset))
+    rows.unpersist()
+    return edge(store.read(), "asset_id", *OPTIMISATION_COLUMNS)
+
+
 @register
 def simulation_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = with_time_features(_frames(spark, sf_dir).slices(CFG))
@@ -371,13 +409,14 @@ def model_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def model_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The registry rows and paths of the models evaluated on the readings."""
-    named = _errors(spark, sf_dir).select(
-        F.concat(F.lit(" "), F.replace("model", F.lit("_"), F.lit(" ")), F.lit(" ")).alias("name"),
-        "n")
-    found = registry.with_paths(registry.lookup(named, registry.registry(spark), "name"))
+    """Registry rows and paths of the labels that readings are dealt to, with their numbers."""
+    labels = F.array(*(F.lit(f" {label} ") for _, label, _ in registry.MODELS))
+    dealt = read_events(spark, sf_dir).select(
+        F.element_at(labels, (F.col("reading_id") % len(registry.MODELS) + 1).cast("int"))
+        .alias("name")).groupBy("name").agg(F.count("*").alias("n"))
+    found = registry.with_paths(registry.lookup(dealt, registry.registry(spark), "name"))
     return edge(found, "family", "label", "artifact", "model_path", "scaler_path",
-                "picture_path", "n")
+                "picture_path", "importance_path", "curve_path", "n")
 
 
 @register
@@ -398,7 +437,7 @@ def variant_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.run_metrics(_twin(spark, sf_dir))
+    return metrics.run_counts(_twin(spark, sf_dir))
 
 
 @register
@@ -412,7 +451,7 @@ def thermal_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
         D.day_frames(source, CFG), sequences.Scaler.load(spark, scaler_path), CFG)
     model = learning.save_and_load(
         learning.train_thermal(vectors, cutoff), source, "thermal-model")
-    later = model.transform(vectors.where(F.col("d") >= F.lit(cutoff)))
+    later = learning.score_thermal(model, vectors.where(F.col("d") >= F.lit(cutoff)))
     return edge(six(later, "t_int_pred"), *DAY_ROW, "t_int_pred")
 
 

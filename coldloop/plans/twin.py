@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 
@@ -14,10 +15,18 @@ from coldloop.operators.scorers import PowerLine, PowerScorer, ThermalScorer, lo
 from coldloop.operators.slopes import with_rolling_slopes, with_slopes
 
 
+def reach_of(thermal: ThermalScorer | None, cfg: TwinConfig) -> int:
+    """Earlier readings a scorer needs; one that does not say is taken to need the lookback."""
+    return getattr(thermal, "reach", cfg.lookback)
+
+
 def forecast(frames: D.Frames, cfg: TwinConfig = TwinConfig(),
              thermal: ThermalScorer | None = None) -> DataFrame:
     """Slice rows with the seed reading and ``t_int_pred``."""
     thermal = thermal or lookback_mean(cfg.lookback)
+    if frames.reach is not None and reach_of(thermal, cfg) > frames.reach:
+        raise ValueError(f"the scorer looks back on {reach_of(thermal, cfg)} readings and the "
+                         f"frames hold {frames.reach}; set TwinConfig.reach")
     return thermal(D.with_seed(frames)).slices(cfg)
 
 
@@ -37,6 +46,7 @@ def twin_days(readings: DataFrame, cfg: TwinConfig = TwinConfig(),
               thermal: ThermalScorer | None = None, power: PowerScorer | None = None,
               layout: Layout | None = None, wanted: DataFrame | None = None) -> DataFrame:
     """Every asset-day (or those ``wanted``) with forecasts, controller and power."""
+    cfg = replace(cfg, reach=max(cfg.reach, reach_of(thermal, cfg)))
     frames = D.day_frames(readings, cfg, layout, wanted)
     return twin_from_frames(frames, power or PowerLine.fit(readings), cfg, thermal)
 
@@ -44,4 +54,5 @@ def twin_days(readings: DataFrame, cfg: TwinConfig = TwinConfig(),
 def twin_date(readings: DataFrame, day: dt.date, power: PowerScorer,
               cfg: TwinConfig = TwinConfig(), thermal: ThermalScorer | None = None) -> DataFrame:
     """One calendar date over all assets; an unknown date gives no rows."""
+    cfg = replace(cfg, reach=max(cfg.reach, reach_of(thermal, cfg)))
     return twin_from_frames(D.frames_for_date(readings, day, cfg), power, cfg, thermal)

@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from coldloop.config import READINGS_SCHEMA
 from coldloop.functions.calendar import cyclic_features, to_naive_timestamp
-from coldloop.functions.numeric import nan_to_null
+from coldloop.functions.numeric import finite_or_null
 
 # Event types that count as a running compressor in the derived readings.
 RUNNING_EVENTS = ("click", "purchase")
 
 
 def normalise(raw: DataFrame) -> DataFrame:
-    """Readings columns in fixed types, NaN as null, plus the calendar date ``d``.
+    """Readings columns in fixed types, non-finite as null, plus the calendar date ``d``.
 
     Rows without an asset or a timestamp have no place in any time order, so they go.
     """
@@ -23,7 +23,7 @@ def normalise(raw: DataFrame) -> DataFrame:
     for field in READINGS_SCHEMA.fields:
         col = F.col(field.name)
         if field.dataType.typeName() == "double":
-            col = nan_to_null(col.cast("double"))
+            col = finite_or_null(col.cast("double"))
         columns.append(col.cast(field.dataType).alias(field.name))
     return (
         typed.select(*columns)

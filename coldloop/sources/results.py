@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from coldloop.config import METRICS_SCHEMA, OPTIMISATION_SCHEMA
+from coldloop.session import scratch_path
 
 
 @dataclass
@@ -34,8 +35,20 @@ class OptimisationStore:
         self._write(rows, "static")
 
     def upsert(self, rows: DataFrame) -> None:
-        """Replaces the dates present in ``rows`` and keeps all others."""
-        self._write(rows, "dynamic")
+        """Replaces the asset-days present in ``rows`` and keeps all others.
+
+        Only the dates in ``rows`` are rewritten, together with what other assets have there. The
+        new content is complete in the shared folder before a date is touched.
+        """
+        rows = rows.select(*OPTIMISATION_SCHEMA.names)
+        days = rows.select("asset_id", "d").distinct()
+        # An equi-join on the partition column: untouched dates are not read where Spark prunes.
+        others = (
+            self.read().join(rows.select("d").distinct(), "d", "left_semi")
+            .join(days, ["asset_id", "d"], "left_anti").select(*OPTIMISATION_SCHEMA.names))
+        path = scratch_path(self.spark, "upsert")
+        others.unionByName(rows).write.parquet(path)
+        self._write(self.spark.read.schema(OPTIMISATION_SCHEMA).parquet(path), "dynamic")
 
     def read(self) -> DataFrame:
         return self.spark.read.schema(OPTIMISATION_SCHEMA).parquet(self.path)
@@ -68,9 +81,10 @@ def read_metrics(spark: SparkSession, path: str) -> DataFrame:
 class DayCache:
     """Day results per variant, each asset-day computed once.
 
-    Every call appends one batch: first its rows, then its keys. Rows count only once
-    their keys are there, so a failed batch leaves nothing visible. Days without a result
-    have a key and no rows. A reloaded model is a new ``variant``.
+    Every call appends one batch: first its rows, sorted by date, then its keys. Rows count only once
+    their keys are there, so a failed batch leaves nothing visible. Where overlapping calls
+    stored the same asset-day, the smallest batch is the one that is read. Days without a
+    result have a key and no rows. A reloaded model is a new ``variant``.
     """
 
     spark: SparkSession
@@ -104,10 +118,11 @@ class DayCache:
         missing = self.missing(requested, variant)
         if not missing.isEmpty():
             rows = compute(missing).select(*self.row_schema.names)
-            rows.write.parquet(f"{self.path}/rows/{batch}")
+            rows.sortWithinPartitions("d").write.parquet(f"{self.path}/rows/{batch}")
             missing.write.parquet(f"{self.path}/keys/{batch}")
         keys = self._read("keys", self._KEYS, variant).join(
-            requested.select("asset_id", "d"), ["asset_id", "d"], "left_semi")
+            requested.select("asset_id", "d"), ["asset_id", "d"], "left_semi"
+        ).groupBy("asset_id", "d").agg(F.min("batch").alias("batch"))
         stored = self._read("rows", self._rows, variant)
         return stored.join(keys, ["asset_id", "d", "batch"], "left_semi").select(
             *self.row_schema.names)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections import defaultdict
 
 
@@ -29,9 +28,9 @@ def slices(rows, lookback=12, cap=144):
     return found
 
 
-def floor_mean(history, pos, steps=12):
-    cents = [round(r["T_int"] * 100) for r in history[pos - steps:pos] if r["T_int"] is not None]
-    return math.floor(sum(cents) / len(cents)) / 100
+def mean_before(history, pos, steps=12):
+    units = [round(r["T_int"] * 1e9) for r in history[pos - steps:pos] if r["T_int"] is not None]
+    return round(sum(units) / len(units)) / 1e9
 
 
 def control(preds, recorded, t_init, state_init, high=7.5, low=6.7, memory=10,

@@ -61,8 +61,8 @@ def test_after_a_gap_seed_and_lookback_are_the_last_rows(make_readings, day_of,
     first = lookback_mean(12)(frames).slices(CFG).where((F.col("k") == 0) & (F.col("d") == D9))
     row = first.first()
     assert (row.t_init, row.etat_init) == (rows[29][2], rows[29][3])
-    cents = [round(r[2] * 100) for r in rows[18:30]]
-    assert row.t_int_pred == sum(cents) // 12 / 100
+    units = [round(r[2] * 1e9) for r in rows[18:30]]
+    assert row.t_int_pred == round(sum(units) / 12) / 1e9
 
 
 def random_rows(seed, assets=4, dates=12):
@@ -90,7 +90,7 @@ def test_forecast_matches_brute_force_in_every_layout(make_readings, seed):
         for k, pos in enumerate(positions):
             before = rows[pos - 1]
             want[asset, date, k] = (rows[pos]["reading_id"], before["T_int"],
-                                    before["Etat_Compresseur"], brute.floor_mean(rows, pos))
+                                    before["Etat_Compresseur"], brute.mean_before(rows, pos))
     for name, layout in LAYOUTS.items():
         got = {(r.asset_id, r.d, r.k): (r.reading_id, r.t_init, r.etat_init, r.t_int_pred)
                for r in forecast(layout(readings), CFG).collect()}

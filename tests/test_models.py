@@ -25,7 +25,7 @@ def test_trained_scorers_run_the_whole_twin(spark):
     vectors = learning.lookback_vectors(frames, Scaler.fit(source), CFG)
     assert vectors.first().vector.size == 96
     thermal = learning.save_and_load(learning.train_thermal(vectors, cutoff), source, "thermal")
-    power = learning.save_and_load(learning.train_power(source, cutoff, depth=3), source, "power")
+    power = learning.save_and_load(learning.train_power(source, cutoff, depth=3, rounds=5), source, "power")
     assert isinstance(thermal, PipelineModel) and isinstance(power, PipelineModel)
 
     later = thermal.transform(vectors.where(F.col("d") >= F.lit(cutoff)))
@@ -62,11 +62,12 @@ def test_variants_are_ranked_and_joined_to_the_registry(spark):
     assert all(r.mae <= r.rmse for r in board)
 
 
-def test_run_metrics_count_rows_days_and_calls(spark):
+def test_run_figures_count_rows_days_and_calls(spark):
     source = read_events(spark, SF_DIR)
     scored = forecast(D.day_frames(source, CFG), CFG)
-    row = metrics.run_metrics(scored).first()
-    assert row.rows_scored == scored.count()
-    assert row.days_scored == scored.where("k = 0").count()
-    assert (row.thermal_calls, row.power_calls) == (row.days_scored, 2 * row.days_scored)
-    assert row.elapsed_seconds > 0 and row.loaded_at is not None
+    counts, timed = metrics.run_counts(scored).first(), metrics.timed_run(scored, "v1").first()
+    assert counts.rows_scored == timed.rows_scored == scored.count()
+    assert counts.days_scored == timed.days_scored == scored.where("k = 0").count()
+    assert (counts.thermal_calls, counts.power_calls) == (
+        counts.days_scored, 2 * counts.days_scored)
+    assert timed.variant == "v1" and timed.elapsed_seconds > 0 and timed.loaded_at is not None

@@ -1,0 +1,156 @@
+"""What odd sensors, long scorers, fine readings and shared stores must not break."""
+
+from __future__ import annotations
+
+import datetime as dt
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from coldloop.config import OPTIMISATION_SCHEMA, TwinConfig
+from coldloop.operators import days as D
+from coldloop.operators import evaluate, learning, tables
+from coldloop.operators.cadence import day_overflow, to_cadence
+from coldloop.operators.scorers import LeafMeans, array_mean_udf, lookback_mean
+from coldloop.operators.sequences import Scaler
+from coldloop.plans.twin import forecast, twin_days
+from coldloop.session import scratch_path
+from coldloop.sources.readings import normalise, read_events
+from coldloop.sources.results import DayCache, OptimisationStore
+
+CFG = TwinConfig()
+SF_DIR = "/root/testdata/sf0.001"
+D1, D2 = dt.date(2026, 5, 1), dt.date(2026, 5, 2)
+ROW = ("asset_id", "d", "k", "t_int_pred")
+
+
+@pytest.fixture(scope="module")
+def source(spark):
+    return read_events(spark, SF_DIR).persist()
+
+
+def with_gaps(source, column="T_int"):
+    return source.withColumn(column, F.when(F.col("reading_id") % 50 != 0, F.col(column)))
+
+
+def test_long_scorers_give_the_same_in_both_layouts(source):
+    cfg = replace(CFG, reach=24)
+    whole = forecast(D.frames_by_asset(source, cfg), cfg, lookback_mean(24))
+    split = forecast(D.frames_by_day(source, cfg), cfg, lookback_mean(24))
+    assert sorted(whole.select(*ROW).collect()) == sorted(split.select(*ROW).collect())
+    with pytest.raises(ValueError, match="reach"):
+        forecast(D.frames_by_day(source, CFG), CFG, lookback_mean(24))
+    assert twin_days(source, CFG, lookback_mean(24)).count() == whole.count()
+
+
+def test_pandas_hook_keeps_rows_with_unknown_temperatures(source):
+    frames = D.day_frames(with_gaps(source), CFG)
+    by_udf = forecast(frames, CFG, array_mean_udf(12)).select(*ROW)
+    by_window = forecast(frames, CFG, lookback_mean(12)).select(*ROW)
+    assert sorted(by_udf.collect()) == sorted(by_window.collect()) and by_udf.count() == 976
+
+
+def test_day_cap_of_the_configuration_reaches_the_evaluation(source):
+    cfg = replace(CFG, rows_per_day=5)
+    frames = D.day_frames(source, cfg)
+    assert evaluate.score_thermal_variants(frames, cfg).count() == frames.slices(cfg).count() == 295
+
+
+def test_every_reading_counts_at_the_cadence(source):
+    fine = source.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(39)))).withColumns({
+        "timestamp": F.col("timestamp") + F.make_interval(secs=F.col("part")),
+        "reading_id": F.col("reading_id") * 40 + F.col("part")}).drop("part").withColumn(
+        "d", F.to_date("timestamp"))
+    beyond = day_overflow(D.day_index(fine), CFG).agg(F.sum("beyond_cap")).first()[0]
+    assert beyond > 0
+    coarse = to_cadence(fine)
+    assert day_overflow(D.day_index(coarse), CFG).agg(F.sum("beyond_cap")).first()[0] == 0
+    assert coarse.groupBy("asset_id", "d").count().agg(F.max("count")).first()[0] <= 144
+
+
+def test_cadence_takes_means_and_the_newest_state(make_readings):
+    base = dt.datetime(2026, 5, 1, 8, 50)
+    rows = [(0, base + dt.timedelta(minutes=m), t, s, p) for m, t, s, p in (
+        (0, 7.0, 1.0, 30.0), (4, None, 0.0, 2.0), (9.9, 8.0, None, 4.0), (10, 6.0, 1.0, None))]
+    got = to_cadence(make_readings(rows)).orderBy("timestamp").collect()
+    assert [(r.timestamp, r.T_int, r.Etat_Compresseur, r.Puissance_Elec_kW, r.reading_id)
+            for r in got] == [(base, 7.5, 0.0, 12.0, 0),
+                              (base + dt.timedelta(minutes=10), 6.0, 1.0, None, 3)]
+
+
+def test_infinite_readings_are_unknown_and_end_nothing(source):
+    broken = normalise(source.withColumn("T_int", F.when(
+        F.col("reading_id") % 97 == 0, float("inf")).otherwise(F.col("T_int"))))
+    assert broken.where("T_int is null").count() > 0
+    assert twin_days(broken, CFG).count() == 976
+
+
+def test_spread_beside_a_large_mean(spark, make_readings, day_of):
+    values = [100_000 + 0.0005 * (1 if i % 2 else -1) for i in range(40)]
+    scaler = Scaler.fit(make_readings(
+        [(0, ts, v, 1.0) for ts, v in zip(day_of(D1, 40), values)]))
+    assert scaler.std["T_int"] == pytest.approx(0.0005, rel=1e-4)
+    assert scaler.std["T_int_lag_1"] == pytest.approx(0.0005, rel=1e-2)
+    assert scaler.std["Etat_Compresseur"] == 0.0
+
+
+def test_unknown_features_train_nothing_and_score_null(source):
+    cutoff = evaluate.split_date(source)
+    for column in ("T_int", "T_ext"):
+        gaps = with_gaps(source, column)
+        vectors = learning.lookback_vectors(D.day_frames(gaps, CFG), Scaler.fit(gaps), CFG)
+        scored = learning.score_thermal(learning.train_thermal(vectors, cutoff), vectors)
+        assert scored.count() == 976
+        unknown = scored.where("t_int_pred is null")
+        assert 0 < unknown.count() == scored.where("not known").count() < 976
+
+
+def test_leaves_follow_the_data_and_unknown_temperatures_give_null(spark, source):
+    warm = source.withColumn("T_int", F.col("T_int") + 20)
+    leaves = LeafMeans.fit(warm, (9,))
+    assert leaves.leaves.select("depth_9").distinct().count() > 100
+    asked = spark.createDataFrame([(None, 1.0), (27.0, 1.0), (-90.0, 0.0)], "t double, s double")
+    got = {r.t: r.p_9 for r in leaves.apply(asked, "t", "s", "p").collect()}
+    assert got[None] is None and got[27.0] is not None and got[-90.0] is not None
+
+
+def results(spark, asset, date, values):
+    return spark.createDataFrame(
+        [(asset, f"{date} 00:00:{i:02d}", v, 1.0, 2.0, 0.04, -0.12, date)
+         for i, v in enumerate(values)], OPTIMISATION_SCHEMA)
+
+
+def test_upsert_keeps_other_assets_of_the_date(spark):
+    store = OptimisationStore(spark, scratch_path(spark, "store"))
+    store.create()
+    for asset, date, values in ((0, D1, [1.0, 2.0]), (1, D1, [3.0]), (0, D2, [4.0]), (0, D1, [5.0])):
+        store.upsert(results(spark, asset, date, values))
+    assert sorted((r.asset_id, r.d, r.t_int_opt) for r in store.read().collect()) == [
+        (0, D1, 5.0), (0, D2, 4.0), (1, D1, 3.0)]
+
+
+def test_overlapping_fetches_give_each_key_once(spark):
+    schema = T.StructType([T.StructField("asset_id", T.LongType()),
+                           T.StructField("d", T.DateType()), T.StructField("x", T.DoubleType())])
+    cache = DayCache(spark, scratch_path(spark, "cache"), schema)
+    wanted = spark.createDataFrame([(1, D1), (2, D1)], "asset_id long, d date")
+
+    def answer(x):
+        return lambda missing: missing.selectExpr("asset_id", "d", f"{x}D AS x")
+
+    def interrupted(missing):
+        cache.fetch(wanted, "a", answer(2.0)).collect()
+        return answer(1.0)(wanted)
+
+    got = cache.fetch(wanted, "a", interrupted).collect()
+    assert sorted((r.asset_id, r.d) for r in got) == [(1, D1), (2, D1)]
+
+
+def test_pages_by_key_follow_one_another(spark):
+    rows = spark.createDataFrame([(f"2026-05-01 00:{i:02d}:00", i) for i in range(50)],
+                                 "timestamp string, i int")
+    first = tables.page(rows, 0).collect()
+    second = tables.page_before(rows, first[-1].timestamp).collect()
+    assert second == tables.page(rows, 1).collect()

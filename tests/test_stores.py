@@ -91,7 +91,9 @@ def test_registry_lookup_trims_and_builds_paths(spark):
     assert thermal.picture_path == f"{root}/validation_vs_test_64u_Attention.png"
     assert energy.model_path == (
         "trained_models/modeles_energetiques/modele_financier_depth_7.json")
-    assert energy.scaler_path is None
+    assert thermal.importance_path == f"{root}/feature_importance_lstm_64u_Attention.png"
+    assert thermal.curve_path == f"{root}/learning_curve_64u_Attention.png"
+    assert energy.scaler_path is energy.curve_path is energy.importance_path is None
 
 
 def test_cache_computes_each_day_once_and_remembers_empty_ones(spark):
