@@ -408,6 +408,22 @@ def oracle_sql() -> dict[str, str]:
         "rolling_slopes": statement(c, f"SELECT {ROW}, pente_chauffe, pente_froid FROM rolling"),
         "hysteresis": statement(c, control_out),
         "stream_controller": statement(c, control_out),
+        "stream_rejected": statement({
+            **b,
+            "sent": """
+                SELECT *, floor((epoch_us(ts) + (reading_id % 7) * 3600000000)
+                                / (10 * 86400 * 1000000::BIGINT)) AS file
+                FROM source""",
+            "files": """
+                SELECT asset_id, file, max((ts, reading_id)) AS newest FROM sent GROUP BY 1, 2""",
+            "earlier": """
+                SELECT asset_id, file, max(newest) OVER (
+                    PARTITION BY asset_id ORDER BY file
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest FROM files"""},
+            f"""SELECT CAST(CAST(s.file - (SELECT min(file) FROM sent) AS BIGINT) AS VARCHAR) AS batch,
+                       asset_id, reading_id, {ts_text('ts')} AS timestamp
+                FROM sent s JOIN earlier e USING (asset_id, file)
+                WHERE (ts, reading_id) <= e.newest"""),
         "energy_optimised": statement(t, f"SELECT {ROW}, t_int_opt, etat_opt, pwr_opt FROM twin"),
         "twin_day": statement(t, full),
         "twin_day_split": statement(t, full),

@@ -5,13 +5,17 @@ behind: per asset the opening rows of the current date, the rows they borrow and
 few rows, with their positions. That is all later rows can depend on, so it stays bounded per asset, and a
 crowded asset is trimmed in parallel before its rows meet.
 
-Rows must arrive in time order per asset; a row older than the newest one already
-processed for its asset is late and is dropped.
+A batch may bring rows out of order: with an ``allowance`` rows wait until the newest timestamp
+seen is that much later, and are then taken in order. A row that comes even later than that,
+not newer than what its asset has already processed, cannot be placed any more; it goes to a
+table of rejected rows. Rows still waiting when a stream ends are processed by ``flush``, whose
+results are provisional: the next batch takes them back.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import datetime as dt
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,7 +25,7 @@ from coldloop.config import READINGS_SCHEMA, TwinConfig
 from coldloop.operators import days as D
 from coldloop.operators.layout import measure
 from coldloop.operators.scorers import ThermalScorer
-from coldloop.plans.twin import controlled, forecast
+from coldloop.plans.twin import controlled, forecast, reach_of
 
 # Rows kept between batches: a reading, its date, its position and where its date begins.
 RETAINED_SCHEMA = T.StructType(READINGS_SCHEMA.fields + [
@@ -29,6 +33,8 @@ RETAINED_SCHEMA = T.StructType(READINGS_SCHEMA.fields + [
     T.StructField("pos", T.LongType()),
     T.StructField("day_first", T.LongType()),
 ])
+WAITING_SCHEMA = T.StructType(READINGS_SCHEMA.fields + [T.StructField("d", T.DateType())])
+REJECTED_SCHEMA = T.StructType(WAITING_SCHEMA.fields + [T.StructField("batch", T.StringType())])
 OUTPUT_COLUMNS = ("asset_id", "d", "k", "timestamp", "t_int_pred", "t_int_opt", "etat_opt",
                   "pente_chauffe", "pente_froid")
 
@@ -45,27 +51,70 @@ class StreamingTwin:
     path: str
     cfg: TwinConfig = field(default_factory=TwinConfig)
     thermal: ThermalScorer | None = None
+    allowance: dt.timedelta = dt.timedelta(0)
+    last: int = -1
 
-    def _slot(self, batch_id: int) -> str:
-        return f"{self.path}/state-{batch_id % 2}"
+    def __post_init__(self) -> None:
+        self.cfg = replace(self.cfg, reach=max(self.cfg.reach, reach_of(self.thermal, self.cfg)))
 
-    def _retained(self, batch_id: int) -> DataFrame:
+    def _slot(self, name: str, batch_id: int) -> str:
+        return f"{self.path}/{name}-{batch_id % 2}"
+
+    def _before(self, name: str, schema: T.StructType, batch_id: int) -> DataFrame:
+        """What the batch before left behind."""
         if batch_id == 0:
-            return self.spark.createDataFrame([], RETAINED_SCHEMA)
-        return self.spark.read.schema(RETAINED_SCHEMA).parquet(self._slot(batch_id - 1))
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self._slot(name, batch_id - 1))
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        cfg = self.cfg
-        retained = self._retained(batch_id)
+        if self.last < batch_id - 1 or self.last < 0:  # a restart may follow a flush
+            self._withdraw()
+        self._process(batch, batch_id, f"{batch_id}")
+        self.last = batch_id
+
+    def flush(self) -> None:
+        """Processes what still waits, as if nothing more came; state stays as it is."""
+        empty = self.spark.createDataFrame([], WAITING_SCHEMA)
+        self._process(empty, self.last + 1, "waiting")
+
+    def _withdraw(self) -> None:
+        for name, schema in (("results", self._result_schema()), ("rejected", WAITING_SCHEMA)):
+            (self.spark.createDataFrame([], schema)
+             .write.mode("overwrite").parquet(f"{self.path}/{name}/batch=waiting"))
+
+    def _result_schema(self) -> T.StructType:
+        whole = {"asset_id": T.LongType(), "d": T.DateType(), "k": T.IntegerType(),
+                 "timestamp": T.TimestampNTZType()}
+        return T.StructType([T.StructField(c, whole.get(c, T.DoubleType()))
+                             for c in OUTPUT_COLUMNS])
+
+    def _process(self, batch: DataFrame, batch_id: int, label: str) -> None:
+        cfg, final = self.cfg, label == "waiting"
+        retained = self._before("state", RETAINED_SCHEMA, batch_id)
+        waiting = self._before("waiting", WAITING_SCHEMA, batch_id)
         newest = retained.groupBy("asset_id").agg(
             F.max(F.struct("timestamp", "reading_id")).alias("newest"),
             F.max("pos").alias("last_known"))
         stamp = F.struct("timestamp", "reading_id")
-        on_time = (
-            batch.join(newest, "asset_id", "left")
-            .where(F.col("newest").isNull() | (stamp > F.col("newest")))
+        arrived = (
+            batch.select(*WAITING_SCHEMA.names).unionByName(waiting)
+            .join(newest, "asset_id", "left")
+            .withColumn("late", F.coalesce(stamp <= F.col("newest"), F.lit(False)))
             .drop("newest", "last_known")
-        )
+        ).persist()
+        (arrived.where("late").select(*WAITING_SCHEMA.names)
+         .write.mode("overwrite").parquet(f"{self.path}/rejected/batch={label}"))
+        on_time = arrived.where(~F.col("late")).drop("late")
+        if self.allowance and not final:
+            seen = arrived.select("timestamp").unionByName(retained.select("timestamp")).agg(
+                F.max("timestamp")).first()[0]
+            settled = F.lit(True) if seen is None else (
+                F.col("timestamp") <= F.lit(str(seen - self.allowance)).cast("timestamp_ntz"))
+            held, on_time = on_time.where(~settled), on_time.where(settled)
+        else:
+            held = on_time.limit(0)
+        if not final:
+            held.write.mode("overwrite").parquet(self._slot("waiting", batch_id))
         on_time = on_time.persist()
         salts = measure(on_time).day_salts
 
@@ -90,10 +139,11 @@ class StreamingTwin:
         frames = self._frames(rows, days)
         scored = controlled(forecast(frames, cfg, self.thermal), cfg).where("fresh")
         (scored.select(*OUTPUT_COLUMNS)
-         .write.mode("overwrite").parquet(f"{self.path}/results/batch={batch_id}"))
-        self._keep(rows).write.mode("overwrite").parquet(self._slot(batch_id))
-        rows.unpersist()
-        on_time.unpersist()
+         .write.mode("overwrite").parquet(f"{self.path}/results/batch={label}"))
+        if not final:
+            self._keep(rows).write.mode("overwrite").parquet(self._slot("state", batch_id))
+        for used in (rows, on_time, arrived):
+            used.unpersist()
 
     def _trimmed(self, on_time: DataFrame, new_days: DataFrame, salts: int) -> DataFrame:
         """New rows that can matter: each date's first and last ones, with positions."""
@@ -146,7 +196,11 @@ class StreamingTwin:
         )
 
     def results(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/results").drop("batch")
+        return self.spark.read.schema(self._result_schema()).parquet(f"{self.path}/results")
+
+    def rejected(self) -> DataFrame:
+        """Rows that came too late, with the batch that brought them."""
+        return self.spark.read.schema(REJECTED_SCHEMA).parquet(f"{self.path}/rejected")
 
 
 def run_available(stream: DataFrame, twin: StreamingTwin) -> DataFrame:
@@ -157,4 +211,5 @@ def run_available(stream: DataFrame, twin: StreamingTwin) -> DataFrame:
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
+    twin.flush()
     return twin.results()

@@ -60,14 +60,37 @@ def test_micro_batches_equal_one_batch(spark, make_readings):
     assert sorted(twin.results().select(*OUTPUT_COLUMNS).collect()) == expected(readings)
 
 
-def test_late_rows_are_dropped(spark, make_readings):
+def test_late_rows_go_to_the_rejected_table(spark, make_readings):
     readings = make_readings(random_feed(5, dates=3))
     total = readings.count()
     twin = StreamingTwin(spark, scratch_path(spark, "twin"), CFG)
     first, second = pieces(readings, [total // 2])
     twin(first, 0)
-    twin(second.unionByName(first.where("reading_id % 5 = 0")), 1)
+    again = first.where("reading_id % 5 = 0")
+    twin(second.unionByName(again), 1)
     assert sorted(twin.results().select(*OUTPUT_COLUMNS).collect()) == expected(readings)
+    rejected = twin.rejected()
+    assert {r.batch for r in rejected.collect()} == {"1"}
+    assert sorted(rejected.select("reading_id").collect()) == sorted(
+        again.select("reading_id").collect())
+
+
+def test_rows_out_of_order_within_the_allowance(spark, make_readings):
+    """Interleaved batches, a flush, and batches after it: each reading counts once."""
+    readings = make_readings(random_feed(8, dates=3)).persist()
+    twin = StreamingTwin(spark, scratch_path(spark, "twin"), CFG, allowance=dt.timedelta(days=2))
+    first = readings.where("timestamp < timestamp_ntz'2026-03-02 12:00:00'")
+    for i in range(2):
+        twin(first.where(f"reading_id % 2 = {i}"), i)
+    twin.flush()
+    assert sorted(twin.results().select(*OUTPUT_COLUMNS).collect()) == expected(first)
+    resumed = StreamingTwin(spark, twin.path, CFG, allowance=twin.allowance)
+    rest = readings.where("timestamp >= timestamp_ntz'2026-03-02 12:00:00'")
+    for i in range(2):
+        resumed(rest.where(f"reading_id % 2 = {1 - i}"), 2 + i)
+    resumed.flush()
+    assert sorted(resumed.results().select(*OUTPUT_COLUMNS).collect()) == expected(readings)
+    assert resumed.rejected().isEmpty()
 
 
 @pytest.mark.parametrize("files", [3])
