@@ -181,15 +181,21 @@ def taken_texts(plan: DataFrame, text_column: str = "text",
         found = F.regexp_extract_all(text_column, F.lit(f"({WORD})"), F.lit(1))
         return F.array_join(F.slice(found, (F.col(start) + 1).cast("int"), F.col(n).cast("int")), " ")
 
-    all_of_it = ((F.col("words1") == F.col("size")) & (F.col("size") > 0)).cast("int")
-    whole = plan.withColumn("_copy", F.explode(F.array_repeat(
-        F.lit(0), (F.col("copies") + all_of_it).cast("int")))).select("_row.*")
-    pieces = plan.where(F.col("words1") != F.col("size")).withColumn("_piece", F.explode(F.array(
-        F.struct(F.col("from1").alias("a"), F.col("words1").alias("n")),
-        F.struct(F.col("from2").alias("a"), F.col("words2").alias("n"))))).where("_piece.n > 0")
-    pieces = pieces.select("_row.*", F.col("_piece.a").alias("_a"), F.col("_piece.n").alias("_n"))
-    pieces = pieces.withColumn(text_column, cut("_a", "_n")).drop("_a", "_n")
-    if length_column in pieces.columns:
-        pieces = pieces.withColumn(length_column, F.length(text_column).cast(
-            pieces.schema[length_column].dataType))
-    return whole.unionByName(pieces)
+    entire = (F.col("words1") == F.col("size")) & (F.col("size") > 0)
+    nothing = F.lit(0).cast("long")
+    wholes = F.array_repeat(F.struct(F.lit(True).alias("whole"), nothing.alias("a"), nothing.alias("n")),
+                            (F.col("copies") + entire.cast("int")).cast("int"))
+    pieces = F.filter(F.array(*(
+        F.struct(F.lit(False).alias("whole"), F.col(a).cast("long").alias("a"),
+                 F.col(n).cast("long").alias("n"))
+        for a, n in (("from1", "words1"), ("from2", "words2")))), lambda x: (x["n"] > 0) & ~entire)
+    # One pass: the texts are shuffled once for both kinds of rows.
+    rows = plan.withColumn("_take", F.explode(F.concat(wholes, pieces))).select(
+        "_row.*", F.col("_take.whole").alias("_whole"), F.col("_take.a").alias("_a"),
+        F.col("_take.n").alias("_n"))
+    rows = rows.withColumn(text_column, F.when(F.col("_whole"), F.col(text_column)).otherwise(
+        cut("_a", "_n")))
+    if length_column in rows.columns:
+        rows = rows.withColumn(length_column, F.when(F.col("_whole"), F.col(length_column)).otherwise(
+            F.length(text_column).cast(rows.schema[length_column].dataType)))
+    return rows.drop("_whole", "_a", "_n")
