@@ -29,7 +29,7 @@ from coldloop.llm.exchange import (
     Slice, answered, ask, bucket_count, dealt, gathered, pack_positions, recall, same_runs,
     unpack_positions)
 from coldloop.llm.graph import components, roots
-from coldloop.llm.text import mixed, stored, windows, word_hashes, words
+from coldloop.llm.text import discard, mixed, stored, windows, word_hashes, words
 from coldloop.session import scratch_path
 
 SHINGLE, PERCENT = 4, 85
@@ -158,6 +158,7 @@ def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
     sets = stored(gathered(
         answered(asked, repeated_shingles), lambda name, own, replies: signed(
             recall(name, folder), own, replies, shingle, percent), SIGNED), "shingle-sets")
+    discard(folder)
     known = sets.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     of_set = ["k1", "k2", "n"]
     classes = known.groupBy(*of_set).agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows"))

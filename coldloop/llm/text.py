@@ -134,6 +134,13 @@ def publish(fs: pafs.FileSystem, path: str, content: bytes) -> None:
     fs.move(partial, path)
 
 
+def discard(folder: str) -> None:
+    """Remove a folder of an operator's own, once what was made from it is written."""
+    fs, path = file_system(folder)
+    if fs.get_file_info(path).type == pafs.FileType.Directory:
+        fs.delete_dir(path)
+
+
 def quiet_tokenizers() -> None:
     """Tasks already use all cores, so the tokenizer must not start threads of its own."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
