@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -13,6 +14,8 @@ from coldloop.config import TwinConfig
 from coldloop.operators.layout import Layout, measure, segment
 
 KEY = ("asset_id", "d")
+# Ranges of dates that one scan is filtered by.
+MAX_RANGES = 50
 
 
 @dataclass(frozen=True)
@@ -208,24 +211,45 @@ def with_seed(frames: Frames) -> Frames:
 
 def frames_for_date(readings: DataFrame, day: dt.date, cfg: TwinConfig = TwinConfig(),
                     layout: Layout | None = None) -> Frames:
-    """Frames of one date over all assets, reading only the time range they need.
+    """Frames of one date over all assets, reading only the dates they need.
 
-    The oldest borrowed date comes from the day index, so the scan is bounded on both
-    sides by literals that reach the Parquet reader.
+    The borrowed dates come from the index of the dates up to this one. The scan is bounded by
+    literals that reach the Parquet reader: a range per run of borrowed dates, so one asset with
+    very old readings does not open all the time between.
     """
-    days = day_index(readings)
+    ts, opening, closing = F.col("timestamp"), _midnight(day), _midnight(day + dt.timedelta(days=1))
+    days = day_index(readings.where(ts < closing))
     is_day = F.col("d") == F.lit(day)
     sources = borrowed_days(days, cfg.context_rows).where(is_day)
-    oldest = sources.agg(F.min("source_d")).first()[0] or day
-    ts, opening = F.col("timestamp"), _midnight(day)
-    part = readings.where(
-        (ts >= _midnight(oldest)) & (ts < _midnight(day + dt.timedelta(days=1))))
+    # One row per calendar date that some asset borrows from.
+    dates = sorted(r.source_d for r in sources.select("source_d").distinct().collect())
+    part = readings.where(_in_dates([*dates, day]))
     salts = (layout or measure(part)).day_salts
     heads = end_rows(part.where(ts >= opening), cfg.head_rows, salts=salts)
-    tails = end_rows(part.where(ts < opening), cfg.context_rows, newest=True, salts=salts)
+    borrowed = sources.select("asset_id", F.col("source_d").alias("d"))
+    tails = part.where(ts < opening).join(borrowed, list(KEY), "left_semi")
+    tails = end_rows(tails, cfg.context_rows, newest=True, salts=salts)
     return assemble(heads, tails, days.where(is_day), sources, cfg)
 
 
+def _in_dates(dates: list[dt.date]) -> Column:
+    """A filter on the timestamp for sorted dates, neighbours as one range.
+
+    With more than ``MAX_RANGES`` ranges it is one range; it only prunes what is read.
+    """
+    one = dt.timedelta(days=1)
+    ranges: list[list[dt.date]] = []
+    for date in dates:
+        if ranges and date <= ranges[-1][1]:
+            ranges[-1][1] = max(ranges[-1][1], date + one)
+        else:
+            ranges.append([date, date + one])
+    if len(ranges) > MAX_RANGES:
+        ranges = [[ranges[0][0], ranges[-1][1]]]
+    ts = F.col("timestamp")
+    return reduce(Column.__or__, ((ts >= _midnight(a)) & (ts < _midnight(b)) for a, b in ranges))
+
+
 def _midnight(day: dt.date) -> Column:
     """A zone-less literal; a datetime literal would pass through the session's zone."""
     return F.lit(f"{day} 00:00:00").cast("timestamp_ntz")

@@ -53,19 +53,22 @@ def score_thermal(model: PipelineModel, vectors: DataFrame) -> DataFrame:
         "t_int_pred", F.when(F.col("known"), F.col("t_int_pred")))
 
 
-def train_power(readings: DataFrame, cutoff: dt.date, depth: int = 5,
-                rounds: int = ROUNDS) -> PipelineModel:
-    """Boosted trees of one depth over (temperature, state), fitted before ``cutoff``."""
-    columns = ["model_T_int", "model_state"]
-    earlier = (
+def power_rows(readings: DataFrame, cutoff: dt.date) -> DataFrame:
+    """What power models learn from: complete readings before ``cutoff``."""
+    return (
         readings.where(F.col("d") < F.lit(cutoff))
-        .select(F.col("T_int").alias(columns[0]), F.col("Etat_Compresseur").alias(columns[1]),
+        .select(F.col("T_int").alias("model_T_int"), F.col("Etat_Compresseur").alias("model_state"),
                 "Puissance_Elec_kW").dropna()
     )
+
+
+def train_power(rows: DataFrame, depth: int = 5, rounds: int = ROUNDS) -> PipelineModel:
+    """Boosted trees of one depth over (temperature, state), fitted on ``power_rows``."""
     trees = GBTRegressor(featuresCol="power_inputs", labelCol="Puissance_Elec_kW",
                          predictionCol="prediction", maxDepth=depth, maxIter=rounds, seed=7)
-    assemble = VectorAssembler(inputCols=columns, outputCol="power_inputs", handleInvalid="keep")
-    return Pipeline(stages=[assemble, trees]).fit(earlier)
+    assemble = VectorAssembler(inputCols=["model_T_int", "model_state"], outputCol="power_inputs",
+                               handleInvalid="keep")
+    return Pipeline(stages=[assemble, trees]).fit(rows)
 
 
 def save_and_load(model: PipelineModel, df: DataFrame, label: str) -> PipelineModel:

@@ -462,12 +462,13 @@ def energy_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = read_events(spark, sf_dir)
     cutoff = evaluate.split_date(source)
     scored = forecast(D.day_frames(source, CFG), CFG).where(F.col("d") >= F.lit(cutoff))
-    names = []
+    names, rows = [], learning.power_rows(source, cutoff).persist()
     for depth in evaluate.DEPTHS:
         model = learning.save_and_load(
-            learning.train_power(source, cutoff, depth), source, f"power-model-{depth}")
+            learning.train_power(rows, depth), source, f"power-model-{depth}")
         names.append(f"pwr_depth_{depth}")
         scored = ModelPower(model).apply(scored, "t_int_pred", "Etat_Compresseur", names[-1])
+    rows.unpersist()
     return edge(six(scored, *names), *DAY_ROW, *names)
 
 

@@ -25,7 +25,8 @@ def test_trained_scorers_run_the_whole_twin(spark):
     vectors = learning.lookback_vectors(frames, Scaler.fit(source), CFG)
     assert vectors.first().vector.size == 96
     thermal = learning.save_and_load(learning.train_thermal(vectors, cutoff), source, "thermal")
-    power = learning.save_and_load(learning.train_power(source, cutoff, depth=3, rounds=5), source, "power")
+    trees = learning.train_power(learning.power_rows(source, cutoff), depth=3, rounds=5)
+    power = learning.save_and_load(trees, source, "power")
     assert isinstance(thermal, PipelineModel) and isinstance(power, PipelineModel)
 
     later = thermal.transform(vectors.where(F.col("d") >= F.lit(cutoff)))

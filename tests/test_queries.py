@@ -59,7 +59,7 @@ def test_split_twin_limits_days_before_the_shuffle(spark):
 
 
 def test_latest_date_reads_a_bounded_time_range(spark):
-    spark.conf.set("spark.sql.maxMetadataStringLength", 1_000)  # show whole filter lists
+    spark.conf.set("spark.sql.maxMetadataStringLength", 3_000)  # show whole filter lists
     text = plan(QUERIES["twin_latest_date"](spark, SF_DIR))
     bounded = [s for s in re.findall(r"PushedFilters: (\[.*?\])", text)
                if "GreaterThanOrEqual(ts" in s and "LessThan(ts" in s]

@@ -154,3 +154,18 @@ def test_pages_by_key_follow_one_another(spark):
     first = tables.page(rows, 0).collect()
     second = tables.page_before(rows, first[-1].timestamp).collect()
     assert second == tables.page(rows, 1).collect()
+
+
+def test_one_sparse_asset_does_not_widen_the_scan(spark, make_readings, day_of):
+    rows = [(0, ts, 7.0 + i % 3 / 10, 1.0) for date in (D1, D2) for i, ts in enumerate(day_of(date, 20))]
+    rows += [(1, dt.datetime(2010 + i, 1, 1), 6.5, 0.0) for i in range(16)]
+    rows += [(1, dt.datetime(2026, 5, 2, 3), 6.0, 0.0)]
+    readings = make_readings(sorted(rows, key=lambda r: r[1]))
+    frames = D.frames_for_date(readings, D2, CFG)
+    whole = D.with_seed(D.frames_by_asset(readings, CFG)).slices(CFG).where(F.col("d") == F.lit(D2))
+    columns = ("asset_id", "k", "reading_id", "t_init")
+    got = D.with_seed(frames).slices(CFG).select(*columns)
+    assert sorted(got.collect()) == sorted(whole.select(*columns).collect()) and got.count() > 20
+    borrowed = [dt.date(2010 + i, 1, 1) for i in range(3, 16)]
+    text = str(D._in_dates([*borrowed, D1, D2]))
+    assert text.count("or(") == 13 and "2012" not in text and "2011" not in text
