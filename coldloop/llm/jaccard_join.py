@@ -187,7 +187,9 @@ def candidate_groups(distinct: DataFrame, percent: int) -> DataFrame:
     # Shingles of one document come first in the order; what they leave of the beginning counts.
     alone = F.col("n") - F.size("common")
     begin = F.col("n") - F.expr(f"({percent} * n + 99) div 100") + 1 - alone
-    ordered = ordered.withColumn("begin", begin).where("begin + 1 > 0")
+    # The largest set that a set may link with.
+    ordered = ordered.withColumns({"begin": begin, "largest": F.expr(f"100 * n div {percent}")}
+                                  ).where("begin + 1 > 0")
     boundary = cheapest_boundary(ordered)
     keys = stored(list_keys(ordered, boundary, percent), "list-keys")
     heads = keys.groupBy("key", "size_class").agg(
@@ -231,13 +233,13 @@ def cheapest_boundary(ordered: DataFrame) -> int:
     start = F.greatest(F.col("begin"), F.lit(0))
     scanned = F.aggregate(F.slice("common", F.lit(1), start.cast("int")), F.lit(0).cast("long"),
                           lambda total, x: total + x["df"])
-    rows = ordered.groupBy("n").agg(
+    rows = ordered.groupBy("n", "largest").agg(
         F.sum((start + 1) * start / 2).alias("subsets"), F.sum(scanned).alias("scanned")).collect()
-    rows = sorted((r.n, r.subsets, r.scanned) for r in rows)
+    rows = sorted((r.n, r.largest, r.subsets, r.scanned) for r in rows)
     best, boundary = None, 0
-    for limit in [0, *(n for n, _, _ in rows)]:
-        bridge = needed(limit + 1)
-        cost = sum(c for n, c, _ in rows if n <= limit) + sum(c for n, _, c in rows if n >= bridge)
+    for limit in [0, *(n for n, *_ in rows)]:
+        cost = (sum(c for n, _, c, _ in rows if n <= limit)
+                + sum(c for _, largest, _, c in rows if largest > limit))
         if best is None or cost < best:
             best, boundary = cost, limit
     return boundary

@@ -20,6 +20,8 @@ from coldloop.session import scratch_path
 
 #: Least nearness to a language's profile; noise without any language's n-grams is below it.
 LEAST_SCORE = 0.3
+#: Near copies: words per shingle and least Jaccard similarity in hundredths. ``op8`` has its own.
+NEAR_SHINGLE, NEAR_PERCENT = 5, 80
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +33,7 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar ones, the one with the smallest id."""
-    groups = jaccard_join.join(docs)
+    groups = jaccard_join.join(docs, shingle=NEAR_SHINGLE, percent=NEAR_PERCENT)
     return without(docs, groups.where("doc_id <> component_id")).select(*docs.columns)
 
 

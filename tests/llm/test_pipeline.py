@@ -64,6 +64,30 @@ def test_stages_against_plain_steps(spark, documents):
         start += n
 
 
+def test_near_copies_are_judged_on_five_words_at_eighty_hundredths(spark, documents, monkeypatch):
+    """Two far changes in 100 words give 86 / 106 on five words, but 89 / 105 on four."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(40):
+        text = [f"w{i}x{k}" for k in range(100)]
+        rows.append((3 * i, " ".join(text)))
+        for j in (1, 2):
+            copy = list(text)
+            for k in rng.choice(100, int(rng.integers(1, 5)), replace=False):
+                copy[k] = f"n{i}x{j}x{k}"
+            rows.append((3 * i + j, " ".join(copy)))
+    rows += [(200, " ".join(f"y{k}" for k in range(100))),
+             (201, " ".join("new" if k in (30, 60) else f"y{k}" for k in range(100)))]
+    folder = documents(rows)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    kept = {r.doc_id for r in corpus_pipeline.distinct_documents(spark, docs, folder).collect()}
+    four = brute.shingles
+    monkeypatch.setattr(brute, "shingles", lambda text: four(text, 5))
+    component = brute.jaccard_components(rows, percent=80)
+    assert kept == {i for i, (_, c) in component.items() if i == c}
+    assert 200 in kept and 201 not in kept and 40 < len(kept) < 120
+
+
 def test_empty_documents(spark, documents):
     documents([(1, "a b c")], "item_id long, text string", "benchmark")
     assert corpus_pipeline.run(spark, documents([])).count() == 0
