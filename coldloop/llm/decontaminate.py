@@ -4,7 +4,7 @@ Words become a template: numbers, units after numbers and names turn into typed
 others are lower-cased without marks around them. Runs of template words of a document
 are looked up among those of the benchmark items, so a question with other numbers or names is
 still found. The values in the placeholders must then agree: along a match, equal values of the item stand
-for equal values of the document and different ones for different ones.
+for equal values of the document. A match that does not agree as a whole is cut into parts that do.
 
 The benchmark is the query set: it goes to all tasks in blocks of at most ``ITEMS`` items, one
 pass over the documents per block.
@@ -130,43 +130,82 @@ class Index:
                     yield p, item, q, length
 
 
-def consistent(text: Templates, items: Templates, pairs: list[tuple[int, int]]) -> bool | None:
-    """Whether placeholders agree along aligned words: None if not, else whether all are equal."""
-    there: dict[tuple[int, str], str] = {}
-    back: dict[tuple[int, str], str] = {}
-    equal = True
-    for p, q in pairs:
-        kind = int(items.kinds[q])
-        if kind == WORD:
+def joined(starts: list[int], length: int) -> Iterator[list[int]]:
+    """Sorted starts of windows, in runs of windows that overlap or touch."""
+    cuts = [0, *(i for i in range(1, len(starts)) if starts[i] > starts[i - 1] + length),
+            len(starts)]
+    for a, b in zip(cuts, cuts[1:]):
+        yield starts[a:b]
+
+
+def agreeing(text: Templates, items: Templates, run: list[int], length: int,
+             shift: int) -> Iterator[tuple[int, int, bool]]:
+    """(from, to, whether all values are equal) of the parts of a run whose placeholders agree.
+
+    The longest part comes first, then those of what is left on its sides. A part holds a
+    window at least. Windows whose values are the item's own count whatever else their run does.
+    """
+    low, high = run[0], run[-1] + length
+    places = low + np.flatnonzero(items.kinds[low - shift: high - shift] != WORD)
+    # Of each value of the item: what stands for it, where last, and where last something else.
+    seen: dict[tuple[int, str], tuple[str, int, int]] = {}
+    begin, begins, changed = low, {}, []
+    for p in places.tolist():
+        key = int(items.kinds[p - shift]), items.values[items.codes[p - shift]]
+        mine = text.values[text.codes[p]]
+        if mine != key[1]:
+            changed.append(p)
+        value, last, other = seen.get(key, (mine, p, low - 1))
+        seen[key] = mine, p, other if mine == value else last
+        if seen[key][2] >= begin:
+            begin = begins[p] = seen[key][2] + 1
+    if not begins:
+        yield low, high, not changed
+        return
+    # First words of the longest agreeing parts that end with each word.
+    first = np.full(high - low, low)
+    for p, start in begins.items():
+        first[p - low:] = start
+    windows_before = np.zeros(high - low + 1, np.int64)
+    windows_before[np.array(run) - low + 1] = 1
+    windows_before = np.cumsum(windows_before)
+    unequal = np.zeros(high - low + 1, np.int64)
+    unequal[np.array(changed, np.int64) - low + 1] = 1
+    unequal = np.cumsum(unequal)
+    open_parts = [(low, high)]
+    while open_parts:
+        a, b = open_parts.pop()
+        if b - a < length:
+            continue
+        ends = np.arange(a + length, b + 1)
+        starts = np.maximum(first[ends - 1 - low], a)
+        held = windows_before[np.maximum(ends - length + 1 - low, 0)] > windows_before[starts - low]
+        size = np.where(held, ends - starts, 0)
+        best = int(np.argmax(size))
+        if size[best] < length:
             continue
-        mine, theirs = text.values[text.codes[p]], items.values[items.codes[q]]
-        if (there.setdefault((kind, theirs), mine) != mine
-                or back.setdefault((kind, mine), theirs) != theirs):
-            return None
-        equal = equal and mine == theirs
-    return equal
+        start, end = int(starts[best]), int(ends[best])
+        yield start, end, bool(unequal[end - low] == unequal[start - low])
+        open_parts += [(a, start), (end, b)]
+    for p in run:
+        if unequal[p + length - low] == unequal[p - low]:
+            yield p, p + length, True
 
 
 def matches(text: Templates, index: Index) -> Iterator[tuple[int, int, int, int, str]]:
     """(document, item, matched words of the item, first word of the match, kind)."""
-    runs: dict[tuple[int, int, int], set] = defaultdict(set)
+    runs: dict[tuple[int, int, int, int], set] = defaultdict(set)
     for p, item, q, length in index.hits(text):
         doc = int(np.searchsorted(text.bounds, p, "right")) - 1
-        runs[doc, item, p - q].update(range(p, p + length))
+        runs[doc, item, p - q, length].add(p)
     found: dict[tuple[int, int], dict] = {}
-    for (doc, item, shift), places in runs.items():
-        ordered = sorted(places)
-        cuts = [0, *(i for i in range(1, len(ordered)) if ordered[i] != ordered[i - 1] + 1),
-                len(ordered)]
-        for a, b in zip(cuts, cuts[1:]):
-            run = ordered[a:b]
-            equal = consistent(text, index.items, [(p, p - shift) for p in run])
-            if equal is None:
-                continue
-            entry = found.setdefault((doc, item), {"words": set(), "at": run[0], "equal": True})
-            entry["words"].update(p - shift for p in run)
-            entry["at"] = min(entry["at"], run[0])
-            entry["equal"] = entry["equal"] and equal
+    for (doc, item, shift, length), starts in runs.items():
+        for run in joined(sorted(starts), length):
+            for a, b, equal in agreeing(text, index.items, run, length, shift):
+                entry = found.setdefault((doc, item), {"words": set(), "at": a, "equal": True})
+                entry["words"].update(range(a - shift, b - shift))
+                entry["at"] = min(entry["at"], a)
+                entry["equal"] = entry["equal"] and equal
     for (doc, item), entry in found.items():
         yield (doc, item, len(entry["words"]), entry["at"] - int(text.bounds[doc]),
                "verbatim" if entry["equal"] else "reparameterised")

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import pyarrow as pa
+
 from coldloop.llm import decontaminate
 
 ITEM = ("A train leaves Paris at 9 o'clock and travels 120 km before it meets the second train "
@@ -34,6 +36,28 @@ def test_templates_are_found_and_slots_checked(spark):
     assert (12, 1) not in got or got[12, 1].matched_words < got[11, 1].matched_words
 
 
+def matched(text, item):
+    """(matched words, first word, kind) of one text against one item, or None."""
+    index = decontaminate.Index([1], [item])
+    got = list(decontaminate.matches(decontaminate.templates(pa.array([text])), index))
+    return got[0][2:] if got else None
+
+
+def test_runs_that_disagree_are_cut(spark):
+    got = {r.doc_id: r for r in found(spark, list(DOCS.items()))}
+    # The first name is left out with what is before it; the rest agrees on 7 for 9.
+    assert got[12].matched_words == got[11].matched_words - 3 and got[12].at_word == 4
+    assert got[12].kind == "reparameterised"
+    lots = ("they bought 12 red apples and then again at the market on the far side of the river "
+            "they sold 12 of them to a man who gave nothing back for all of these")
+    assert matched(lots.replace("12", "31", 1), lots)[0] >= 25
+    two = "if you have 3 apples and 4 pears then how much fruit is it that you have"
+    assert matched(two.replace("3", "5").replace("4", "5"), two)[2] == "reparameterised"
+    # No eight words agree: the number stands for something else every few words.
+    often = "a 5 b c 5 d e 5 f g 5 h i 5 j k 5 l"
+    assert matched("a 1 b c 2 d e 3 f g 4 h i 6 j k 7 l", often) is None
+
+
 def test_blocks_of_items_give_the_same(spark, monkeypatch):
     rows = [(i, t) for i, t in DOCS.items()] * 2 + [(None, ITEM)]
     once = sorted(map(tuple, found(spark, rows)), key=str)
