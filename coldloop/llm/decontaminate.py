@@ -6,6 +6,9 @@ are looked up among those of the benchmark items, so a question with other numbe
 still found. The values in the placeholders must then agree: along a match, equal values of the item stand
 for equal values of the document. A match that does not agree as a whole is cut into parts that do.
 
+Windows with few literal words would match any numbers or names; they count where a document has
+the very words of the item (``few_literals``).
+
 The benchmark is the query set: it goes to all tasks in blocks of at most ``ITEMS`` items, one
 pass over the documents per block.
 """
@@ -58,10 +61,14 @@ def look(word: str) -> tuple[str, int, int, bool]:
 
 @dataclass(frozen=True)
 class Templates:
-    """Template words of texts, one text after the other: bounds, hashes, kinds and values."""
+    """Template words of texts, one text after the other: bounds, hashes, kinds and values.
+
+    ``plain`` has the hashes of the words themselves, also where a placeholder stands for them.
+    """
 
     bounds: np.ndarray
     hashes: np.ndarray
+    plain: np.ndarray
     kinds: np.ndarray
     codes: np.ndarray
     values: list[str]
@@ -81,7 +88,7 @@ def templates(texts: pa.Array) -> Templates:
     after_number[1:] = flags[:-1] & 1
     kinds = np.where(flags & 1, NUM, np.where((flags & 2 > 0) & after_number & ~opening, UNIT, np.where(
         (flags & 4 > 0) & ~opening, NAME, WORD))).astype(np.int8)
-    return Templates(bounds, np.where(kinds == WORD, own, PLACEHOLDER[kinds]), kinds, codes,
+    return Templates(bounds, np.where(kinds == WORD, own, PLACEHOLDER[kinds]), own, kinds, codes,
                      [s[0] for s in seen])
 
 
@@ -89,17 +96,19 @@ class Index:
     """Windows of a block of items by hash.
 
     An item's first word is left out, as what precedes it in a document decides its kind; items
-    with fewer words than a window has are one window.
+    with fewer words than a window has are one window. With ``few_literals`` the windows below
+    the least number of literal words are looked up by their very words, an item that is one
+    window by all of its words.
     """
 
-    def __init__(self, ids: list[int], texts: list[str]) -> None:
+    def __init__(self, ids: list[int], texts: list[str], few_literals: bool = False) -> None:
         self.ids = ids
         self.items = templates(pa.array(texts, pa.string()))
-        found: dict[int, dict[int, list]] = defaultdict(lambda: defaultdict(list))
+        found, few = (defaultdict(lambda: defaultdict(list)) for _ in range(2))
         bounds, kinds = self.items.bounds, self.items.kinds
         for i in range(len(ids)):
-            start, end = int(bounds[i]), int(bounds[i + 1])
-            start += end - start > 1
+            whole, end = int(bounds[i]), int(bounds[i + 1])
+            start = whole + (end - whole > 1)
             length = min(WINDOW, end - start)
             if not length:
                 continue
@@ -107,27 +116,39 @@ class Index:
                 literals = int((kinds[start + at: start + at + length] == WORD).sum())
                 if literals >= min(LEAST_LITERALS, length):
                     found[length][key].append((i, start + at))
-        self.by_length = {length: dict(keys) for length, keys in found.items()}
-        self.sorted = {length: np.sort(np.fromiter(keys, np.uint64, len(keys)))
-                       for length, keys in self.by_length.items()}
+                elif few_literals:
+                    a, n = (whole, end - whole) if end - whole <= WINDOW else (start + at, length)
+                    few[n][int(windows(self.items.plain[a: a + n], n, FACTOR)[0])].append((i, a))
+        self.found, self.few = ({length: (np.sort(np.fromiter(keys, np.uint64, len(keys))), dict(keys))
+                                 for length, keys in table.items()} for table in (found, few))
         self.size = np.diff(bounds)
 
     def hits(self, text: Templates) -> Iterator[tuple[int, int, int, int]]:
         """(position, item, position in the items, length) of every window found."""
-        doc = np.repeat(np.arange(len(text.bounds) - 1), np.diff(text.bounds))
-        for length, keys in self.sorted.items():
-            if len(doc) < length:
-                continue
-            probe = windows(text.hashes, length, FACTOR)
-            known = np.zeros(1 << 20, bool)
-            known[(keys & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
-            maybe = np.flatnonzero(known[(probe & np.uint64((1 << 20) - 1)).astype(np.int64)])
-            at = np.minimum(np.searchsorted(keys, probe[maybe]), len(keys) - 1)
-            maybe = maybe[keys[at] == probe[maybe]]
-            maybe = maybe[doc[maybe] == doc[maybe + length - 1]]
-            for p in maybe.tolist():
-                for item, q in self.by_length[length][int(probe[p])]:
-                    yield p, item, q, length
+        return looked_up(text, text.hashes, self.found)
+
+    def few_literal_hits(self, text: Templates) -> Iterator[tuple[int, int, int, int]]:
+        """The same of windows with few literal words."""
+        return looked_up(text, text.plain, self.few)
+
+
+def looked_up(text: Templates, hashes: np.ndarray,
+              table: dict[int, tuple[np.ndarray, dict]]) -> Iterator[tuple[int, int, int, int]]:
+    """(position, item, position in the items, length) of every window of ``table``."""
+    doc = np.repeat(np.arange(len(text.bounds) - 1), np.diff(text.bounds))
+    for length, (keys, places) in table.items():
+        if len(doc) < length:
+            continue
+        probe = windows(hashes, length, FACTOR)
+        known = np.zeros(1 << 20, bool)
+        known[(keys & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
+        maybe = np.flatnonzero(known[(probe & np.uint64((1 << 20) - 1)).astype(np.int64)])
+        at = np.minimum(np.searchsorted(keys, probe[maybe]), len(keys) - 1)
+        maybe = maybe[keys[at] == probe[maybe]]
+        maybe = maybe[doc[maybe] == doc[maybe + length - 1]]
+        for p in maybe.tolist():
+            for item, q in places[int(probe[p])]:
+                yield p, item, q, length
 
 
 def joined(starts: list[int], length: int) -> Iterator[list[int]]:
@@ -199,13 +220,20 @@ def matches(text: Templates, index: Index) -> Iterator[tuple[int, int, int, int,
         doc = int(np.searchsorted(text.bounds, p, "right")) - 1
         runs[doc, item, p - q, length].add(p)
     found: dict[tuple[int, int], dict] = {}
+
+    def take(doc: int, item: int, a: int, b: int, shift: int, equal: bool) -> None:
+        entry = found.setdefault((doc, item), {"words": set(), "at": a, "equal": True})
+        entry["words"].update(range(a - shift, b - shift))
+        entry["at"] = min(entry["at"], a)
+        entry["equal"] = entry["equal"] and equal
+
     for (doc, item, shift, length), starts in runs.items():
         for run in joined(sorted(starts), length):
             for a, b, equal in agreeing(text, index.items, run, length, shift):
-                entry = found.setdefault((doc, item), {"words": set(), "at": a, "equal": True})
-                entry["words"].update(range(a - shift, b - shift))
-                entry["at"] = min(entry["at"], a)
-                entry["equal"] = entry["equal"] and equal
+                take(doc, item, a, b, shift, equal)
+    for p, item, q, length in index.few_literal_hits(text):
+        doc = int(np.searchsorted(text.bounds, p, "right")) - 1
+        take(doc, item, p, p + length, p - q, True)
     for (doc, item), entry in found.items():
         yield (doc, item, len(entry["words"]), entry["at"] - int(text.bounds[doc]),
                "verbatim" if entry["equal"] else "reparameterised")
@@ -213,12 +241,14 @@ def matches(text: Templates, index: Index) -> Iterator[tuple[int, int, int, int,
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
           text_column: str = "text", item_column: str = "item_id",
-          item_text_column: str = "text") -> DataFrame:
+          item_text_column: str = "text", few_literals: bool = False) -> DataFrame:
     """One row per row of ``docs`` and benchmark item of which it holds a passage.
 
     doc_id, item_id, item_words, matched_words, at_word (first matched word of the document) and
     kind: ``verbatim`` if all placeholders hold the item's values, else ``reparameterised``.
-    Null and empty texts or items match nothing; repeated rows each give their own matches, and
+    Windows of an item with fewer than ``LEAST_LITERALS`` literal words are left out, and with
+    them items that have no others, unless ``few_literals`` is set: then verbatim copies of them
+    are found. Null and empty texts or items match nothing; repeated rows each give their own matches, and
     a null doc_id stays null. Other columns are not read; empty tables give an empty result.
     """
     items = benchmark.select(F.col(item_column).cast("long").alias("item_id"),
@@ -229,13 +259,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
     for block in range(blocks):
         listed = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         listed = sorted(map(tuple, listed.collect()), key=str)
-        passes.append(texts.mapInArrow(finder(listed), FOUND))
+        passes.append(texts.mapInArrow(finder(listed, few_literals), FOUND))
     return reduce(DataFrame.unionByName, passes)
 
 
-def finder(listed: list[tuple[int, str]]):
+def finder(listed: list[tuple[int, str]], few_literals: bool):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index([i for i, _ in listed], [t for _, t in listed])
+        index = Index([i for i, _ in listed], [t for _, t in listed], few_literals)
         for batch in slices(batches, "text"):
             found = list(matches(templates(batch.column("text")), index))
             yield pa.RecordBatch.from_arrays([

@@ -52,7 +52,8 @@ def language_profiles(docs: DataFrame) -> language_id.Profiles:
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold passages of benchmark items, also with other numbers or names."""
-    return decontaminate.leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+    return decontaminate.leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"),
+                               few_literals=True)
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -39,7 +39,7 @@ def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without documents that hold passages of the benchmark."""
-    found = decontaminate.leaks(docs, load(spark, sf_dir, "benchmark"))
+    found = decontaminate.leaks(docs, load(spark, sf_dir, "benchmark"), few_literals=True)
     return without(docs, found).select(*docs.columns)
 
 

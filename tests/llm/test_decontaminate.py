@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import pyarrow as pa
 
+import corpus_pipeline
 from coldloop.llm import decontaminate
+from coldloop.llm.queries import QUERIES
 
 ITEM = ("A train leaves Paris at 9 o'clock and travels 120 km before it meets the second train "
         "that left Paris at 9 o'clock too. How far is it?")
@@ -58,6 +60,26 @@ def test_runs_that_disagree_are_cut(spark):
     assert matched("a 1 b c 2 d e 3 f g 4 h i 6 j k 7 l", often) is None
 
 
+def test_verbatim_copies_of_numbers_and_names_are_found(spark, documents):
+    """The query and the pipeline's stage, on items that have windows with few literal words."""
+    long = "Add them: 12 13 14 15 16 17 18 19 20 and then you have the whole sum of it"
+    items = [(1, "12 13 14 15 16 17 18 19 20"), (2, "Meet Ada Byron Alan Turing Grace Hopper Kurt Goedel"),
+             (3, "Sum 41 42 43"), (4, long)]
+    documents(items, "item_id long, text string", "benchmark")
+    folder = documents([
+        (1, "x 12 13 14 15 16 17 18 19 20, y"), (2, "12 13 14 15 16 17 18 19 21"),
+        (3, "we saw Meet Ada Byron Alan Turing Grace Hopper Kurt Goedel again"),
+        (4, "we saw Meet Eve Byron Adam Turing Grace Murray Kurt Goedel again"),
+        (5, "the sum 41 42 43 here"), (6, "the sum 41 42 44 here and 42 43"), (7, long)])
+    got = {(r.doc_id, r.item_id): r for r in QUERIES["op4_decontamination"](spark, folder).collect()}
+    assert set(got) == {(1, 1), (1, 4), (2, 4), (3, 2), (5, 3), (7, 1), (7, 4)}
+    assert {r.kind for r in got.values()} == {"verbatim"}
+    assert got[7, 4].matched_words == got[7, 4].item_words - 1
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    kept = corpus_pipeline.decontaminated(spark, docs, folder)
+    assert {r.doc_id for r in kept.collect()} == {4, 6}
+
+
 def test_blocks_of_items_give_the_same(spark, monkeypatch):
     rows = [(i, t) for i, t in DOCS.items()] * 2 + [(None, ITEM)]
     once = sorted(map(tuple, found(spark, rows)), key=str)
