@@ -181,14 +181,17 @@ def taken_texts(plan: DataFrame, text_column: str = "text",
         found = F.regexp_extract_all(text_column, F.lit(f"({WORD})"), F.lit(1))
         return F.array_join(F.slice(found, (F.col(start) + 1).cast("int"), F.col(n).cast("int")), " ")
 
-    entire = (F.col("words1") == F.col("size")) & (F.col("size") > 0)
+    def entire(n: str) -> Column:
+        return (F.col(n) == F.col("size")) & (F.col("size") > 0)
+
     nothing = F.lit(0).cast("long")
     wholes = F.array_repeat(F.struct(F.lit(True).alias("whole"), nothing.alias("a"), nothing.alias("n")),
-                            (F.col("copies") + entire.cast("int")).cast("int"))
+                            (F.col("copies") + entire("words1").cast("int")
+                             + entire("words2").cast("int")).cast("int"))
     pieces = F.filter(F.array(*(
         F.struct(F.lit(False).alias("whole"), F.col(a).cast("long").alias("a"),
-                 F.col(n).cast("long").alias("n"))
-        for a, n in (("from1", "words1"), ("from2", "words2")))), lambda x: (x["n"] > 0) & ~entire)
+                 F.when(~entire(n), F.col(n)).otherwise(nothing).cast("long").alias("n"))
+        for a, n in (("from1", "words1"), ("from2", "words2")))), lambda x: x["n"] > 0)
     # One pass: the texts are shuffled once for both kinds of rows.
     rows = plan.withColumn("_take", F.explode(F.concat(wholes, pieces))).select(
         "_row.*", F.col("_take.whole").alias("_whole"), F.col("_take.a").alias("_a"),

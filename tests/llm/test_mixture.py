@@ -91,6 +91,24 @@ def test_texts_are_taken_as_planned(spark, folder):
     assert mixture.mix(docs.limit(0)).count() == 0
 
 
+def test_fully_taken_documents_keep_their_text(spark):
+    """Also those that a shard's run takes after it has wrapped past the end."""
+    rows = [(i, "\n\n".join(f"w{i}   x{k}" for k in range(9 + i % 40)), f"s{i % 3}", -1)
+            for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    plan = mixture.mix(docs, keep_rows=True).cache()
+    want = {r.doc_id: r.copies + (r.words1 == r.size) + (r.words2 == r.size) for r in plan.collect()}
+    assert plan.where("words2 = size").count() > 0
+    text, whole = {i: t for i, t, *_ in rows}, defaultdict(int)
+    for r in mixture.taken_texts(plan).collect():
+        if r.text == text[r.doc_id]:
+            assert r.n_chars == -1
+            whole[r.doc_id] += 1
+        else:
+            assert len(brute.words(r.text)) < len(brute.words(text[r.doc_id]))
+    assert {i: whole[i] for i in want} == want
+
+
 def test_null_and_repeated_ids_and_clashing_names(spark):
     docs = spark.createDataFrame([(None, "a b", None, 1), (None, "a b", None, 1), (1, "c", "s", 2)],
                                  "doc_id long, text string, source string, shard int")
