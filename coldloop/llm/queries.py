@@ -7,9 +7,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coldloop.llm import (
-    decontaminate, embedding_dedup, jaccard_join, language_id, line_dedup, mixture, oracle, pii, substring_dedup,
-    token_files, toxicity)
-from coldloop.llm.text import load
+    decontaminate, embedding_dedup, filter_audit, jaccard_join, language_id, line_dedup, mixture, oracle,
+    pii, quality_rules, spelling, substring_dedup, token_files, toxicity)
+from coldloop.llm.text import load, stored
 from coldloop.session import scratch_path
 
 END_ID = 2
@@ -97,6 +97,25 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(load(spark, sf_dir, "embeddings"))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measurements, failed rules and verdict of the policy in use, for every whole text."""
+    entries = stored(quality_rules.ledger(load(spark, sf_dir, "documents")), "ledger")
+    return quality_rules.apply_policy(entries, quality_rules.SECOND).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        (quality_rules.broken(quality_rules.BASE) != 0).alias("base_failed"), "kept", "failures")
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, the words one edit away, and the form each one stands for."""
+    return spelling.variants(load(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes at each place of all their orders, per language."""
+    counts = filter_audit.counted_masks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+    return filter_audit.audit(counts, filter_audit.letters_of()).drop("filter")
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_mixture": op2_mixture,
@@ -108,9 +127,15 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_toxicity": op9_toxicity,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_quality_rules": op11_quality_rules,
+    "op12_spelling": op12_spelling,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLE_SQL = {
     "op2_mixture": oracle.MIXTURE,
     "op6_line_dedup": oracle.LINE_DEDUP,
+    "op11_quality_rules": oracle.QUALITY_RULES,
+    "op12_spelling": oracle.SPELLING,
+    "op13_filter_audit": oracle.FILTER_AUDIT,
 }
