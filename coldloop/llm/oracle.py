@@ -168,7 +168,7 @@ WITH texts AS (
     + CASE WHEN n_words > 100000 THEN 4 ELSE 0 END
     + CASE WHEN word_chars < 3 * n_words OR word_chars > 10 * n_words THEN 8 ELSE 0 END
     + CASE WHEN 10 * n_symbols > n_words THEN 16 ELSE 0 END
-    + CASE WHEN 10 * n_dup_lines > 3 * n_lines THEN 32 ELSE 0 END
+    + CASE WHEN 10 * n_dup_lines > 3 * n_lines AND n_dup_lines > 2 THEN 32 ELSE 0 END
     + CASE WHEN 10 * n_letter_words < 8 * n_words THEN 64 ELSE 0 END
     + CASE WHEN 2 * n_upper > n_letters THEN 128 ELSE 0 END
     + CASE WHEN 4 * n_digits > word_chars THEN 256 ELSE 0 END

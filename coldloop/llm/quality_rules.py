@@ -54,7 +54,7 @@ RULES = (
     Rule(2, "many_words", "n_words > 100000"),
     Rule(3, "word_length", "word_chars < 3 * n_words OR word_chars > 10 * n_words"),
     Rule(4, "symbols", "10 * n_symbols > n_words"),
-    Rule(5, "repeated_lines", "10 * n_dup_lines > 3 * n_lines"),
+    Rule(5, "repeated_lines", "10 * n_dup_lines > 3 * n_lines AND n_dup_lines > 2"),
     Rule(6, "words_without_letters", "10 * n_letter_words < 8 * n_words"),
     Rule(7, "upper_case", "2 * n_upper > n_letters"),
     Rule(8, "digits", "4 * n_digits > word_chars"),
