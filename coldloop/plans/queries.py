@@ -26,7 +26,7 @@ from coldloop.plans.twin import controlled, forecast, twin_date, twin_days, twin
 from coldloop.session import scratch_path
 from coldloop.sources import results
 from coldloop.sources.readings import from_events, read_events, with_time_features
-from coldloop.streaming.controller import StreamingTwin, run_available
+from coldloop.streaming.keyed import KeyedTwin, run_available
 
 CFG = TwinConfig()
 RECORDED = ("T_ext", "T_int", "Etat_Compresseur", "Puissance_Elec_kW")
@@ -477,20 +477,25 @@ STREAM_FILE, STREAM_SHIFT = dt.timedelta(days=10), dt.timedelta(hours=6)
 
 
 def _streamed(spark: SparkSession, sf_dir: str,
-              allowance: dt.timedelta) -> tuple[StreamingTwin, DataFrame]:
+              allowance: dt.timedelta) -> tuple[KeyedTwin, DataFrame]:
+    """A period after the other, each as the same number of files, which are one batch."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     sent = epoch_micros(F.col("ts")) + (F.col("event_id") % 7) * F.lit(
         int(STREAM_SHIFT.total_seconds() * 1e6) // 6)
     width = int(STREAM_FILE.total_seconds() * 1e6)
     dealt = events.withColumn("file", F.floor(sent / F.lit(width))).persist()
+    periods = dealt.groupBy("file").agg(F.count("*").alias("n")).orderBy("file").collect()
+    least = min((p.n for p in periods), default=0)
+    files = max(1, min(least // 1_000, spark.sparkContext.defaultParallelism))
     folder = scratch_path(spark, "stream-files")
-    for row in dealt.select("file").distinct().orderBy("file").collect():
-        dealt.where(F.col("file") == row.file).drop("file").coalesce(1).write.mode(
-            "append").parquet(folder)
+    for period in periods:
+        part = F.pmod("event_id", F.lit(files)).cast("int")
+        dealt.where(F.col("file") == period.file).drop("file").repartitionById(
+            files, part).write.mode("append").parquet(folder)
     dealt.unpersist()
-    stream = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+    stream = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files)
               .parquet(folder))
-    twin = StreamingTwin(spark, scratch_path(spark, "stream"), CFG, allowance=allowance)
+    twin = KeyedTwin(spark, scratch_path(spark, "stream"), CFG, allowance=allowance)
     return twin, run_available(from_events(stream), twin)
 
 

@@ -6,7 +6,7 @@ few rows, with their positions. That is all later rows can depend on, so it stay
 crowded asset is trimmed in parallel before its rows meet.
 
 A batch may bring rows out of order: with an ``allowance`` rows wait until the newest timestamp
-seen is that much later, and are then taken in order. A row that comes even later than that,
+seen of their asset is that much later, and are then taken in order. A row that comes even later than that,
 not newer than what its asset has already processed, cannot be placed any more; it goes to a
 table of rejected rows. Rows still waiting when a stream ends are processed by ``flush``, whose
 results are provisional: the next batch takes them back.
@@ -106,11 +106,13 @@ class StreamingTwin:
          .write.mode("overwrite").parquet(f"{self.path}/rejected/batch={label}"))
         on_time = arrived.where(~F.col("late")).drop("late")
         if self.allowance and not final:
-            seen = arrived.select("timestamp").unionByName(retained.select("timestamp")).agg(
-                F.max("timestamp")).first()[0]
-            settled = F.lit(True) if seen is None else (
-                F.col("timestamp") <= F.lit(str(seen - self.allowance)).cast("timestamp_ntz"))
-            held, on_time = on_time.where(~settled), on_time.where(settled)
+            seen = arrived.select("asset_id", "timestamp").unionByName(
+                retained.select("asset_id", "timestamp")).groupBy("asset_id").agg(
+                    F.max("timestamp").alias("seen"))
+            on_time = on_time.join(seen, "asset_id")
+            settled = F.col("timestamp") <= F.col("seen") - F.lit(self.allowance)
+            held, on_time = (on_time.where(~settled).drop("seen"),
+                             on_time.where(settled).drop("seen"))
         else:
             held = on_time.limit(0)
         if not final:
