@@ -6,7 +6,7 @@ recursive controller), independent of how the Spark side splits the work.
 
 from __future__ import annotations
 
-from coldloop.operators.registry import MODELS
+from coldloop.operators.registry import MODELS, THERMAL
 
 TWO_ASSETS, FLEET = "user_id % 2", "user_id"
 TS_TEXT = "replace(strftime({0}, '%Y-%m-%d %H:%M:%S.%f'), '.000000', '')"
@@ -232,9 +232,11 @@ VARIANT_COLUMN = {
 }
 
 
+CUTOFF = ("(SELECT min(d) + CAST(floor((max(d) - min(d) + 1) * (2::DOUBLE / 3)) AS INTEGER)"
+          " FROM source)")
+
+
 def errors() -> dict[str, str]:
-    cutoff = ("(SELECT min(d) + CAST(floor((max(d) - min(d) + 1) * (2::DOUBLE / 3)) AS INTEGER)"
-              " FROM source)")
     thermal = " UNION ALL ".join(
         f"SELECT '{label.replace(' ', '_')}' AS model, 'Température (°C)' AS target, "
         f"\"T_int\" - {column} AS e FROM slice JOIN all_forecasts USING (asset_id, pos)"
@@ -243,8 +245,8 @@ def errors() -> dict[str, str]:
         f"SELECT 'XGBoost_Depth_{d}', 'Puissance (kW)', \"Puissance_Elec_kW\" - p_{d} FROM scored"
         for d in (3, 5, 7, 9))
     return {
-        "earlier": f"SELECT * FROM source WHERE d < {cutoff}",
-        "later": f"SELECT * FROM source WHERE d >= {cutoff}",
+        "earlier": f"SELECT * FROM source WHERE d < {CUTOFF}",
+        "later": f"SELECT * FROM source WHERE d >= {CUTOFF}",
         **leaves("earlier"),
         "scored": with_leaves("later", '"T_int"', '"Etat_Compresseur"', "p"),
         "error_rows": f"{thermal} UNION ALL {energy}",
@@ -400,6 +402,16 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT {ROW}, step, feature, value FROM steps"),
         "thermal_forecast": statement(f, forecast_out),
         "pandas_udf_scorer": statement(f, forecast_out),
+        "batched_scorer": statement(f, forecast_out),
+        "thermal_models": statement({
+            **f,
+            "complete": """
+                SELECT asset_id, pos, count("T_int") OVER (
+                    PARTITION BY asset_id ORDER BY pos ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING
+                ) = 12 AS scored FROM ordered""",
+            "labels": f"SELECT unnest({[m[1] for m in MODELS if m[0] == THERMAL]}) AS label"},
+            f"""SELECT {ROW}, label, scored FROM slice JOIN complete USING (asset_id, pos), labels
+                WHERE d >= {CUTOFF}"""),
         "energy_predicted": statement(t, f"""
             SELECT {ROW}, t_int_pred, "Etat_Compresseur", pwr_pred_ia FROM predicted"""),
         "slopes": statement(c, f"""

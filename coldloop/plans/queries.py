@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,10 @@ from coldloop.config import FEATURES, OPTIMISATION_COLUMNS, TwinConfig
 from coldloop.functions.calendar import date_text, epoch_micros, timestamp_text
 from coldloop.functions.numeric import half_even
 from coldloop.operators import days as D
-from coldloop.operators import cadence, evaluate, kpi, learning, metrics, registry, sequences, tables
+from coldloop.operators import (
+    batched, cadence, evaluate, kpi, learning, metrics, recurrent, registry, sequences, tables,
+)
+from coldloop.operators.artifacts import MeanArtifact
 from coldloop.operators.cadence import to_cadence
 from coldloop.operators.layout import measure
 from coldloop.operators.ordering import (
@@ -186,6 +190,15 @@ def pandas_udf_scorer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edge(scored, *DAY_ROW, "t_int_pred")
 
 
+@register
+def batched_scorer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mean forecast by a stored artifact that each worker opens once, in Arrow batches."""
+    path = scratch_path(spark, "artifact")
+    batched.save(spark, MeanArtifact([1] * CFG.lookback), path)
+    scorer = batched.batched(spark, batched.load(spark, path))
+    return edge(forecast(_frames(spark, sf_dir), CFG, scorer), *DAY_ROW, "t_int_pred")
+
+
 @register
 def energy_predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = read_events(spark, sf_dir)
@@ -456,6 +469,20 @@ def thermal_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edge(six(later, "t_int_pred"), *DAY_ROW, "t_int_pred")
 
 
+@register
+def thermal_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four trained thermal models, stored and loaded by label; which later rows they score."""
+    source = read_events(spark, sf_dir)
+    cutoff, root = evaluate.split_date(source), scratch_path(spark, "models")
+    frames, parts = D.day_frames(source, CFG), []
+    for label in evaluate.thermal_variants():
+        recurrent.save(recurrent.train(frames, cutoff, label, CFG), spark, root, label)
+        scored = forecast(frames, CFG, recurrent.trained(recurrent.load(spark, root, label)))
+        parts.append(scored.where(F.col("d") >= F.lit(cutoff)).select(
+            *DAY_ROW, F.lit(label).alias("label"), F.col("t_int_pred").isNotNull().alias("scored")))
+    return edge(reduce(DataFrame.unionByName, parts))
+
+
 @register
 def energy_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boosted trees of each registered depth: trained on earlier dates, scored on later ones."""

@@ -1,0 +1,161 @@
+"""Trained thermal models: learnt from a signal, stored whole, loaded by label, scored in batches."""
+
+from __future__ import annotations
+
+import datetime as dt
+import math
+import os
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.ml import PipelineModel
+from pyspark.sql import functions as F
+
+from coldloop.config import FEATURES, TwinConfig
+from coldloop.operators import artifacts, batched, recurrent, registry, units
+from coldloop.operators import days as D
+from coldloop.operators.scorers import PowerLine, lookback_mean
+from coldloop.plans.twin import forecast, twin_from_frames
+from coldloop.session import scratch_path
+
+CFG = TwinConfig()
+LABELS = [label for family, label, _ in registry.MODELS if family == registry.THERMAL]
+DAYS = 8
+CUTOFF = dt.date(2026, 3, 1) + dt.timedelta(days=6)
+COLUMNS = ("asset_id", "d", "k", "t_int_pred")
+
+
+def signal(seed=3):
+    """Two assets whose temperature swings over the day and follows the compressor."""
+    rng, rows = random.Random(seed), []
+    for asset in (1, 2):
+        temperature = 7.0
+        for i in range(144 * DAYS):
+            on = float(i // (9 + asset) % 2)
+            temperature += 0.05 - 0.1 * on + 0.2 * math.sin(i / 23) / 10 + rng.gauss(0, 0.01)
+            rows.append((asset, dt.datetime(2026, 3, 1) + dt.timedelta(minutes=10 * i), temperature, on))
+    return rows
+
+
+@pytest.fixture(scope="module")
+def stored(spark):
+    from coldloop.config import READINGS_SCHEMA
+    from coldloop.sources.readings import normalise
+    full = [(a, i, ts, 15.0 + i % 7, t, s, 30.0 if s else 1.0) for i, (a, ts, t, s) in enumerate(signal())]
+    readings = normalise(spark.createDataFrame(full, READINGS_SCHEMA)).persist()
+    frames, root = D.frames_by_asset(readings, CFG), scratch_path(spark, "models")
+    for label in LABELS:
+        recurrent.save(recurrent.train(frames, CUTOFF, label, CFG), spark, root, label)
+    return readings, frames, root
+
+
+def later(df):
+    return {tuple(r[:3]): r[3] for r in df.where(F.col("d") >= F.lit(CUTOFF)).select(*COLUMNS).collect()}
+
+
+@pytest.mark.parametrize("label", LABELS)
+def test_a_loaded_model_beats_the_mean(spark, stored, label):
+    readings, frames, root = stored
+    model = recurrent.load(spark, root, f"  {label} ")
+    assert isinstance(model, PipelineModel) and not isinstance(model.stages[0], recurrent.FeatureScaler)
+    scored = forecast(frames, CFG, recurrent.trained(model)).where(F.col("d") >= F.lit(CUTOFF))
+    mean = readings.where(F.col("d") < F.lit(CUTOFF)).agg(F.avg("T_int")).first()[0]
+    error, plain, n = scored.agg(F.avg(F.abs(F.col("T_int") - F.col("t_int_pred"))),
+                                 F.avg(F.abs(F.col("T_int") - mean)), F.count("t_int_pred")).first()
+    assert n == 2 * 2 * 144 and error < plain / 5
+    hidden, attention = recurrent.shape_of(label)
+    assert recurrent.parts(model)[3].numFeatures == 8 + hidden * (2 if attention else 1)
+
+
+def test_the_four_models_differ_and_an_unknown_label_is_an_error(spark, stored):
+    _, frames, root = stored
+    found = [later(forecast(frames, CFG, recurrent.trained(recurrent.load(spark, root, label))))
+             for label in LABELS]
+    assert all(a != b for i, a in enumerate(found) for b in found[:i])
+    with pytest.raises(KeyError):
+        recurrent.load(spark, root, "LSTM 256u")
+    paths = {recurrent.model_path(spark, root, label) for label in LABELS}
+    assert len(paths) == 4 and all(os.path.isdir(p) and f"modeles_{registry.THERMAL}" in p for p in paths)
+
+
+def test_other_plan_same_forecast_and_the_whole_twin(spark, stored):
+    readings, frames, root = stored
+    scorer = recurrent.trained(recurrent.load(spark, root, LABELS[0]))
+    by_day = D.frames_by_day(readings, CFG)
+    one, other = later(forecast(frames, CFG, scorer)), later(forecast(by_day, CFG, scorer))
+    assert one.keys() == other.keys()
+    assert all(abs(one[k] - other[k]) < 1e-9 for k in one)
+    twin = twin_from_frames(frames, PowerLine.fit(readings), CFG, scorer)
+    assert twin.count() == 2 * (144 * DAYS - 12)
+    assert twin.where("pwr_opt is null or not etat_opt in (0, 1)").isEmpty()
+    assert not set(recurrent.WORK_COLUMNS) & set(twin.columns)
+
+
+def test_one_udf_over_the_artifact_equals_the_pipeline(spark, stored):
+    _, frames, root = stored
+    model = recurrent.load(spark, root, LABELS[1])
+    path = scratch_path(spark, "artifact")
+    batched.save(spark, batched.compiled(model), path)
+    scorer = batched.batched(spark, batched.load(spark, path), block=64)
+    one, other = later(forecast(frames, CFG, scorer)), later(forecast(frames, CFG, recurrent.trained(model)))
+    assert one.keys() == other.keys()
+    assert max(abs(one[k] - other[k]) for k in one) < 1e-6
+
+
+def test_rows_with_an_unknown_lookback_are_not_scored(spark, make_readings):
+    rows = [(1, ts, None if i == 100 else t, s) for i, (_, ts, t, s) in enumerate(signal()[:144 * 2])]
+    frames = D.frames_by_asset(make_readings(rows), CFG)
+    model = recurrent.train(frames, dt.date(2026, 3, 2), LABELS[3], CFG)
+    scored = {r.k: r.t_int_pred for r in forecast(frames, CFG, recurrent.trained(model))
+              .where("d = date'2026-03-01'").collect()}
+    # Position 100 is k = 88 and in 12 lookbacks; the next row's own value fills in for its lag.
+    assert [k for k, v in sorted(scored.items()) if v is None] == list(range(89, 101))
+
+
+@pytest.mark.parametrize("steps", [12, 5])
+def test_batched_mean_equals_the_window_scorer(spark, make_readings, steps):
+    rng = random.Random(2)
+    rows = [(a, ts, None if rng.random() < .2 else round(rng.uniform(5, 9), 3), s)
+            for a, ts, _, s in signal()[::3]]
+    frames = D.frames_by_asset(make_readings(rows), CFG)
+    path = scratch_path(spark, "artifact")
+    batched.save(spark, artifacts.MeanArtifact([1] * steps), path)
+    scorer = batched.batched(spark, batched.load(spark, path), block=64)
+    got = sorted(forecast(frames, CFG, scorer).select(*COLUMNS).collect(), key=str)
+    assert got == sorted(forecast(frames, CFG, lookback_mean(steps)).select(*COLUMNS).collect(), key=str)
+
+
+def test_a_worker_opens_an_artifact_once(spark):
+    content = artifacts.to_bytes(artifacts.MeanArtifact([1, 2, 3]))
+    sent = spark.sparkContext.broadcast(content)
+
+    def opens(batches):
+        for batch in batches:
+            before = len(artifacts.OPEN)
+            artifacts.opened(sent.value, "test-digest")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([os.getpid()]), pa.array([len(artifacts.OPEN) - before])], names=["pid", "new"])
+
+    rows = spark.range(0, 80_000, 1, 16).mapInArrow(opens, "pid long, new long").collect()
+    assert len(rows) >= 16
+    by_pid = {}
+    for row in rows:
+        by_pid[row.pid] = by_pid.get(row.pid, 0) + row.new
+    assert set(by_pid.values()) == {1}
+
+
+def test_units_are_the_same_wherever_they_run():
+    network = units.Units(16, True, 11, 3)
+    rows = np.arange(3 * 3 * len(FEATURES)).reshape(3, -1) / 50
+    again = units.Units(16, True, 11, 3)(rows[1:2])
+    assert network.width == again.shape[1] == 8 + 2 * 16
+    assert np.allclose(network(rows)[1], again[0], atol=1e-14)
+    assert np.allclose(units.drawn(11, 3), [-0.7428595944616008, -0.0014442751197700776, 0.20299671524671492])
+
+
+def test_matrix_takes_full_rows_only():
+    rows, known = units.matrix(pa.array([[1., 2.], None, [], [3.], [4., None], [5., 6.]]), 2)
+    assert rows.tolist() == [[1, 2], [5, 6]] and known.tolist() == [True, False, False, False, False, True]
+    assert np.isnan(artifacts.padded(pa.array([[1.0], None]), 2)).tolist() == [[True, False], [True, True]]
