@@ -152,6 +152,17 @@ def day_ends(readings: DataFrame, cfg: TwinConfig, layout: Layout) -> tuple[Data
     """
     if layout.day_salts == 1:
         return readings, readings
+    width, bounds = end_bounds(readings, cfg, layout)
+    marked = readings.withColumn("segment", segment(width)).join(bounds, list(KEY), "left")
+    whole = F.col("last_head").isNull()
+    heads = marked.where(whole | (F.col("segment") <= F.col("last_head")))
+    tails = marked.where(whole | (F.col("segment") >= F.col("first_tail")))
+    extra = ("segment", "last_head", "first_tail")
+    return heads.drop(*extra), tails.drop(*extra)
+
+
+def end_bounds(readings: DataFrame, cfg: TwinConfig, layout: Layout) -> tuple[int, DataFrame]:
+    """Per day above the target size the segments, of a common width, within which its ends lie."""
     width = layout.width_for(100 * cfg.head_rows)
     in_day = Window.partitionBy(*KEY)
     earlier = in_day.orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
@@ -164,12 +175,7 @@ def day_ends(readings: DataFrame, cfg: TwinConfig, layout: Layout) -> tuple[Data
             F.max(F.when(F.col("before") < cfg.head_rows, F.col("segment"))).alias("last_head"),
             F.min(F.when(after < cfg.context_rows, F.col("segment"))).alias("first_tail"))
     )
-    marked = readings.withColumn("segment", segment(width)).join(bounds, list(KEY), "left")
-    whole = F.col("last_head").isNull()
-    heads = marked.where(whole | (F.col("segment") <= F.col("last_head")))
-    tails = marked.where(whole | (F.col("segment") >= F.col("first_tail")))
-    extra = ("segment", "last_head", "first_tail")
-    return heads.drop(*extra), tails.drop(*extra)
+    return width, bounds
 
 
 def assemble(heads: DataFrame, tails: DataFrame, days: DataFrame, sources: DataFrame,

@@ -439,6 +439,7 @@ def oracle_sql() -> dict[str, str]:
         "energy_optimised": statement(t, f"SELECT {ROW}, t_int_opt, etat_opt, pwr_opt FROM twin"),
         "twin_day": statement(t, full),
         "twin_day_split": statement(t, full),
+        "twin_day_routed": statement(t, full),
         "twin_day_cadence": statement({**condensed(b), **forecasts(), **control(),
                                        **power_lines()}, full),
         "day_overflow": statement(b, f"""

@@ -20,13 +20,16 @@ from coldloop.operators import (
 )
 from coldloop.operators.artifacts import MeanArtifact
 from coldloop.operators.cadence import to_cadence
-from coldloop.operators.layout import measure
+from coldloop.operators.layout import Layout
 from coldloop.operators.ordering import (
     positions_by_range, positions_by_segment, with_positions,
 )
+from coldloop.operators.routed import summarise
 from coldloop.operators.scorers import ModelPower, PowerLine, array_mean_udf
 from coldloop.operators.slopes import slope_degrees, with_rolling_slopes, with_slopes
-from coldloop.plans.twin import controlled, forecast, twin_date, twin_days, twin_from_frames
+from coldloop.plans.twin import (
+    controlled, forecast, twin_date, twin_days, twin_from_frames, twin_routed,
+)
 from coldloop.session import scratch_path
 from coldloop.sources import results
 from coldloop.sources.readings import from_events, read_events, with_time_features
@@ -245,14 +248,27 @@ def twin_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return full_twin(source, D.day_frames(source, CFG))
 
 
+def _routed(source: DataFrame, target: Callable[[Layout], int]) -> DataFrame:
+    """The twin with each asset's own plan, for another target size."""
+    summary = summarise(source)
+    layout = replace(summary.layout, target_rows=max(1, target(summary.layout)))
+    rows = twin_routed(
+        source, replace(summary, layout=layout), CFG,
+        prepare=lambda frames: D.with_lag_feature(frames).map(with_time_features))
+    return edge(six(rows, *CYCLIC), *TWIN_COLUMNS)
+
+
 @register
 def twin_day_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The plan for crowded days; small tables lower the target so that theirs are, too."""
-    source = read_events(spark, sf_dir)
-    layout = measure(source)
-    target = max(1, min(layout.target_rows, layout.busiest_day // 4))
-    crowded = replace(layout, target_rows=target)
-    return full_twin(source, D.frames_by_day(source, CFG, crowded))
+    return _routed(read_events(spark, sf_dir),
+                   lambda layout: min(layout.target_rows, layout.busiest_day // 4))
+
+
+@register
+def twin_day_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plans by asset: the largest asset is split by day, the smaller ones are ordered whole."""
+    return _routed(read_events(spark, sf_dir), lambda layout: layout.busiest_asset - 1)
 
 
 @register
@@ -277,8 +293,8 @@ def fleet_twin_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def fleet_twin_day_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = read_events(spark, sf_dir, assets=None)
-    return full_twin(source, D.frames_by_day(source, CFG))
+    """Sparse days: every asset with more readings than the fullest day has is split by day."""
+    return _routed(read_events(spark, sf_dir, assets=None), lambda layout: layout.busiest_day)
 
 
 @register

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame
 
@@ -11,6 +13,7 @@ from coldloop.config import TwinConfig
 from coldloop.operators import days as D
 from coldloop.operators.control import replay
 from coldloop.operators.layout import Layout
+from coldloop.operators.routed import Summary, summarise
 from coldloop.operators.scorers import PowerLine, PowerScorer, ThermalScorer, lookback_mean
 from coldloop.operators.slopes import with_rolling_slopes, with_slopes
 
@@ -45,12 +48,28 @@ def twin_from_frames(frames: D.Frames, power: PowerScorer, cfg: TwinConfig = Twi
 def twin_days(readings: DataFrame, cfg: TwinConfig = TwinConfig(),
               thermal: ThermalScorer | None = None, power: PowerScorer | None = None,
               layout: Layout | None = None, wanted: DataFrame | None = None) -> DataFrame:
-    """Every asset-day (or those ``wanted``) with forecasts, controller and power."""
+    """Every asset-day (or those ``wanted``) with forecasts, controller and power.
+
+    Unless a layout is given or only some days are wanted, each asset gets its own plan.
+    """
     cfg = replace(cfg, reach=max(cfg.reach, reach_of(thermal, cfg)))
+    if layout is None and wanted is None:
+        return twin_routed(readings, summarise(readings), cfg, thermal, power)
     frames = D.day_frames(readings, cfg, layout, wanted)
     return twin_from_frames(frames, power or PowerLine.fit(readings), cfg, thermal)
 
 
+def twin_routed(readings: DataFrame, summary: Summary, cfg: TwinConfig = TwinConfig(),
+                thermal: ThermalScorer | None = None, power: PowerScorer | None = None,
+                prepare: Callable[[D.Frames], D.Frames] = lambda frames: frames) -> DataFrame:
+    """The twin of every asset-day, by the plans that ``summary`` chooses."""
+    cfg = replace(cfg, reach=max(cfg.reach, reach_of(thermal, cfg)))
+    power = power or summary.power_lines()
+    return reduce(DataFrame.unionByName, (
+        twin_from_frames(prepare(frames), power, cfg, thermal)
+        for frames in summary.frames(readings, cfg)))
+
+
 def twin_date(readings: DataFrame, day: dt.date, power: PowerScorer,
               cfg: TwinConfig = TwinConfig(), thermal: ThermalScorer | None = None) -> DataFrame:
     """One calendar date over all assets; an unknown date gives no rows."""

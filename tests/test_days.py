@@ -12,13 +12,25 @@ from coldloop.config import TwinConfig
 from coldloop.operators import days as D
 from coldloop.operators import ordering
 from coldloop.operators.layout import Layout, measure
+from coldloop.operators.routed import summarise
 from coldloop.operators.scorers import PowerLine, lookback_mean
 from coldloop.plans.twin import forecast, twin_date, twin_days, twin_from_frames
 from tests import brute
 
 CFG = TwinConfig()
 D1, D2, D9 = dt.date(2026, 5, 1), dt.date(2026, 5, 2), dt.date(2026, 5, 9)
+
+
+def routed(readings, target):
+    """Frames of an even fleet by its stored summary; a target of 20 makes its days crowded."""
+    frames, = summarise(readings, target).frames(readings, CFG)
+    return frames
+
+
 LAYOUTS = {
+    "routed_whole": lambda r: routed(r, 10**6),
+    "routed_split": lambda r: routed(r, 1) if r.count() < 20 else routed(r, 19),
+    "routed_crowded": lambda r: routed(r, min(8, r.count() - 1)),
     "by_asset": lambda r: D.frames_by_asset(r, CFG),
     "by_day": lambda r: D.frames_by_day(r, CFG),
     "by_crowded_day": lambda r: D.frames_by_day(r, CFG, measure(r, target_rows=20)),

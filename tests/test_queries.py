@@ -14,6 +14,14 @@ from tests.compare import difference, duckdb_tables
 SF_DIR = "/root/testdata/sf0.001"
 ORACLE = oracle.oracle_sql()
 ROWS_ONLY = {"thermal_ml", "energy_ml"}
+from coldloop.config import TwinConfig
+from coldloop.operators import days as D
+from coldloop.operators.routed import summarise
+from coldloop.operators.scorers import PowerLine
+from coldloop.plans.twin import twin_from_frames, twin_routed
+from coldloop.sources.readings import read_events
+
+CFG = TwinConfig()
 
 
 @pytest.fixture(scope="module")
@@ -51,10 +59,29 @@ def test_twin_shuffles_each_reading_once_and_stays_in_the_jvm(spark):
     assert "props" not in schema
 
 
-def test_split_twin_limits_days_before_the_shuffle(spark):
+def scans(text: str) -> list[str]:
+    return re.findall(r"Scan parquet.*?ReadSchema: (struct<\S*>)", text, re.DOTALL)
+
+
+def test_split_twin_finds_both_ends_of_days_in_one_scan(spark):
+    source = read_events(spark, SF_DIR)
+    summary = summarise(source)
+    summary = summarise(source, summary.layout.busiest_day)  # large assets, days within a task
+    now = plan(twin_routed(source, summary, CFG))
+    before = plan(twin_from_frames(D.frames_by_day(source, CFG), PowerLine.fit(source), CFG))
+    assert len(re.findall(r"WindowGroupLimit.*row_number\(\), 156, Partial", now)) == 1
+    assert not re.search("Python|Pandas|Cartesian|NestedLoop", now)
+    assert len(scans(before)) >= 4 and sum("event_type" in s for s in scans(now)) == 1
+
+    def shuffles(text):
+        return len(re.findall(r"(?<!Reused)Exchange hashpartitioning", text))
+    assert shuffles(now) < shuffles(before)
+
+
+def test_crowded_days_are_cut_before_the_shuffle(spark):
     text = plan(QUERIES["twin_day_split"](spark, SF_DIR))
-    assert len(re.findall(r"WindowGroupLimit.*row_number\(\), 156, Partial", text)) == 2
-    assert len(re.findall(r"WindowGroupLimit.*row_number\(\), 13, Partial", text)) == 2
+    assert len(re.findall(r"WindowGroupLimit.*row_number\(\), 156, Partial", text)) == 2  # salted
+    assert sum("event_type" in s for s in scans(text)) == 1  # the other one reads two columns
     assert not re.search("Python|Pandas|Cartesian|NestedLoop", text)
 
 
