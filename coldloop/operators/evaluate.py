@@ -16,6 +16,7 @@ from coldloop.config import TwinConfig
 from coldloop.functions.numeric import POWER_DIGITS, half_even
 from coldloop.operators import days as D
 from coldloop.operators.kpi import kpis
+from coldloop.operators.lanes import replay_lanes, with_lane_slopes
 from coldloop.operators.registry import ENERGY, MODELS, normalised
 from coldloop.operators.scorers import LeafMeans, ThermalScorer, lookback_mean
 
@@ -92,31 +93,23 @@ def variant_kpis(readings: DataFrame, frames: D.Frames,
                  cfg: TwinConfig = TwinConfig()) -> DataFrame:
     """KPIs of every pair of thermal and energy variants, per asset.
 
-    The four forecasts of a row become four asset-days of their own, keyed by the variant;
-    the four power predictions of a row are unpivoted just before the totals.
+    The four forecasts of a row are lanes of one controller fold; lanes and power predictions are
+    unpivoted just before the totals, so no row is shuffled more than once for all variants.
     """
-    from coldloop.plans.twin import controlled
-
-    scored = score_thermal_variants(D.with_seed(frames), cfg)
     labels = list(thermal_variants())
-    forecasts = F.array(*(
-        F.struct(F.lit(label).alias("thermal"), F.col(f"t_{i}").alias("t_int_pred"))
-        for i, label in enumerate(labels)))
-    kept = [c for c in scored.columns if c not in {f"t_{i}" for i in range(len(labels))}]
-    # The asset key carries the variant through the per-asset-day operators.
-    long = (
-        scored.select(*kept, F.inline(forecasts))
-        .withColumn("asset_id", F.struct("asset_id", "thermal")).drop("thermal")
-    )
+    lanes = [f"t_{i}" for i in range(len(labels))]
+    scored = score_thermal_variants(D.with_seed(frames), cfg).select(
+        *D.KEY, "k", "Puissance_Elec_kW", "Etat_Compresseur", "t_init", "etat_init", *lanes)
+    run = replay_lanes(with_lane_slopes(scored, lanes, cfg), lanes, cfg)
     leaves = LeafMeans.fit(readings, DEPTHS)
-    run = leaves.apply(long, "t_int_pred", "Etat_Compresseur", "pred")
-    run = leaves.apply(controlled(run, cfg), "t_int_opt", "etat_opt", "opt")
+    for lane in lanes:
+        run = leaves.apply(run, lane, "Etat_Compresseur", f"pred_{lane}")
+        run = leaves.apply(run, f"opt_{lane}", f"state_{lane}", f"pwr_{lane}")
     pairs = F.array(*(
-        F.struct(F.lit(energy_label(depth)).alias("energy"),
-                 half_even(F.col(f"pred_{depth}"), POWER_DIGITS).alias("pwr_pred_ia"),
-                 half_even(F.col(f"opt_{depth}"), POWER_DIGITS).alias("pwr_opt"))
-        for depth in DEPTHS))
-    rows = run.select(
-        F.col("asset_id.thermal").alias("thermal"), F.col("asset_id.asset_id").alias("asset_id"),
-        "Puissance_Elec_kW", "Etat_Compresseur", "etat_opt", F.inline(pairs))
+        F.struct(F.lit(label).alias("thermal"), F.lit(energy_label(depth)).alias("energy"),
+                 F.col(f"state_{lane}").alias("etat_opt"),
+                 half_even(F.col(f"pred_{lane}_{depth}"), POWER_DIGITS).alias("pwr_pred_ia"),
+                 half_even(F.col(f"pwr_{lane}_{depth}"), POWER_DIGITS).alias("pwr_opt"))
+        for label, lane in zip(labels, lanes) for depth in DEPTHS))
+    rows = run.select("asset_id", "Puissance_Elec_kW", "Etat_Compresseur", F.inline(pairs))
     return kpis(rows, ("thermal", "energy", "asset_id"), cfg)
