@@ -10,14 +10,15 @@ once, so even a hash of a third of all documents reaches its bucket once per sli
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,15 +48,22 @@ def bucket_count(docs: DataFrame, text_column: str) -> int:
 
 
 def cut(batches: Iterable[pa.RecordBatch], folder: str) -> Iterator[Slice]:
-    """Slices of rows (id, text), each kept as a file."""
+    """Slices of rows (id, text), each kept as a file.
+
+    A name says which slice of which partition it is and what is in it, so a task that is run
+    again after an executor is lost gives the same slices, and answers to either run fit.
+    """
     fs, path = file_system(folder)
     fs.create_dir(path, recursive=True)
-    for batch in slices(batches, "text", SLICE):
-        name = uuid.uuid4().hex
+    context = TaskContext.get()
+    partition = context.partitionId() if context else 0
+    for number, batch in enumerate(slices(batches, "text", SLICE)):
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, batch.schema) as out:
             out.write_batch(batch)
-        publish(fs, f"{path}/{name}", zstandard.ZstdCompressor(3).compress(sink.getvalue()))
+        content = sink.getvalue()
+        name = f"{partition}-{number}-{xxhash.xxh3_128_hexdigest(content)}"
+        publish(fs, f"{path}/{name}", zstandard.ZstdCompressor(3).compress(content))
         yield Slice(name, batch.column("id"), batch.column("text"))
 
 
@@ -139,8 +147,11 @@ def gathered(replies: DataFrame, finish: Callable[[str, dict, list[dict]], pa.Ta
     """``finish`` once per slice, on the name, its own row and the replies to it."""
     def collect(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        own = next(r for r in rows if r["bucket"] < 0)
-        done = finish(own["slice"], own, [r for r in rows if r["bucket"] >= 0])
+        mine = [r for r in rows if r["bucket"] < 0]
+        if len(mine) != 1:  # answers to a slice that its partition, run again, has no more
+            raise RuntimeError(f"{len(mine)} rows of slice {rows[0]['slice']}: its input changed "
+                               "between runs; write the input first")
+        done = finish(mine[0]["slice"], mine[0], [r for r in rows if r["bucket"] >= 0])
         give_back()
         return done
 
