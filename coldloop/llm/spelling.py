@@ -177,13 +177,15 @@ def neighbours(words: DataFrame) -> DataFrame:
 
 
 def rooted(forms: DataFrame, rounds: int) -> DataFrame:
-    """(word, root): where the forms of a word end, twice as far in each round."""
-    forms = stored(forms.select("word", F.col("form").alias("root")), "forms")
-    reached = forms
+    """(word, root): where the forms of a word end, twice as far in each round.
+
+    A round is written, as its plan would hold that of the round before twice.
+    """
+    reached = stored(forms.select("word", F.col("form").alias("root")), "roots")
     for _ in range(rounds):
         onward = reached.select(F.col("word").alias("root"), F.col("root").alias("beyond"))
-        reached = reached.join(onward, "root", "left").select(
-            "word", F.coalesce("beyond", "root").alias("root"))
+        reached = stored(reached.join(onward, "root", "left").select(
+            "word", F.coalesce("beyond", "root").alias("root")), "roots")
     return reached
 
 
