@@ -216,15 +216,17 @@ def with_seed(frames: Frames) -> Frames:
 
 
 def frames_for_date(readings: DataFrame, day: dt.date, cfg: TwinConfig = TwinConfig(),
-                    layout: Layout | None = None) -> Frames:
+                    layout: Layout | None = None, index: DataFrame | None = None) -> Frames:
     """Frames of one date over all assets, reading only the dates they need.
 
-    The borrowed dates come from the index of the dates up to this one. The scan is bounded by
+    The borrowed dates come from the index of the dates up to this one, which is counted unless a
+    stored ``index`` is given. The scan is bounded by
     literals that reach the Parquet reader: a range per run of borrowed dates, so one asset with
     very old readings does not open all the time between.
     """
     ts, opening, closing = F.col("timestamp"), _midnight(day), _midnight(day + dt.timedelta(days=1))
-    days = day_index(readings.where(ts < closing))
+    days = (day_index(readings.where(ts < closing)) if index is None
+            else index.where(F.col("d") <= F.lit(day)))
     is_day = F.col("d") == F.lit(day)
     sources = borrowed_days(days, cfg.context_rows).where(is_day)
     # One row per calendar date that some asset borrows from.

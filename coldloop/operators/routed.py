@@ -130,15 +130,46 @@ def day_ends(readings: DataFrame, cfg: TwinConfig, layout: Layout) -> DataFrame:
 
 def summarise(readings: DataFrame, target_rows: int = TARGET_ROWS) -> Summary:
     """Writes the summary, which takes one scan of the readings, and measures it."""
-    spark, path = readings.sparkSession, scratch_path(readings.sparkSession, "summary")
+    return stored(counted(readings), target_rows)
+
+
+def extended(summary: Summary, added: DataFrame) -> Summary:
+    """The summary with more readings, of which alone are read; earlier ones are not again.
+
+    Asset-days that get readings have their counts and moments merged: exactly, as spreads are kept
+    about their own means.
+    """
+    fresh = counted(added)
+    both = summary.days.select(*fresh.columns).unionByName(fresh)
+    day = Window.partitionBy(*KEY)
+    sums = [F.sum("n").alias("n")]
+    for line in LINES:
+        n, x, y, xx, xy = (f"{name}_{int(line)}" for name in ("n", "x", "y", "xx", "xy"))
+        total = F.sum(n).over(day)
+        both = both.withColumns({
+            f"mean_{x}": F.try_divide(F.sum(F.col(n) * F.col(x)).over(day), total),
+            f"mean_{y}": F.try_divide(F.sum(F.col(n) * F.col(y)).over(day), total)})
+        off_x, off_y = F.col(x) - F.col(f"mean_{x}"), F.col(y) - F.col(f"mean_{y}")
+        sums += [F.sum(n).alias(n), F.first(f"mean_{x}").alias(x), F.first(f"mean_{y}").alias(y),
+                 F.sum(F.col(xx) + F.col(n) * off_x * off_x).alias(xx),
+                 F.sum(F.col(xy) + F.col(n) * off_x * off_y).alias(xy)]
+    return stored(both.groupBy(*KEY).agg(*sums), summary.layout.target_rows)
+
+
+def counted(readings: DataFrame) -> DataFrame:
+    return readings.groupBy(*KEY).agg(
+        F.count("*").alias("n"), *(m for line in LINES for m in moments(line)))
+
+
+def stored(counts: DataFrame, target_rows: int) -> Summary:
+    """Counts with positions, written to the shared folder."""
+    spark, path = counts.sparkSession, scratch_path(counts.sparkSession, "summary")
     asset = Window.partitionBy("asset_id")
     earlier = asset.orderBy("d").rowsBetween(Window.unboundedPreceding, -1)
     first = F.coalesce(F.sum("n").over(earlier), F.lit(0))
-    days = readings.groupBy(*KEY).agg(
-        F.count("*").alias("n"), *(m for line in LINES for m in moments(line))).withColumns({
-            "first_pos": first, "last_pos": first + F.col("n") - 1,
-            "asset_rows": F.sum("n").over(asset)})
+    days = counts.withColumns({
+        "first_pos": first, "last_pos": first + F.col("n") - 1, "asset_rows": F.sum("n").over(asset)})
     days.write.parquet(path)
-    stored = spark.read.schema(days.schema).parquet(path)
-    largest, day = stored.agg(F.max("asset_rows"), F.max("n")).first()
-    return Summary(stored, Layout(largest or 0, day or 0, target_rows))
+    table = spark.read.schema(days.schema).parquet(path)
+    largest, day = table.agg(F.max("asset_rows"), F.max("n")).first()
+    return Summary(table, Layout(largest or 0, day or 0, target_rows))

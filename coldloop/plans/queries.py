@@ -24,7 +24,7 @@ from coldloop.operators.layout import Layout
 from coldloop.operators.ordering import (
     positions_by_range, positions_by_segment, with_positions,
 )
-from coldloop.operators.routed import summarise
+from coldloop.operators.routed import extended, summarise
 from coldloop.operators.scorers import ModelPower, PowerLine, array_mean_udf
 from coldloop.operators.slopes import slope_degrees, with_rolling_slopes, with_slopes
 from coldloop.plans.twin import (
@@ -299,10 +299,15 @@ def fleet_twin_day_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def twin_latest_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A request for one date: the newest one of the table."""
+    """A request for one date, the newest one, answered from a stored index of all dates.
+
+    The index comes in two parts: the earlier readings, and the last ten days added to it.
+    """
     source = read_events(spark, sf_dir)
     newest = source.agg(F.max("d")).first()[0]
-    rows = twin_date(source, newest, PowerLine.fit(source), CFG)
+    added = F.col("d") > F.date_sub(F.lit(newest), 10)
+    summary = extended(summarise(source.where(~added)), source.where(added))
+    rows = twin_date(source, newest, summary.power_lines(), CFG, index=summary.index())
     return edge(rows, *DAY_ROW, "t_int_pred", "pwr_pred_ia", "t_int_opt", "etat_opt", "pwr_opt")
 
 

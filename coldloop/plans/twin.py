@@ -71,7 +71,10 @@ def twin_routed(readings: DataFrame, summary: Summary, cfg: TwinConfig = TwinCon
 
 
 def twin_date(readings: DataFrame, day: dt.date, power: PowerScorer,
-              cfg: TwinConfig = TwinConfig(), thermal: ThermalScorer | None = None) -> DataFrame:
-    """One calendar date over all assets; an unknown date gives no rows."""
+              cfg: TwinConfig = TwinConfig(), thermal: ThermalScorer | None = None,
+              index: DataFrame | None = None) -> DataFrame:
+    """One calendar date over all assets; an unknown date gives no rows. With a stored day
+    ``index`` only that date and the dates it borrows from are read."""
     cfg = replace(cfg, reach=max(cfg.reach, reach_of(thermal, cfg)))
-    return twin_from_frames(D.frames_for_date(readings, day, cfg), power, cfg, thermal)
+    return twin_from_frames(
+        D.frames_for_date(readings, day, cfg, index=index), power, cfg, thermal)

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from coldloop.config import TwinConfig
 from coldloop.operators import days as D
-from coldloop.operators.routed import summarise
+from coldloop.operators.routed import extended, summarise
 from coldloop.operators.scorers import PowerLine
-from coldloop.plans.twin import twin_days, twin_from_frames, twin_routed
+from coldloop.plans.twin import twin_date, twin_days, twin_from_frames, twin_routed
 
 CFG = TwinConfig()
 COLUMNS = ("asset_id", "d", "k", "timestamp", "t_int_pred", "pwr_pred_ia", "t_int_opt", "etat_opt", "pwr_opt")
@@ -78,3 +78,26 @@ def test_no_readings(make_readings):
     assert twin_days(empty).collect() == []
     one = make_readings([(1, dt.datetime(2026, 4, 1), 7.0, 0.0)])
     assert twin_days(one).select(F.count("*")).first()[0] == 0
+
+
+@pytest.mark.parametrize("cut", ["reading_id % 3 = 0", "d < date'2026-04-03'", "asset_id = 0", "asset_id > 90"])
+def test_readings_added_later_give_the_same_summary(fleet, cut):
+    """Whole days, new assets, and days that were there already."""
+    grown = extended(summarise(fleet.where(cut)), fleet.where(f"NOT ({cut})"))
+    assert sorted(grown.index().collect()) == sorted(D.day_index(fleet).collect())
+    got = {r.line: r for r in grown.power_lines().lines.collect()}
+    for want in PowerLine.fit(fleet).lines.collect():
+        assert got[want.line].slope == pytest.approx(want.slope, rel=1e-9)
+        assert got[want.line].intercept == pytest.approx(want.intercept, rel=1e-9)
+    again = extended(grown, fleet.where("asset_id > 90"))
+    assert sorted(again.index().collect()) == sorted(grown.index().collect())
+
+
+def test_a_stored_index_answers_a_date_as_counting_does(fleet):
+    summary, day = summarise(fleet), dt.date(2026, 4, 3)
+    columns = [c for c in COLUMNS if not c.startswith("pwr")]
+    one = twin_date(fleet, day, summary.power_lines(), CFG, index=summary.index()).select(*columns)
+    other = twin_date(fleet, day, summary.power_lines(), CFG).select(*columns)
+    assert sorted(one.collect(), key=str) == sorted(other.collect(), key=str) != []
+    unknown = dt.date(2030, 1, 1)
+    assert twin_date(fleet, unknown, summary.power_lines(), CFG, index=summary.index()).isEmpty()
