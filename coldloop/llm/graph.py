@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coldloop.llm.text import stored
+from coldloop.llm.text import Shelf
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -15,13 +15,14 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Alternating stars: each id hooks its larger neighbours to the smallest one, then its
     smaller ones. Both keep the components and, repeated, end in one star per component, after
     a number of rounds that grows with the logarithm of the size. A round is written to the
-    shared folder, so lineage stays short; a busy id's links are split by skew joins. Links with a null end
-    and links of an id with itself say nothing.
+    shared folder, so lineage stays short, and replaces the one before it; a busy id's links are
+    split by skew joins. Links with a null end and links of an id with itself say nothing.
     """
+    shelf, turn = Shelf(links.sparkSession), 0
     u, v = F.col(a).cast("long"), F.col(b).cast("long")
-    edges = stored(
+    edges = shelf.add(
         links.where(u != v).select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v"))
-        .distinct(), "links")
+        .distinct(), "edges-0")
     seen = fingerprint(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -29,12 +30,14 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         large = (
             both.join(smallest, "u").where(F.col("v") > F.col("u"))
             .select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct())
-        large = stored(large, "large-stars")
+        large = shelf.add(large, "large-stars")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where(F.col("v") != F.col("m")).select(
             F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(),
-                       "small-stars")
+        turn += 1
+        edges = shelf.add(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(),
+                          f"edges-{turn}")
+        shelf.clear("large-stars", f"edges-{turn - 1}")
         now = fingerprint(edges)
         if now == seen:
             break

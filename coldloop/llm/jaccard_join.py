@@ -8,7 +8,7 @@ Shingles are ordered from rare to frequent. Linked sets share at least s shingle
 first n - o + s, where o is the overlap that n shingles need. Small sets enumerate the
 2-element subsets of that beginning (s = 2), large sets are looked up in inverted lists of their
 beginning (s = 1), and sets that may link across the boundary do both. The boundary is where the
-estimated number of subsets plus that of list entries to scan is smallest.
+number of rows is smallest: a subset is one, a list entry is two, as it also meets its list's head.
 
 Sets that meet in a list form candidate groups, linked to the list's smallest set and not to each
 other. Each group is verified exactly, in blocks of bounded size, by scanning inverted lists of
@@ -29,7 +29,7 @@ from coldloop.llm.exchange import (
     Slice, answered, ask, bucket_count, dealt, gathered, pack_positions, recall, same_runs,
     unpack_positions)
 from coldloop.llm.graph import components, roots
-from coldloop.llm.text import discard, mixed, stored, windows, word_hashes, words
+from coldloop.llm.text import Shelf, discard, mixed, stored, windows, word_hashes, words
 from coldloop.session import scratch_path
 
 SHINGLE, PERCENT = 4, 85
@@ -151,37 +151,44 @@ def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
     Shingles are told apart by 64-bit hashes, sets by 128 bits.
     """
     spark = docs.sparkSession
+    shelf = Shelf(spark)
     folder, n = scratch_path(spark, "slices"), bucket_count(docs, text_column)
     docs = docs.withColumn(id_column, docs[id_column].cast("long"))
     asked = ask(docs, id_column, text_column, folder,
                 lambda part: asked_shingles(part, shingle, n))
-    sets = stored(gathered(
+    sets = shelf.add(gathered(
         answered(asked, repeated_shingles), lambda name, own, replies: signed(
             recall(name, folder), own, replies, shingle, percent), SIGNED), "shingle-sets")
     discard(folder)
     known = sets.where(F.col("doc_id").isNotNull() & (F.col("n") > 0))
     of_set = ["k1", "k2", "n"]
     classes = known.groupBy(*of_set).agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows"))
-    classes = stored(classes, "set-classes")
-    copies = known.select("doc_id", *of_set).join(
-        classes.where("rows > 1"), of_set).where("doc_id <> rep").select("doc_id", "rep")
-    distinct = stored(
+    classes = shelf.add(classes, "set-classes")
+    copies = shelf.add(known.select("doc_id", *of_set).join(
+        classes.where("rows > 1"), of_set).where("doc_id <> rep").select("doc_id", "rep"), "copies")
+    distinct = shelf.add(
         known.where(F.col("shingles").isNotNull()).join(classes, of_set)
         .where("doc_id = rep").dropDuplicates(of_set).select("rep", "n", "shingles"), "sets")
-    links = stored(verified(distinct, candidate_groups(distinct, percent), percent), "links")
+    sizes = stored(sets.select("doc_id", F.col("n").alias("n_shingles")), "set-sizes")
+    shelf.clear("shingle-sets", "set-classes")
+    groups = shelf.add(candidate_groups(distinct, percent), "candidate-groups")
+    links = shelf.add(verified(distinct, groups, percent), "links")
+    shelf.clear("candidate-groups", "sets")
     joined = components(links.select(F.col("rep").alias("a"), F.col("root").alias("b"))
                         .unionByName(copies.select(F.col("doc_id").alias("a"),
                                                    F.col("rep").alias("b"))))
-    return sets.select("doc_id", F.col("n").alias("n_shingles")).join(
+    shelf.clear()
+    return sizes.join(
         joined.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn(
         "component_id", F.coalesce("component", "doc_id")).drop("component")
 
 
 def candidate_groups(distinct: DataFrame, percent: int) -> DataFrame:
     """(rep, comp): sets that meet in a list, directly or through others."""
+    shelf = Shelf(distinct.sparkSession)
     each = distinct.select("rep", "n", F.explode("shingles").alias("s"))
     frequency = each.groupBy("s").agg(F.count("*").alias("df")).where("df > 1")
-    ordered = stored(
+    ordered = shelf.add(
         each.join(frequency, "s").groupBy("rep", "n").agg(
             F.sort_array(F.collect_list(F.struct("df", "s"))).alias("common")), "ordered-shingles")
     # Shingles of one document come first in the order; what they leave of the beginning counts.
@@ -191,12 +198,15 @@ def candidate_groups(distinct: DataFrame, percent: int) -> DataFrame:
     ordered = ordered.withColumns({"begin": begin, "largest": F.expr(f"100 * n div {percent}")}
                                   ).where("begin + 1 > 0")
     boundary = cheapest_boundary(ordered)
-    keys = stored(list_keys(ordered, boundary, percent), "list-keys")
+    keys = shelf.add(list_keys(ordered, boundary, percent), "list-keys")
+    shelf.clear("ordered-shingles")
     heads = keys.groupBy("key", "size_class").agg(
         F.min("rep").alias("head"), F.count("*").alias("sets")).where("sets > 1")
     meets = keys.join(heads, ["key", "size_class"]).where("rep <> head")
-    return components(meets, "rep", "head").select(F.col("id").alias("rep"),
-                                                   F.col("component").alias("comp"))
+    found = components(meets, "rep", "head").select(F.col("id").alias("rep"),
+                                                    F.col("component").alias("comp"))
+    shelf.clear()
+    return found
 
 
 def list_keys(ordered: DataFrame, boundary: int, percent: int) -> DataFrame:
@@ -226,23 +236,26 @@ def list_keys(ordered: DataFrame, boundary: int, percent: int) -> DataFrame:
 
 
 def cheapest_boundary(ordered: DataFrame) -> int:
-    """The size up to which enumerating subsets costs less than scanning lists.
+    """The size up to which enumerating subsets makes fewer rows than looking up lists.
 
-    Costs are summed by size; the driver sees one row per distinct size.
+    A subset is one row. A list entry is two, as every listed shingle is in some other set too and
+    the entry meets its list's head. Costs are summed by size; the driver sees one row per
+    distinct size.
     """
     start = F.greatest(F.col("begin"), F.lit(0))
-    scanned = F.aggregate(F.slice("common", F.lit(1), start.cast("int")), F.lit(0).cast("long"),
-                          lambda total, x: total + x["df"])
+    listed = F.least(start, F.size("common"))
+    first = F.least(start + 1, F.size("common"))
     rows = ordered.groupBy("n", "largest").agg(
-        F.sum((start + 1) * start / 2).alias("subsets"), F.sum(scanned).alias("scanned")).collect()
-    rows = sorted((r.n, r.largest, r.subsets, r.scanned) for r in rows)
-    best, boundary = None, 0
-    for limit in [0, *(n for n, *_ in rows)]:
-        cost = (sum(c for n, _, c, _ in rows if n <= limit)
-                + sum(c for _, largest, _, c in rows if largest > limit))
-        if best is None or cost < best:
-            best, boundary = cost, limit
-    return boundary
+        F.sum(first * (first - 1) / 2).alias("subsets"), F.sum(2 * listed).alias("entries")).collect()
+    if not rows:
+        return 0
+    # Larger sets may link with larger ones, so both orders are one.
+    n, largest, subsets, entries = (np.array(x, float) for x in zip(*sorted(
+        (r.n, r.largest, r.subsets, r.entries) for r in rows)))
+    limits = np.concatenate([[0], n])
+    enumerated = np.concatenate([[0], np.cumsum(subsets)])[np.searchsorted(n, limits, "right")]
+    spared = np.concatenate([[0], np.cumsum(entries)])[np.searchsorted(largest, limits, "right")]
+    return int(limits[np.argmin(enumerated - spared)])
 
 
 def verified(distinct: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
@@ -251,7 +264,6 @@ def verified(distinct: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     Small groups are verified many at a time; a large one is cut into blocks, and all pairs of
     blocks are compared.
     """
-    groups = stored(groups, "candidate-groups")
     total = groups.count()
     sizes = groups.groupBy("comp").count().select(
         "comp", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))

@@ -42,6 +42,27 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Shelf:
+    """Written tables that one call needs for a while.
+
+    ``add`` writes a table and reads it back; ``clear`` removes the named ones, or all. A table may
+    go once everything made from it is written, as reading it again is then never needed.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, {}
+
+    def add(self, df: DataFrame, label: str) -> DataFrame:
+        self.paths[label] = path = scratch_path(self.spark, label)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self, *labels: str) -> None:
+        for label in labels or list(self.paths):
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(label))
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def without(docs: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:
     """Rows of ``docs`` whose ``column`` is not among ``ids``; null ones stay.
 

@@ -32,6 +32,37 @@ def test_boundary_decides_cost_only(spark, documents, monkeypatch):
         assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
 
 
+def test_cheapest_boundary_counts_rows(spark):
+    """A subset is a row, an entry two: three shingles make 3 against 6, nine make 36 against 18."""
+    def sets(n, begin, count):
+        return [(n, 100 * n // 85, begin, list(range(begin + 1))) for _ in range(count)]
+
+    ordered = spark.createDataFrame(sets(10, 2, 5) + sets(60, 9, 50),
+                                    "n long, largest long, begin long, common array<long>")
+    # Sets of 10 may link with those of 11, of which there are none.
+    assert jaccard_join.cheapest_boundary(ordered) == 0
+    few = spark.createDataFrame(sets(6, 1, 50) + sets(7, 2, 5) + sets(8, 2, 5) + sets(60, 9, 50),
+                                ordered.schema)
+    assert jaccard_join.cheapest_boundary(few) == 8
+    assert jaccard_join.cheapest_boundary(few.limit(0)) == 0
+
+
+def test_written_tables_are_removed(spark, tmp_path):
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
+    try:
+        docs = spark.createDataFrame([(i, f"a b c d e f g h {i % 9}") for i in range(60)],
+                                     "doc_id long, text string")
+        assert jaccard_join.join(docs).count() == 60
+        # What the result is read from: sizes and the last rounds of the two components.
+        assert sorted(p.name.rsplit("-", 1)[0][:5] for p in tmp_path.iterdir()) == [
+            "edges", "edges", "set-s"]
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")
+        if before:
+            spark.conf.set("spark.checkpoint.dir", before)
+
+
 def test_odd_rows(spark):
     docs = spark.createDataFrame(
         [(None, "a b c d e", 1), (4, "a b c d e", 2), (4, "x", 3), (2, "A B c d E", 4), (7, None, 5)],
