@@ -1,7 +1,9 @@
 """Near-duplicate embeddings: spherical k-means cells, blocked cosine products within cells.
 
 Equal vectors are first folded into one. Centroids are learned from a bounded sample, then every
-vector belongs to its nearest cell and visits the cells that are nearly as near. Within a cell,
+vector belongs to its nearest cell and visits the cells it is near the border of. Two linked
+vectors of different cells have both borders' angles within their own angle, so the nearer one to
+the border visits the other's cell and no link is lost, however the centroids lie. Within a cell,
 vectors with equal labels are compared in blocks, as matrix products in double precision. A
 block pair returns one row per linked vector: its number of links and the smallest vector it is
 connected with there, so a dense cell does not put all its pairs into a table.
@@ -24,8 +26,8 @@ THRESHOLD = 0.93
 #: Vectors the centroids are learned from, vectors per cell that are aimed at, most cells, and
 #: rounds of k-means.
 SAMPLE, CELL_SIZE, MAX_CELLS, ROUNDS = 20_000, 1_000, 2_048, 8
-#: A vector visits every cell whose centroid's cosine is at most this much below the nearest.
-MARGIN = 0.15
+#: Added to a border's width for the rounding of its cosines.
+SLACK = 1e-9
 #: Vectors per block of a cosine product.
 BLOCK = 1_024
 
@@ -55,7 +57,7 @@ def usable(embedding: str) -> Column:
     return F.coalesce(finite & F.exists(embedding, lambda x: x != 0), F.lit(False))
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, margin: float = MARGIN,
+def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD,
                     id_column: str = "vec_id", vector_column: str = "embedding",
                     label_column: str = "label") -> DataFrame:
     """vec_id, n_links, component_id and kept, one row per row of ``vectors``.
@@ -77,7 +79,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, margin: fl
     distinct = stored(keyed.groupBy("key").agg(
         F.min("vec_id").alias("rep"), F.count("*").alias("copies"),
         F.min("label").alias("label"), F.min("v").alias("v")), "vectors")
-    found = stored(compared(distinct, threshold, margin), "vector-links")
+    found = stored(compared(distinct, threshold), "vector-links")
     of_rep = found.groupBy("rep").agg(F.sum("links").alias("links"))
     # Equal ids of different vectors are one vertex, so representatives are joined by id.
     joined = components(found.select("rep", "root"), "rep", "root")
@@ -94,7 +96,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, margin: fl
         "kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
 
 
-def compared(distinct: DataFrame, threshold: float, margin: float) -> DataFrame:
+def compared(distinct: DataFrame, threshold: float) -> DataFrame:
     """(rep, root, links) per block pair and linked vector; root is connected with rep."""
     count = distinct.count()
     if not count:
@@ -105,7 +107,7 @@ def compared(distinct: DataFrame, threshold: float, margin: float) -> DataFrame:
     sample = unit(np.stack([v for v in sample if len(v) == length]))
     centroids = spherical_kmeans(sample, min(len(sample), MAX_CELLS, -(-count // CELL_SIZE)))
     members = distinct.mapInArrow(
-        assigner(centroids, margin), "rep long, copies long, label string, v array<double>, "
+        assigner(centroids, threshold), "rep long, copies long, label string, v array<double>, "
         "home int, cells array<int>").withColumn("cell", F.explode("cells"))
     sizes = members.groupBy("label", "cell").count().select(
         "label", "cell", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
@@ -118,11 +120,26 @@ def compared(distinct: DataFrame, threshold: float, margin: float) -> DataFrame:
         lambda table: block_links(table, threshold), "rep long, root long, links long")
 
 
-def assigner(centroids: np.ndarray, margin: float):
-    """Adds to vectors their nearest cell and all cells nearly as near.
+def borders(centroids: np.ndarray, threshold: float) -> np.ndarray:
+    """Per pair of cells how far a vector's cosine with its own may exceed that with the other.
+
+    The border of cells A and B is the plane at right angles to A - B. A vector x of A is
+    arcsin(x(A - B) / |A - B|) away from it, and a vector of B is somewhere beyond. If the two
+    link, the two distances are at most arccos(threshold) together, so one of them is at most
+    half of that.
+    """
+    half = np.sqrt((1 - min(1.0, max(-1.0, threshold))) / 2)
+    apart = np.sqrt(np.maximum(0.0, 2 - 2 * centroids @ centroids.T))
+    return half * apart + SLACK
+
+
+def assigner(centroids: np.ndarray, threshold: float):
+    """Adds to vectors their nearest cell and all cells whose border is within reach of a link.
 
     Vectors of another length than the centroids meet in one cell per length.
     """
+    width = borders(centroids, threshold)
+
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("v").to_pylist()
@@ -133,8 +150,9 @@ def assigner(centroids: np.ndarray, margin: float):
                 cells[i] = [homes[i]]
             if same:
                 cosines = unit(np.array([lists[i] for i in same])) @ centroids.T
-                near = cosines >= cosines.max(axis=1, keepdims=True) - margin
-                for i, best, visits in zip(same, np.argmax(cosines, axis=1).tolist(), near):
+                nearest = np.argmax(cosines, axis=1)
+                near = cosines.max(axis=1, keepdims=True) - cosines <= width[nearest]
+                for i, best, visits in zip(same, nearest.tolist(), near):
                     homes[i], cells[i] = best, np.flatnonzero(visits).tolist()
             yield pa.RecordBatch.from_arrays([
                 batch.column("rep"), batch.column("copies"), batch.column("label").cast("string"),

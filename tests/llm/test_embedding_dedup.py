@@ -53,6 +53,22 @@ def test_equals_brute_force(spark, documents, monkeypatch, block):
     assert sum(n for n, _ in want.values()) > 100
 
 
+@pytest.mark.parametrize("dimension", [3, 8, 16])
+def test_no_link_is_lost_between_cells(spark, monkeypatch, dimension):
+    """Vectors in all directions, in forty cells with long borders, against all products."""
+    monkeypatch.setattr(embedding_dedup, "CELL_SIZE", 60)
+    rng = np.random.default_rng(dimension)
+    near = rng.normal(size=(1_200, dimension))
+    near = np.concatenate([near, near + 0.3 * rng.normal(size=near.shape)])
+    docs = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(near)],
+                                 "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicates(docs).collect()}
+    unit = near / np.linalg.norm(near, axis=1, keepdims=True)
+    want = (unit @ unit.T >= embedding_dedup.THRESHOLD).sum(axis=1) - 1
+    assert want.sum() > 300
+    assert got == dict(enumerate(want.tolist()))
+
+
 def test_null_and_repeated_ids(spark):
     rows = [(1, [1.0, 0.0], 0, 1), (1, [1.0, 0.0], 0, 2), (None, [1.0, 0.0], 0, 3),
             (2, [1.0, 0.01], 0, 4)]
