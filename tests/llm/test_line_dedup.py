@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import duckdb
 
@@ -27,6 +28,16 @@ def test_equals_brute_force_and_statement(spark, documents):
         con.execute(ORACLE_SQL["op6_line_dedup"]).fetchall())
 
 
+def test_long_documents_take_linear_time(spark):
+    """Two equal documents of 60,000 lines: one keeps all, one loses all."""
+    text = "\n".join(f"line {i}" for i in range(60_000))
+    docs = spark.createDataFrame([(1, text), (2, text + "\nits own")], "doc_id long, text string")
+    begin = time.monotonic()
+    got = sorted(map(tuple, line_dedup.deduplicate(docs).collect()))
+    assert got == [(1, 60_000, 0, text), (2, 60_001, 60_000, "its own")]
+    assert time.monotonic() - begin < 60
+
+
 def test_odd_rows(spark):
     text = "a\nb\nc"
     docs = spark.createDataFrame(
