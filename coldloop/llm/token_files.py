@@ -15,10 +15,10 @@ from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,11 +26,8 @@ from pyspark.sql import functions as F
 from coldloop.llm.text import file_system, quiet_tokenizers, ragged, slices, words
 
 PART = "part int, docs long, without_id long, ids long"
-# The letters by which byte-level BPE names the bytes that are no visible Latin-1
-# characters, in order from 256 on; here those from 127 on, others do not occur in words.
-BYTE_LETTERS = {byte: 256 + 33 + i for i, byte in enumerate([*range(127, 161), 173])}
-#: Distinct words whose ids a Python worker keeps.
-CACHED_WORDS = 150_000
+#: Distinct words whose ids a Python worker keeps, and new ones that are encoded as one text.
+CACHED_WORDS, RUNS = 200_000, 5_000
 
 
 @dataclass(frozen=True)
@@ -50,7 +47,8 @@ class WordEncoder:
     """Encodes texts through their distinct words.
 
     Exact for byte-level BPE with word ends that drops white space, folds case and puts letters
-    and punctuation into separate pieces. Ids of words met again are kept, up to a bound.
+    and punctuation into separate pieces. Words are folded and parted from closing punctuation
+    as arrays; only what is new after that is encoded. Ids of pieces are kept, up to a bound.
     """
 
     def __init__(self, path: str) -> None:
@@ -58,74 +56,88 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        #: Ids of words met in several slices, and of those met since the last clearing.
+        #: Ids of pieces met in several slices, and of those met since the last clearing.
         self.known: dict[str, bytes] = {}
         self.recent: dict[str, bytes] = {}
 
-    def _learn(self, word: str) -> bytes:
-        """Ids of a word: runs of letters by the merges alone, others through all steps."""
-        if word.isalpha() and (word.isascii() or max(word) <= "\xff") and word == word.lower():
-            piece = word if word.isascii() else word.encode().decode(
-                "latin-1").translate(BYTE_LETTERS)
-            found = [token.id for token in self.tokenizer.model.tokenize(piece)]
-        else:
-            found = self.tokenizer.encode(word, add_special_tokens=False).ids
-        return array("I", found).tobytes()
-
-    def _runs(self, listed: list[str]) -> list[bytes]:
-        """The ids of each word, as bytes."""
+    def _together(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces, encoded as one text and told apart by where they start in it."""
+        found = self.tokenizer.encode(" ".join(pieces), add_special_tokens=False)
+        ids = np.array(found.ids, "<u4")
+        at = np.fromiter((start for start, _ in found.offsets), np.int64, len(ids))
+        ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)) + 1)
+        raw, cuts = ids.tobytes(), [0, *(np.searchsorted(at, ends) * 4).tolist()]
+        return [raw[i:j] for i, j in zip(cuts, cuts[1:])]
+
+    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of new pieces: those within Latin-1 many at a time, others each on its own."""
+        learned = {}
+        plain = [p for p in pieces if p and (p.isascii() or max(p) <= "\xff") and "<|" not in p]
+        for at in range(0, len(plain), RUNS):
+            some = plain[at: at + RUNS]
+            learned.update(zip(some, self._together(some)))
+        for piece in pieces:
+            if piece not in learned:
+                ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+                learned[piece] = array("I", ids).tobytes()
+        return learned
+
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece, as bytes."""
         if len(self.recent) > 2 * CACHED_WORDS:
             self.recent = {}
         if len(self.known) > CACHED_WORDS:
             self.known = {}
         known, recent = self.known, self.recent
-        runs = list(map(known.get, listed))
-        for at, run in enumerate(runs):
-            if run is None:
-                word = listed[at]
-                run = recent.pop(word, None)
-                if run is None:
-                    stem, tail = folded(word)
-                    run = b""
-                    for piece in (stem, tail) if tail else (stem,):
-                        ids = known.get(piece) or recent.get(piece)
-                        if ids is None:
-                            ids = recent[piece] = self._learn(piece)
-                        run += ids
-                    recent[word] = run
+        found = list(map(known.get, pieces))
+        new = []
+        for at, ids in enumerate(found):
+            if ids is None:
+                piece = pieces[at]
+                ids = recent.pop(piece, None)
+                if ids is None:
+                    new.append(at)
                 else:
-                    known[word] = run
-                runs[at] = run
-        return runs
+                    found[at] = known[piece] = ids
+        learned = self._learn([pieces[at] for at in new])
+        recent.update(learned)
+        for at in new:
+            found[at] = learned[pieces[at]]
+        return found
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each closed by ``end_id``, and the number of ids of each text."""
         bounds, codes, distinct = words(texts)
-        runs = [*self._runs(distinct.to_pylist()), np.uint32(end_id).tobytes()]
-        lengths = np.fromiter(map(len, runs), np.int64, len(runs)) // 4
-        table = np.frombuffer(b"".join(runs), np.uint32)
+        stems, tails = (x.dictionary_encode() for x in folded(distinct))
+        known = [*self._ids(stems.dictionary.to_pylist()), *self._ids(tails.dictionary.to_pylist()),
+                 np.uint32(end_id).tobytes(), b""]
+        lengths = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        table = np.frombuffer(b"".join(known), np.uint32)
         starts = np.cumsum(lengths) - lengths
-        # One more word, the end, after the words of each text.
-        with_end = np.insert(codes, bounds[1:], len(runs) - 1)
-        each = lengths[with_end]
+        # Two pieces per word, and one more word, the end, after the words of each text.
+        first = np.append(stems.indices.to_numpy(), len(known) - 2)
+        second = np.append(tails.indices.to_numpy() + len(stems.dictionary), len(known) - 1)
+        with_end = np.insert(codes, bounds[1:], len(distinct))
+        pieces = np.stack([first[with_end], second[with_end]], axis=1).ravel()
+        each = lengths[pieces]
         sums = np.concatenate([[0], np.cumsum(each)])
-        ends = sums[bounds[1:] + np.arange(1, len(bounds))]
-        return table[ragged(starts[with_end], each)], np.diff(ends, prepend=0)
+        ends = sums[2 * (bounds[1:] + np.arange(1, len(bounds)))]
+        return table[ragged(starts[pieces], each)], np.diff(ends, prepend=0)
 
 
-def folded(word: str) -> tuple[str, str]:
-    """A word as lower-case stem and closing punctuation, where both encode apart the same.
+def folded(distinct: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Words as lower-case stems and closing punctuation, where both encode apart the same.
 
     Other words stay whole: those with an added token's ``<|`` and those beyond Latin-1, whose
     case and composition rules are the tokenizer's own.
     """
-    if not (word.isascii() or max(word) <= "\xff") or "<|" in word:
-        return word, ""
-    word = word.lower()
-    stem = word.rstrip(".,!?;:")
-    if stem and len(stem) < len(word) and stem[-1].isalnum():
-        return stem, word[len(stem):]
-    return word, ""
+    own = pc.or_(pc.invert(pc.match_substring_regex(distinct, r"^[\x{0}-\x{FF}]*$")),
+                 pc.match_substring(distinct, "<|"))
+    lower = pc.if_else(own, distinct, pc.utf8_lower(distinct))
+    apart = pc.and_(pc.invert(own), pc.match_substring_regex(lower, r"[0-9a-zß-öø-ÿ][.,!?;:]+$"))
+    stem = pc.if_else(apart, pc.utf8_rtrim(lower, ".,!?;:"), lower)
+    tail = pc.if_else(apart, pc.replace_substring_regex(lower, r"(?s)^.*[^.,!?;:]", ""), "")
+    return stem, tail
 
 
 @cache
