@@ -18,29 +18,56 @@ from coldloop.llm.queries import END_ID, language_profiles
 from coldloop.llm.text import load, stored, without
 from coldloop.session import scratch_path
 
-#: Least nearness to a language's profile; noise without any language's n-grams is below it.
-LEAST_SCORE = 0.3
+#: Least nearness to a language's profile; noise without any language's n-grams is below it. Texts
+#: with fewer letters have too few n-grams for a rank order and are not judged by it.
+LEAST_SCORE, LEAST_LETTERS = 0.3, 40
 #: Near copies: words per shingle and least Jaccard similarity in hundredths. ``op8`` has its own.
 NEAR_SHINGLE, NEAR_PERCENT = 5, 80
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without documents that are in no language: without letters, or far from all profiles."""
+    """Without documents that are in no language: without letters, or far from all profiles.
+
+    Short texts go only if they have no letter.
+    """
     judged = language_id.identify(docs, language_profiles(docs), predicted="_lang", score="_near")
     return judged.where((F.col("_lang") != language_id.UNDETERMINED)
-                        & (F.col("_near") >= LEAST_SCORE)).select(*docs.columns)
+                        & ((F.col("_near") >= LEAST_SCORE)
+                           | (F.length(F.regexp_replace("text", r"\P{L}+", "")) < LEAST_LETTERS))
+                        ).select(*docs.columns)
+
+
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a number for each row, and that column's name.
+
+    Stages drop by it, as ids may be null or repeated. A stage's documents are a written table, so
+    a row has the same number in every scan and in a task that is run again.
+    """
+    name = "_row"
+    while name in docs.columns:
+        name += "_"
+    return docs.withColumn(name, F.monotonically_increasing_id()), name
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones, the one with the smallest id."""
-    groups = jaccard_join.join(docs, shingle=NEAR_SHINGLE, percent=NEAR_PERCENT)
-    return without(docs, groups.where("doc_id <> component_id")).select(*docs.columns)
+    """One row of each group of similar ones: the smallest id, null last, then the first row."""
+    rows, row = numbered(docs)
+    groups = jaccard_join.join(rows, shingle=NEAR_SHINGLE, percent=NEAR_PERCENT, id_column=row)
+    members = rows.select(F.col(row).alias("row"), F.col("doc_id").alias("id")).join(
+        groups.select(F.col("doc_id").alias("row"), "component_id"), "row")
+    order = F.struct(F.col("id").isNull(), "id", "row")
+    # A large group meets in the pre-aggregated minimum only: the anti-join is by row.
+    first = members.groupBy("component_id").agg(F.min(order)["row"].alias("row"))
+    others = members.select("row").join(first.select("row"), "row", "left_anti")
+    return without(rows, others.select(F.col("row").alias(row)), row).select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without documents that hold passages of the benchmark."""
-    found = decontaminate.leaks(docs, load(spark, sf_dir, "benchmark"), few_literals=True)
-    return without(docs, found).select(*docs.columns)
+    """Without rows that hold passages of the benchmark."""
+    rows, row = numbered(docs)
+    found = decontaminate.leaks(rows, load(spark, sf_dir, "benchmark"), id_column=row,
+                                few_literals=True)
+    return without(rows, found.select(F.col("doc_id").alias(row)), row).select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
