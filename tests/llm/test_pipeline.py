@@ -88,6 +88,35 @@ def test_near_copies_are_judged_on_five_words_at_eighty_hundredths(spark, docume
     assert 200 in kept and 201 not in kept and 40 < len(kept) < 120
 
 
+def test_rows_are_dropped_by_row(spark, documents):
+    """Repeated rows, null ids and clean namesakes; a column that has the name of the row number."""
+    item = "one apple falls far from that old tree near our house"
+    documents([(1, item)], "item_id long, text string", "benchmark")
+    a, b = (" ".join(f"{c}{k}" for k in range(40)) for c in "ab")
+    given = [(5, a), (5, a), (None, a), (3, a), (None, b), (None, b), (7, item + " x"), (7, "clean"),
+             (None, item)]
+    folder = documents([(i, t, None, None, k) for k, (i, t) in enumerate(given)])
+    docs = spark.read.parquet(f"{folder}/documents.parquet").withColumnRenamed("n_chars", "_row")
+
+    def kept(stage):
+        return sorted((given[r._row] for r in stage(spark, docs, folder).collect()), key=str)
+
+    assert kept(corpus_pipeline.distinct_documents) == sorted(
+        [(3, a), (None, b), (7, item + " x"), (7, "clean")], key=str)
+    assert kept(corpus_pipeline.decontaminated) == sorted(given[:6] + [(7, "clean")], key=str)
+
+
+def test_short_texts_stay(spark, documents):
+    """Too few n-grams for a rank order: only what has no letter goes."""
+    rows, items = corpus()
+    documents(items, "item_id long, text string", "benchmark")
+    short = [(100, "OK.", None, None, 3), (101, "Zq!", None, None, 3), (102, "7 %", None, None, 3)]
+    folder = documents(rows + short)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    kept = {r.doc_id for r in corpus_pipeline.identified(spark, docs, folder).collect()}
+    assert {100, 101} <= kept and 102 not in kept
+
+
 def test_empty_documents(spark, documents):
     documents([(1, "a b c")], "item_id long, text string", "benchmark")
     assert corpus_pipeline.run(spark, documents([])).count() == 0
