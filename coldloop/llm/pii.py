@@ -1,9 +1,11 @@
 """Personal data: expressions propose spans, checksums confirm them, context adjusts the score.
 
 Four base kinds follow fixed patterns (leftmost matches that do not overlap within a kind; a
-match that fails its check is dropped). Two more steps add spans and never remove any: a card
-or phone number hidden in a longer run of digits whose whole failed its check, and bank account
-numbers that pass mod-97. Positions count code points, ends are exclusive.
+match that fails its check is dropped). Three more steps add spans and never remove any: a card
+or phone number hidden in a longer run of digits whose whole failed its check, bank account
+numbers that pass mod-97, and weak candidates, which only a word nearby admits: shorter cards that
+pass Luhn and phone numbers without a country's prefix. Positions count code points, ends are
+exclusive.
 """
 
 from __future__ import annotations
@@ -31,9 +33,12 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?"
                   r"(?![A-Za-z0-9])")
+NATIONAL = re.compile(r"(?<![A-Za-z0-9+.-])\(?0[0-9](?:[\x20().-]{0,2}[0-9]){6,9}(?![0-9])")
 DIGITS = re.compile(r"[0-9]+")
 #: Score of a confirmed span before its context is seen.
 PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.7, "iban": 0.9}
+#: The same for a candidate whose form alone proves little: below ``LEAST``, above it with one step.
+WEAK = 0.4
 #: Words that make a kind likelier or less likely when they stand nearby.
 FOR = {"email": {"email", "mail", "contact"}, "ip": {"ip", "address", "host", "server"},
        "card": {"card", "visa", "mastercard", "credit", "carte", "karte", "tarjeta"},
@@ -120,10 +125,10 @@ def hidden_phone(text: str, start: int, end: int) -> tuple[int, int] | None:
     return found
 
 
-def score(text: str, kind: str, start: int, end: int) -> float:
+def score(text: str, kind: str, start: int, end: int, prior: float) -> float:
     near = text[max(0, start - REACH): start] + " " + text[end: end + REACH]
     found = {w.strip(".,:;()\"'").lower() for w in near.split()}
-    value = PRIOR[kind] + STEP * bool(found & FOR[kind]) - STEP * bool(
+    value = prior + STEP * bool(found & FOR[kind]) - STEP * bool(
         found & AGAINST.get(kind, set()))
     return round(min(1.0, max(0.0, value)), 3)
 
@@ -131,6 +136,7 @@ def score(text: str, kind: str, start: int, end: int) -> float:
 def find_spans(text: str) -> list[Span]:
     """All spans of a text, by kind as listed and then by position."""
     found: list[tuple[str, int, int, bool]] = [("email", a, b, True) for a, b in emails(text)]
+    weak: list[tuple[str, int, int]] = []
     for m in IP.finditer(text):
         parts = [p.lstrip("0") or "0" for p in m[0].split(".")]
         if all(len(p) <= 3 and int(p) <= 255 for p in parts):
@@ -139,6 +145,8 @@ def find_spans(text: str) -> list[Span]:
         digits = only_digits(m[0]) if m.end() - m.start() >= 13 else ""
         if 16 <= len(digits) <= 19 and luhn(digits):
             found.append(("card", *m.span(), True))
+        elif 13 <= len(digits) <= 15 and luhn(digits):
+            weak.append(("card", *m.span()))
         elif len(digits) > 19:
             found += [("card", a, b, False) for a, b in hidden_cards(text, *m.span())]
     for m in PHONE.finditer(text):
@@ -151,12 +159,33 @@ def find_spans(text: str) -> list[Span]:
         account = m[0].replace(" ", "")
         if 15 <= len(account) <= 34 and mod97(account):
             found.append(("iban", *m.span(), False))
+    taken = outline([(a, b) for _, a, b, _ in found])
+    weak += [("phone", *m.span()) for m in NATIONAL.finditer(text) if not meets(taken, *m.span())]
     order = {kind: i for i, kind in enumerate(KINDS)}
-    spans = [Span(kind, a, b, score(text, kind, a, b), base) for kind, a, b, base in found]
+    spans = [Span(kind, a, b, score(text, kind, a, b, PRIOR[kind]), base)
+             for kind, a, b, base in found]
+    spans += [Span(kind, a, b, score(text, kind, a, b, WEAK), False) for kind, a, b in weak]
     return sorted((s for s in spans if s.base or s.score >= LEAST),
                   key=lambda s: (order[s.kind], s.start))
 
 
+def outline(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The covered places as runs that do not overlap, in order."""
+    runs: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
+        if runs and start < runs[-1][1]:
+            runs[-1] = runs[-1][0], max(end, runs[-1][1])
+        else:
+            runs.append((start, end))
+    return runs
+
+
+def meets(runs: list[tuple[int, int]], start: int, end: int) -> bool:
+    """Whether a span overlaps one of the runs."""
+    at = bisect_left(runs, (end, 0))
+    return at > 0 and runs[at - 1][1] > start
+
+
 def detect(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``id_column`` and ``pii``, the spans of each whole text, row by row.
 

@@ -29,14 +29,15 @@ def op2_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Personal data in every whole text: base counts and digest, and all spans."""
+    """Personal data in every whole text: base counts and digest, all spans and their scores."""
     def of(kind: str):
         return F.size(F.filter("pii", lambda s: s["base"] & (s["kind"] == kind))).cast("long")
 
     return pii.detect(load(spark, sf_dir, "documents")).select(
         "doc_id", *(of(kind).alias(f"n_{kind}") for kind in pii.BASE_KINDS),
         F.sha2(pii.listed(F.filter("pii", lambda s: s["base"])), 256).alias("base_sha256"),
-        pii.listed(F.col("pii")).alias("spans"))
+        pii.listed(F.col("pii")).alias("spans"),
+        F.array_join(F.transform("pii", lambda s: s["score"].cast("string")), ",").alias("scores"))
 
 
 def remainder(modulus: int) -> Column:

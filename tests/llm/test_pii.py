@@ -62,9 +62,27 @@ def test_context_words_move_the_score():
     assert told > plain > pii.find_spans("version 10.0.0.1")[0].score
 
 
+def test_context_admits_weak_candidates():
+    """A number without a country's prefix and a card of 15 digits, with and without a word."""
+    def found(text):
+        return [(s.kind, text[s.start: s.end], s.base) for s in pii.find_spans(text)]
+
+    for number, kind, word, against in (("(030) 1234 5678", "phone", "Tel:", "serial"),
+                                        ("3782 822463 10005", "card", "visa", "order")):
+        assert found(f"took {number} of them") == []
+        assert found(f"{word} {number} today") == [(kind, number, False)]
+        assert found(f"{word} {against} {number} today") == []
+        assert found(f"{word} {'far ' * 20} {number}") == []
+    assert found("visa 3782 822463 10006") == []  # fails Luhn
+    assert found("call +49 030 1234 5678") == [("phone", "+49 030 1234 5678", True)]
+    assert pii.outline([(5, 9), (1, 3), (8, 12), (2, 3)]) == [(1, 3), (5, 12)]
+    assert [pii.meets([(1, 3), (5, 12)], *s) for s in ((3, 5), (0, 2), (11, 20), (12, 13))] == [
+        False, True, True, False]
+
+
 def test_long_runs_take_linear_time():
     begin = time.perf_counter()
-    for text in ("1" * 300_000 + "@", "a" * 300_000 + "@x", "1 " * 150_000, "+1" * 100_000):
+    for text in ("1" * 300_000 + "@", "a" * 300_000 + "@x", "1 " * 150_000, "+1" * 100_000, "(0" * 150_000, "01 " * 100_000):
         pii.find_spans(text)
     assert time.perf_counter() - begin < 20
 
