@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -85,6 +86,10 @@ class DayCache:
     their keys are there, so a failed batch leaves nothing visible. Where overlapping calls
     stored the same asset-day, the smallest batch is the one that is read. Days without a
     result have a key and no rows. A reloaded model is a new ``variant``.
+
+    ``compact`` merges a variant's batches into one, in ranges of dates, whose name sorts before
+    theirs. What it replaces is noted and stays until ``vacuum``, so reads under way end well.
+    ``forget`` removes all of a variant, as when its model is replaced.
     """
 
     spark: SparkSession
@@ -95,6 +100,8 @@ class DayCache:
         T.StructField("asset_id", T.LongType()), T.StructField("d", T.DateType()),
         T.StructField("variant", T.StringType()), T.StructField("batch", T.StringType())])
 
+    _REPLACED = "variant string, batch string, at double"
+
     def __post_init__(self) -> None:
         self._rows = T.StructType(
             self.row_schema.fields + [self._KEYS["variant"], self._KEYS["batch"]])
@@ -120,9 +127,68 @@ class DayCache:
             rows = compute(missing).select(*self.row_schema.names)
             rows.sortWithinPartitions("d").write.parquet(f"{self.path}/rows/{batch}")
             missing.write.parquet(f"{self.path}/keys/{batch}")
-        keys = self._read("keys", self._KEYS, variant).join(
-            requested.select("asset_id", "d"), ["asset_id", "d"], "left_semi"
-        ).groupBy("asset_id", "d").agg(F.min("batch").alias("batch"))
+        keys = self._winners(variant).join(
+            requested.select("asset_id", "d"), ["asset_id", "d"], "left_semi")
         stored = self._read("rows", self._rows, variant)
         return stored.join(keys, ["asset_id", "d", "batch"], "left_semi").select(
             *self.row_schema.names)
+
+    def _winners(self, variant: str) -> DataFrame:
+        return self._read("keys", self._KEYS, variant).groupBy("asset_id", "d").agg(
+            F.min("batch").alias("batch"))
+
+    def compact(self, variant: str) -> int:
+        """Merges a variant's batches and returns how many there were; one alone stays as it is.
+
+        Like a fetch, a merge writes rows first and keys last, so one that fails changes nothing.
+        Batches that appear meanwhile are left for the next merge.
+        """
+        batches = sorted(r.batch for r in self._read("keys", self._KEYS, variant)
+                         .select("batch").distinct().collect())  # one row per fetch
+        if len(batches) < 2:
+            return len(batches)
+        # "-" sorts before every hexadecimal digit, a later merge before an earlier one.
+        merged = f"-{(1 << 63) - time.time_ns():019d}{uuid.uuid4().hex}"
+        winners = self._winners(variant).where(F.col("batch").isin(batches))
+        (self._read("rows", self._rows, variant).join(winners, ["asset_id", "d", "batch"], "left_semi")
+         .select(*self.row_schema.names).repartitionByRange("d").sortWithinPartitions("d", "asset_id")
+         .write.parquet(f"{self.path}/rows/variant={variant}/batch={merged}"))
+        replaced = self.spark.createDataFrame(
+            [(variant, b, time.time()) for b in batches], self._REPLACED)
+        keys = winners.select("asset_id", "d").hint("rebalance")
+        keys.write.parquet(f"{self.path}/keys/variant={variant}/batch={merged}")
+        replaced.coalesce(1).write.mode("append").parquet(f"{self.path}/replaced")
+        return len(batches)
+
+    def vacuum(self, older_than: float = 86_400.0) -> int:
+        """Removes batches that were merged at least ``older_than`` seconds ago; how many.
+
+        Keys go before rows: a batch without keys is not read.
+        """
+        if not self._exists("replaced"):
+            return 0
+        old = self.spark.read.schema(self._REPLACED).parquet(f"{self.path}/replaced").where(
+            F.col("at") <= time.time() - older_than).select("variant", "batch").distinct().collect()
+        gone = [f"variant={r.variant}/batch={r.batch}" for r in old]
+        gone = [folder for folder in gone if self._exists(f"rows/{folder}")]
+        for name in ("keys", "rows"):
+            for folder in gone:
+                self._delete(f"{name}/{folder}")
+        return len(gone)
+
+    def forget(self, variant: str) -> None:
+        """Removes a variant; its days are computed again when they are asked for."""
+        for name in ("keys", "rows"):
+            self._delete(f"{name}/variant={variant}")
+
+    def _at(self, name: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def _exists(self, name: str) -> bool:
+        files, path = self._at(name)
+        return files.exists(path)
+
+    def _delete(self, name: str) -> None:
+        files, path = self._at(name)
+        files.delete(path, True)

@@ -129,6 +129,46 @@ def test_cache_ignores_rows_of_a_batch_that_never_finished(spark):
     assert [r.x for r in got.collect()] == [2.0]
 
 
+def test_cache_merges_batches_and_removes_them_later(spark):
+    """Six batches become one; a read planned before the merge still ends, empty days stay known."""
+    schema = T.StructType([T.StructField("asset_id", T.LongType()),
+                           T.StructField("d", T.DateType()), T.StructField("x", T.DoubleType())])
+    calls = []
+
+    def compute(missing):
+        calls.append(missing.count())
+        return missing.where("asset_id <> 2").selectExpr("asset_id", "d", "asset_id * 1.5D AS x")
+
+    cache = DayCache(spark, scratch_path(spark, "cache"), schema)
+    keys = "asset_id long, d date"
+    days = [D1 + dt.timedelta(days=i) for i in range(6)]
+    for d in days:
+        cache.fetch(spark.createDataFrame([(1, d), (2, d)], keys), "a", compute).collect()
+    cache.fetch(spark.createDataFrame([(1, D1)], keys), "b", compute).collect()
+    # The same day from an overlapping call, with another value: the smallest batch is read.
+    for name, rows, columns in (("rows", [(1, D1, -1.0)], schema), ("keys", [(1, D1)], keys)):
+        spark.createDataFrame(rows, columns).write.parquet(f"{cache.path}/{name}/variant=a/batch=z")
+    wanted = spark.createDataFrame([(i, d) for i in (1, 2) for d in days], keys)
+    want = [(1, d, 1.5) for d in days]
+    before = cache.fetch(wanted, "a", compute)
+    assert cache.compact("a") == 7 and cache.vacuum() == 0
+    after = cache.fetch(wanted, "a", compute)
+    assert sorted(map(tuple, before.collect())) == want == sorted(map(tuple, after.collect()))
+    assert cache.vacuum(0) == 7 and cache.vacuum(0) == 0
+    assert cache.compact("a") == 1 and cache.compact("none") == 0
+    computed = len(calls)
+    assert sorted(map(tuple, cache.fetch(wanted, "a", compute).collect())) == want
+    assert len(calls) == computed
+    left = spark.read.parquet(f"{cache.path}/keys").select("variant", "batch").distinct()
+    assert sorted(r.variant for r in left.collect()) == ["a", "b"]
+    # A second merge with a batch that came after the first one.
+    cache.fetch(spark.createDataFrame([(3, D1)], keys), "a", compute).collect()
+    assert cache.compact("a") == 2 and cache.vacuum(0) == 2
+    cache.forget("b")
+    assert cache.missing(spark.createDataFrame([(1, D1), (3, D1)], keys), "a").count() == 0
+    assert cache.missing(spark.createDataFrame([(1, D1)], keys), "b").count() == 1
+
+
 def test_scaler_centres_constants_and_reloads(spark, make_readings):
     stamps = [dt.datetime(2026, 5, 1) + dt.timedelta(minutes=10 * i) for i in range(20)]
     readings = make_readings([(0, ts, 7.0 + (i % 4) / 10, 1.0) for i, ts in enumerate(stamps)])
