@@ -1,6 +1,8 @@
 from __future__ import annotations
 
-from coldloop.llm import jaccard_join
+import itertools
+
+from coldloop.llm import jaccard_join, text
 from coldloop.llm.queries import QUERIES
 from tests.llm import brute, corpus
 
@@ -47,20 +49,19 @@ def test_cheapest_boundary_counts_rows(spark):
     assert jaccard_join.cheapest_boundary(few.limit(0)) == 0
 
 
-def test_written_tables_are_removed(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        docs = spark.createDataFrame([(i, f"a b c d e f g h {i % 9}") for i in range(60)],
-                                     "doc_id long, text string")
-        assert jaccard_join.join(docs).count() == 60
-        # What the result is read from: sizes and the last rounds of the two components.
-        assert sorted(p.name.rsplit("-", 1)[0][:5] for p in tmp_path.iterdir()) == [
-            "edges", "edges", "set-s"]
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
-        if before:
-            spark.conf.set("spark.checkpoint.dir", before)
+def test_written_tables_are_removed(spark, tmp_path, monkeypatch):
+    """Left is what the result is read from: sizes and the last round of its components."""
+    def numbered(_, label):
+        return f"{tmp_path}/{label}-{next(count)}"
+
+    count = itertools.count()
+    for module in (text, jaccard_join):
+        monkeypatch.setattr(module, "scratch_path", numbered)
+    docs = spark.createDataFrame([(i, f"a b c d e f g h {i % 9}") for i in range(60)],
+                                 "doc_id long, text string")
+    assert jaccard_join.join(docs).count() == 60
+    left = {p.name.split("-")[0] for p in tmp_path.iterdir()}
+    assert left == {"edges", "set"} and next(count) > 10 > len(list(tmp_path.iterdir()))
 
 
 def test_odd_rows(spark):
