@@ -27,7 +27,7 @@ from coldloop.llm.text import file_system, quiet_tokenizers, ragged, slices, wor
 
 PART = "part int, docs long, without_id long, ids long"
 #: Distinct words whose ids a Python worker keeps, and new ones that are encoded as one text.
-CACHED_WORDS, RUNS = 200_000, 5_000
+CACHED_WORDS, RUNS = 60_000, 5_000
 
 
 @dataclass(frozen=True)
