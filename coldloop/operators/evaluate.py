@@ -25,13 +25,16 @@ TEMPERATURE, POWER = "Température (°C)", "Puissance (kW)"
 DEPTHS = (3, 5, 7, 9)
 
 
+def thermal_shapes() -> dict[str, tuple[int, bool]]:
+    """Label to the readings its mean looks back on, and whether recent ones weigh more."""
+    return {label: (12 if "128u" in label else 6, "NoAttention" not in label)
+            for family, label, _ in MODELS if family != ENERGY}
+
+
 def thermal_variants() -> dict[str, ThermalScorer]:
     """Label to scorer; each writes its own column ``t_<i>``."""
-    return {
-        label: lookback_mean(12 if "128u" in label else 6,
-                             recency="NoAttention" not in label, out=f"t_{i}")
-        for i, (family, label, _) in enumerate(MODELS) if family != ENERGY
-    }
+    return {label: lookback_mean(steps, recency, out=f"t_{i}")
+            for i, (label, (steps, recency)) in enumerate(thermal_shapes().items())}
 
 
 def energy_label(depth: int) -> str:

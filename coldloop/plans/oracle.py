@@ -297,6 +297,7 @@ def oracle_sql() -> dict[str, str]:
     c = {**f, **control()}
     t = {**c, **power_lines()}
     fleet = {**base(FLEET), **forecasts(), **control(), **power_lines()}
+    cadence = {**condensed(b), **forecasts(), **control(), **power_lines()}
     e = {**f, **errors()}
     day_kpi = kpi_sql("asset_id, d", "twin")
     kpi_out = f"SELECT * REPLACE (strftime(d, '%Y-%m-%d') AS d) FROM ({day_kpi})"
@@ -440,8 +441,7 @@ def oracle_sql() -> dict[str, str]:
         "twin_day": statement(t, full),
         "twin_day_split": statement(t, full),
         "twin_day_routed": statement(t, full),
-        "twin_day_cadence": statement({**condensed(b), **forecasts(), **control(),
-                                       **power_lines()}, full),
+        "twin_day_cadence": statement(cadence, full),
         "day_overflow": statement(b, f"""
             SELECT asset_id, {D_TEXT}, last_pos - first_pos + 1 AS readings,
                    least(available, 144) AS in_slice, greatest(available - 144, 0) AS beyond_cap
@@ -451,12 +451,22 @@ def oracle_sql() -> dict[str, str]:
             SELECT count(t_int_pred) AS rows_scored, count(*) FILTER (WHERE k = 0) AS days_scored,
                    count(*) FILTER (WHERE k = 0) AS thermal_calls,
                    2 * count(*) FILTER (WHERE k = 0) AS power_calls FROM forecast"""),
+        "measured_scoring": statement(f, " UNION ALL ".join(
+            f"SELECT {ROW}, '{label}' AS model, {column} AS t_int_pred"
+            " FROM slice JOIN all_forecasts USING (asset_id, pos)"
+            for label, column in VARIANT_COLUMN.items())),
+        "scoring_calls": statement(f, " UNION ALL ".join(
+            f"SELECT '{label}' AS model, asset_id, {D_TEXT}, 1 AS calls, count(*) AS rows_asked,"
+            f" count({column}) AS rows_scored, count(*) OVER () AS in_histogram, true AS timed"
+            " FROM slice JOIN all_forecasts USING (asset_id, pos) GROUP BY asset_id, d"
+            for label, column in VARIANT_COLUMN.items())),
         "fleet_twin_day": statement(fleet, full),
         "fleet_twin_day_split": statement(fleet, full),
         "twin_latest_date": statement(t, f"""
             SELECT {ROW}, t_int_pred, pwr_pred_ia, t_int_opt, etat_opt, pwr_opt FROM twin
             WHERE d = (SELECT max(d) FROM source)"""),
         "day_kpi": statement(t, kpi_out),
+        "day_kpi_cadence": statement(cadence, kpi_out),
         "result_cache": statement(t, kpi_out),
         "day_kpi_disabled": statement(t, f"""
             SELECT * REPLACE (strftime(d, '%Y-%m-%d') AS d)
@@ -483,7 +493,13 @@ def oracle_sql() -> dict[str, str]:
             SELECT asset_id, timestamp, {shown} FROM ({stored} {newest})"""),
         "optimisation_page": statement(t, f"""
             SELECT asset_id, timestamp, {shown} FROM ({stored} {newest} LIMIT 20 OFFSET 40)"""),
+        "optimisation_page_by_rank": statement(t, f"""
+            SELECT asset_id, timestamp, {shown}, (r - 1) // 20 AS page
+            FROM (SELECT *, row_number() OVER ({newest}) AS r, count(*) OVER () AS n
+                  FROM ({stored}))
+            WHERE (r - 1) // 20 IN (0, (n - 1) // 20 // 2, (n - 1) // 20)"""),
         "optimisation_sink": statement(t, stored),
+        "optimisation_sink_cadence": statement(cadence, stored),
         "optimisation_upsert": statement(t, stored),
         "optimisation_replace": statement(t, f"""
             SELECT asset_id, timestamp, {shown} FROM ({stored} WHERE d >=
@@ -522,4 +538,7 @@ def oracle_sql() -> dict[str, str]:
                         WHEN model LIKE '%XGB%' THEN 'energy' END AS family
             FROM errors"""),
         "variant_sweep": statement(sweep_parts, kpi_sql("thermal, energy, asset_id", "pairs")),
+        "variant_sweep_cadence": statement(
+            {**condensed(b), **{name: body for name, body in sweep_parts.items() if name not in b}},
+            kpi_sql("thermal, energy, asset_id", "pairs")),
     }

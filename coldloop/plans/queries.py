@@ -16,7 +16,8 @@ from coldloop.functions.calendar import date_text, epoch_micros, timestamp_text
 from coldloop.functions.numeric import half_even
 from coldloop.operators import days as D
 from coldloop.operators import (
-    batched, cadence, evaluate, kpi, learning, metrics, recurrent, registry, sequences, tables,
+    batched, cadence, calls, evaluate, kpi, learning, metrics, recurrent, registry, sequences,
+    tables,
 )
 from coldloop.operators.artifacts import MeanArtifact
 from coldloop.operators.cadence import to_cadence
@@ -24,6 +25,7 @@ from coldloop.operators.layout import Layout
 from coldloop.operators.ordering import (
     positions_by_range, positions_by_segment, with_positions,
 )
+from coldloop.operators.pages import PageIndex
 from coldloop.operators.routed import extended, summarise
 from coldloop.operators.scorers import ModelPower, PowerLine, array_mean_udf
 from coldloop.operators.slopes import slope_degrees, with_rolling_slopes, with_slopes
@@ -369,6 +371,17 @@ def optimisation_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edge(tables.rounded(tables.page(rows, 2)))
 
 
+@register
+def optimisation_page_by_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first, the middle and the last page, each from the parts that hold it."""
+    rows = tables.optimisation_rows(_twin(spark, sf_dir)).drop("d")
+    index = PageIndex.build(rows, scratch_path(spark, "pages"))
+    last = max(index.pages() - 1, 0)
+    shown = [tables.rounded(index.page(number)).withColumn("page", F.lit(number).cast("bigint"))
+             for number in sorted({0, last // 2, last})]
+    return edge(reduce(DataFrame.unionByName, shown))
+
+
 @register
 def optimisation_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = results.OptimisationStore(spark, scratch_path(spark, "optimisations"))
@@ -401,6 +414,30 @@ def optimisation_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edge(store.read(), "asset_id", *OPTIMISATION_COLUMNS)
 
 
+def _cadence_twin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twin of ten-minute means: a day is its 144 rows, so the cap leaves out no reading."""
+    return twin_days(to_cadence(read_events(spark, sf_dir)), CFG)
+
+
+@register
+def day_kpi_cadence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edge(kpi.kpis(_cadence_twin(spark, sf_dir), cfg=CFG))
+
+
+@register
+def optimisation_sink_cadence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = results.OptimisationStore(spark, scratch_path(spark, "optimisations"))
+    store.create()
+    store.upsert(tables.optimisation_rows(_cadence_twin(spark, sf_dir)))
+    return edge(store.read(), "asset_id", *OPTIMISATION_COLUMNS)
+
+
+@register
+def variant_sweep_cadence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source = to_cadence(read_events(spark, sf_dir))
+    return edge(evaluate.variant_kpis(source, D.day_frames(source, CFG), CFG))
+
+
 @register
 def simulation_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = with_time_features(_frames(spark, sf_dir).slices(CFG))
@@ -475,6 +512,36 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.run_counts(_twin(spark, sf_dir))
 
 
+def _measured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days scored by the stored means behind the four thermal labels, one call each."""
+    models = {}
+    for label, (steps, recency) in evaluate.thermal_shapes().items():
+        path = scratch_path(spark, "artifact")
+        batched.save(spark, MeanArtifact(range(1, steps + 1) if recency else [1] * steps), path)
+        models[label] = batched.load(spark, path)
+    scored, path = calls.measured(spark, _frames(spark, sf_dir), models, CFG), scratch_path(
+        spark, "measured")
+    scored.write.parquet(path)
+    return spark.read.schema(scored.schema).parquet(path)
+
+
+@register
+def measured_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edge(_measured(spark, sf_dir), *DAY_ROW, "model", "t_int_pred")
+
+
+@register
+def scoring_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measured calls per model and day, beside the calls that the model's histogram holds."""
+    scored = _measured(spark, sf_dir)
+    held = calls.latency_histogram(scored).where(F.col("le") == float("inf")).select(
+        "model", F.col("calls").alias("in_histogram"))
+    found = calls.day_calls(scored).join(F.broadcast(held), "model")
+    return edge(found.withColumn("timed", (F.col("seconds") > 0) & F.col("loaded_at").isNotNull()),
+                "model", "asset_id", "d", "calls", "rows_asked", "rows_scored", "in_histogram",
+                "timed")
+
+
 @register
 def thermal_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Linear regression on the lookback: trained on earlier dates, scored on later ones."""
