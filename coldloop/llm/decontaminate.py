@@ -32,6 +32,8 @@ from coldloop.llm.text import slices, windows, words
 #: Template words of a window, literal words it must hold, and items per block.
 WINDOW, LEAST_LITERALS, ITEMS = 8, 4, 20_000
 FACTOR = 0xC2B2AE3D27D4EB4F
+#: Text bytes handled at once: template words take some twenty bytes for each byte of text.
+SLICE = 1 << 20
 # Marks around words, what a number is, and units after a number.
 MARKS = ".,!?;:\"'()[]{}*%$€£&#|<>-_/\\“”«»„‘’"
 NUMBER = re.compile(r"[0-9][0-9.,:/]*")
@@ -266,7 +268,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
 def finder(listed: list[tuple[int, str]], few_literals: bool):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index([i for i, _ in listed], [t for _, t in listed], few_literals)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             found = list(matches(templates(batch.column("text")), index))
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id").take(pa.array([d for d, *_ in found], pa.int64())),
