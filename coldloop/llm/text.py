@@ -133,10 +133,12 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def ragged(starts: np.ndarray, lengths: np.ndarray, dtype: type = np.int64) -> np.ndarray:
     """Indexes start, start + 1, … of every run, one run after the other."""
-    ends = np.cumsum(lengths)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)
+    ends = np.cumsum(lengths, dtype=dtype)
+    at = np.repeat(starts.astype(dtype) - ends + lengths, lengths)
+    at += np.arange(len(at), dtype=dtype)
+    return at
 
 
 def file_system(uri: str) -> tuple[pafs.FileSystem, str]:

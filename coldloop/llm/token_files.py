@@ -111,18 +111,20 @@ class WordEncoder:
         stems, tails = (x.dictionary_encode() for x in folded(distinct))
         known = [*self._ids(stems.dictionary.to_pylist()), *self._ids(tails.dictionary.to_pylist()),
                  np.uint32(end_id).tobytes(), b""]
-        lengths = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        # A slice has less than 2**31 bytes of text, and no more ids than bytes and documents.
+        lengths = np.fromiter(map(len, known), np.int32, len(known)) // 4
         table = np.frombuffer(b"".join(known), np.uint32)
         starts = np.cumsum(lengths) - lengths
         # Two pieces per word, and one more word, the end, after the words of each text.
-        first = np.append(stems.indices.to_numpy(), len(known) - 2)
-        second = np.append(tails.indices.to_numpy() + len(stems.dictionary), len(known) - 1)
+        first = np.append(stems.indices.to_numpy(), np.int32(len(known) - 2))
+        second = np.append(tails.indices.to_numpy() + len(stems.dictionary), np.int32(len(known) - 1))
         with_end = np.insert(codes, bounds[1:], len(distinct))
         pieces = np.stack([first[with_end], second[with_end]], axis=1).ravel()
         each = lengths[pieces]
-        sums = np.concatenate([[0], np.cumsum(each)])
-        ends = sums[2 * (bounds[1:] + np.arange(1, len(bounds)))]
-        return table[ragged(starts[pieces], each)], np.diff(ends, prepend=0)
+        sums = np.cumsum(each, dtype=np.int64)
+        ends = sums[2 * (bounds[1:] + np.arange(1, len(bounds))) - 1]
+        del sums
+        return table[ragged(starts[pieces], each, np.int32)], np.diff(ends, prepend=0)
 
 
 def folded(distinct: pa.Array) -> tuple[pa.Array, pa.Array]:
