@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
@@ -20,6 +21,8 @@ from coldloop.sources.readings import with_time_features
 
 #: Boosting rounds of a power model.
 ROUNDS = 50
+#: Values of temperature and of state up to which power models are trained on each of them.
+TEMPERATURE_LEVELS, STATE_LEVELS = 4_096, 32
 
 
 def lookback_vectors(frames: D.Frames, scaler: Scaler,
@@ -62,13 +65,51 @@ def power_rows(readings: DataFrame, cutoff: dt.date) -> DataFrame:
     )
 
 
+def at_levels(rows: DataFrame, column: str, most: int) -> DataFrame:
+    """``rows``; where a column has more than ``most`` values, each goes to the nearest quantile.
+
+    Two quantiles part halfway, which is where a tree that is trained on them splits.
+    """
+    if rows.select(column).distinct().limit(most + 1).count() <= most:
+        return rows
+    found = rows.approxQuantile(column, np.linspace(0, 1, most).tolist(), 0.25 / most)
+    values, halves = found[:1], []
+    for value in found[1:]:
+        half = values[-1] + (value - values[-1]) / 2
+        if values[-1] < half < value:
+            halves.append(half)
+            values.append(value)
+    level = Bucketizer(splits=[-np.inf, *halves, np.inf], inputCol=column, outputCol="level")
+    nearest = F.element_at(F.lit(np.array(values)), F.col("level").cast("int") + 1)
+    return level.transform(rows).withColumn(column, nearest).drop("level")
+
+
+def power_cells(rows: DataFrame) -> DataFrame:
+    """Mean power and number ``n`` of ``power_rows`` per temperature and state.
+
+    Squared-error trees over these two see of a cell only its mean and its number of rows, so they
+    grow on the cells as on the rows. There are at most ``TEMPERATURE_LEVELS`` times
+    ``STATE_LEVELS`` cells, however many rows and different values there are.
+    """
+    for column, most in (("model_T_int", TEMPERATURE_LEVELS), ("model_state", STATE_LEVELS)):
+        rows = at_levels(rows, column, most)
+    return rows.groupBy("model_T_int", "model_state").agg(
+        F.avg("Puissance_Elec_kW").alias("Puissance_Elec_kW"),
+        F.count("*").cast("double").alias("n"))
+
+
 def train_power(rows: DataFrame, depth: int = 5, rounds: int = ROUNDS) -> PipelineModel:
     """Boosted trees of one depth over (temperature, state), fitted on ``power_rows``."""
-    trees = GBTRegressor(featuresCol="power_inputs", labelCol="Puissance_Elec_kW",
+    return train_power_cells(power_cells(rows), depth, rounds)
+
+
+def train_power_cells(cells: DataFrame, depth: int = 5, rounds: int = ROUNDS) -> PipelineModel:
+    """Boosted trees of one depth over (temperature, state), fitted on ``power_cells``."""
+    trees = GBTRegressor(featuresCol="power_inputs", labelCol="Puissance_Elec_kW", weightCol="n",
                          predictionCol="prediction", maxDepth=depth, maxIter=rounds, seed=7)
     assemble = VectorAssembler(inputCols=["model_T_int", "model_state"], outputCol="power_inputs",
                                handleInvalid="keep")
-    return Pipeline(stages=[assemble, trees]).fit(rows)
+    return Pipeline(stages=[assemble, trees]).fit(cells)
 
 
 def save_and_load(model: PipelineModel, df: DataFrame, label: str) -> PipelineModel:

@@ -410,7 +410,7 @@ def optimisation_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     store.create()
     for asset in (0, 1, 0):
         store.upsert(rows.where(F.col("asset_id") == asset))
-    rows.unpersist()
+    cells.unpersist()
     return edge(store.read(), "asset_id", *OPTIMISATION_COLUMNS)
 
 
@@ -577,13 +577,14 @@ def energy_ml(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = read_events(spark, sf_dir)
     cutoff = evaluate.split_date(source)
     scored = forecast(D.day_frames(source, CFG), CFG).where(F.col("d") >= F.lit(cutoff))
-    names, rows = [], learning.power_rows(source, cutoff).persist()
+    names = []
+    cells = learning.power_cells(learning.power_rows(source, cutoff)).coalesce(1).persist()
     for depth in evaluate.DEPTHS:
         model = learning.save_and_load(
-            learning.train_power(rows, depth), source, f"power-model-{depth}")
+            learning.train_power_cells(cells, depth), source, f"power-model-{depth}")
         names.append(f"pwr_depth_{depth}")
         scored = ModelPower(model).apply(scored, "t_int_pred", "Etat_Compresseur", names[-1])
-    rows.unpersist()
+    cells.unpersist()
     return edge(six(scored, *names), *DAY_ROW, *names)
 
 
