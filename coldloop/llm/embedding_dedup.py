@@ -3,8 +3,10 @@
 Equal vectors are first folded into one. Centroids are learned from a bounded sample, then every
 vector belongs to its nearest cell and visits the cells it is near the border of. Two linked
 vectors of different cells have both borders' angles within their own angle, so the nearer one to
-the border visits the other's cell and no link is lost, however the centroids lie. Within a cell,
-vectors with equal labels are compared in blocks, as matrix products in double precision. A
+the border visits the other's cell and no link is lost, however the centroids lie. Only vectors
+of equal labels meet, so cells are sized by the largest label, and a label that fits one cell is
+not divided. Within a cell, vectors at home there are compared with each other and with visitors,
+visitors not among themselves, in blocks, as matrix products in double precision. A
 block pair returns one row per linked vector: its number of links and the smallest vector it is
 connected with there, so a dense cell does not put all its pairs into a table.
 """
@@ -23,13 +25,13 @@ from coldloop.llm.text import stored
 
 #: Cosine from which on two vectors link.
 THRESHOLD = 0.93
-#: Vectors the centroids are learned from, vectors per cell that are aimed at, most cells, and
-#: rounds of k-means.
-SAMPLE, CELL_SIZE, MAX_CELLS, ROUNDS = 20_000, 1_000, 2_048, 8
+#: Vectors the centroids are learned from, vectors per cell and label that are aimed at, most
+#: cells, and rounds of k-means.
+SAMPLE, CELL_SIZE, MAX_CELLS, ROUNDS = 20_000, 4_096, 2_048, 8
 #: Added to a border's width for the rounding of its cosines.
 SLACK = 1e-9
-#: Vectors per block of a cosine product.
-BLOCK = 1_024
+#: Most vectors and most components per block of a cosine product, and vectors of one product.
+BLOCK, BLOCK_VALUES, STRIP = 4_096, 2_000_000, 512
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -98,26 +100,45 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD,
 
 def compared(distinct: DataFrame, threshold: float) -> DataFrame:
     """(rep, root, links) per block pair and linked vector; root is connected with rep."""
-    count = distinct.count()
-    if not count:
-        return distinct.select("rep", F.col("rep").alias("root"), F.lit(0).cast("long").alias("links"))
+    sizes = distinct.groupBy("label").agg(F.count("*").alias("size"))
+    large = stored(sizes.where(F.col("size") > CELL_SIZE), "large-labels")
+    divided = distinct.join(F.broadcast(large), "label", "left").withColumn(
+        "divided", F.col("size").isNotNull())
+    members = divided.select("rep", "copies", "label", "v", "divided").mapInArrow(
+        assigner(learned(divided, large), threshold),
+        "rep long, copies long, label string, v array<double>, home int, cells array<int>")
+    visits = members.withColumn("cell", F.explode("cells")).withColumn(
+        "at_home", F.col("cell") == F.col("home"))
+    # A cell's vectors are of one length.
+    rows = F.greatest(F.lit(1), F.least(F.lit(BLOCK), F.floor(BLOCK_VALUES / F.max(F.size("v")))))
+    blocks = visits.groupBy("label", "cell").agg(
+        F.ceil(F.count_if("at_home") / rows).cast("int").alias("homes"),
+        F.ceil(F.count_if(~F.col("at_home")) / rows).cast("int").alias("guests"))
+    # Blocks of vectors at home, then those of visitors. Each home block meets all blocks.
+    drawn = F.xxhash64("v")
+    dealt = visits.join(blocks.where("homes > 0"), ["label", "cell"]).withColumn("own", F.when(
+        F.col("at_home"), F.pmod(drawn, F.col("homes"))).otherwise(
+        F.col("homes") + F.pmod(drawn, F.col("guests"))).cast("int"))
+    met = F.col("homes") + F.when(F.col("at_home"), F.col("guests")).otherwise(0)
+    pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), met - 1))).select(
+        "label", "cell", "rep", "copies", "v", "home", "own",
+        F.when(F.col("at_home"), F.col("cells")).alias("cells"),
+        F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    return pairs.groupBy("label", "cell", "i", "j").applyInArrow(
+        lambda table: block_links(table, threshold), "rep long, root long, links long")
+
+
+def learned(divided: DataFrame, large: DataFrame) -> np.ndarray:
+    """Centroids for the labels that fill several cells; none if there is no such label."""
+    largest = large.agg(F.max("size")).first()[0]
+    if largest is None:
+        return np.empty((0, 0))
     # The lowest hashes: the same sample on every run, at most ``SAMPLE`` vectors.
-    sample = distinct.select("v").orderBy(F.xxhash64("key"), "key").limit(SAMPLE).toPandas()["v"]
+    sample = divided.where("divided").select("v").orderBy(F.xxhash64("key"), "key").limit(
+        SAMPLE).toPandas()["v"]
     length = sample.map(len).mode()[0]
     sample = unit(np.stack([v for v in sample if len(v) == length]))
-    centroids = spherical_kmeans(sample, min(len(sample), MAX_CELLS, -(-count // CELL_SIZE)))
-    members = distinct.mapInArrow(
-        assigner(centroids, threshold), "rep long, copies long, label string, v array<double>, "
-        "home int, cells array<int>").withColumn("cell", F.explode("cells"))
-    sizes = members.groupBy("label", "cell").count().select(
-        "label", "cell", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
-    dealt = members.join(sizes, ["label", "cell"]).withColumn(
-        "own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    pairs = dealt.withColumn("other", F.explode(F.sequence(
-        F.lit(0), F.col("blocks") - 1))).withColumns({
-            "i": F.least("own", "other"), "j": F.greatest("own", "other")})
-    return pairs.groupBy("label", "cell", "i", "j").applyInArrow(
-        lambda table: block_links(table, threshold), "rep long, root long, links long")
+    return spherical_kmeans(sample, min(len(sample), MAX_CELLS, -(-largest // CELL_SIZE)))
 
 
 def borders(centroids: np.ndarray, threshold: float) -> np.ndarray:
@@ -136,33 +157,45 @@ def borders(centroids: np.ndarray, threshold: float) -> np.ndarray:
 def assigner(centroids: np.ndarray, threshold: float):
     """Adds to vectors their nearest cell and all cells whose border is within reach of a link.
 
-    Vectors of another length than the centroids meet in one cell per length.
+    Vectors of an undivided label, or of another length than the centroids, meet in one cell per
+    length.
     """
     width = borders(centroids, threshold)
 
+    def near(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        cosines = unit(points) @ centroids.T
+        nearest = np.argmax(cosines, axis=1)
+        return nearest, cosines.max(axis=1, keepdims=True) - cosines <= width[nearest]
+
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column("v").to_pylist()
-            homes, cells = [0] * len(lists), [[0]] * len(lists)
-            same = [i for i, v in enumerate(lists) if len(v) == centroids.shape[1]]
-            for i in set(range(len(lists))) - set(same):
-                homes[i] = -len(lists[i])
-                cells[i] = [homes[i]]
-            if same:
-                cosines = unit(np.array([lists[i] for i in same])) @ centroids.T
-                nearest = np.argmax(cosines, axis=1)
-                near = cosines.max(axis=1, keepdims=True) - cosines <= width[nearest]
-                for i, best, visits in zip(same, nearest.tolist(), near):
-                    homes[i], cells[i] = best, np.flatnonzero(visits).tolist()
+            lists = batch.column("v")
+            lengths = lists.value_lengths().to_numpy(zero_copy_only=False)
+            homes, counts = -lengths.astype(np.int32), np.ones(len(lengths), np.int64)
+            divided = batch.column("divided").to_numpy(zero_copy_only=False).astype(bool)
+            same, visited = np.flatnonzero(divided & (lengths == centroids.shape[1])), []
+            for low in range(0, len(same), STRIP):
+                part = same[low:low + STRIP]
+                values = lists.take(pa.array(part)).flatten().to_numpy(zero_copy_only=False)
+                homes[part], visits = near(values.reshape(len(part), -1))
+                counts[part] = visits.sum(axis=1)
+                visited.append(np.nonzero(visits)[1])
+            cells = np.repeat(homes, counts)
+            if visited:
+                inside = np.zeros(len(counts), bool)
+                inside[same] = True
+                cells[np.repeat(inside, counts)] = np.concatenate(visited)
+            offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([
                 batch.column("rep"), batch.column("copies"), batch.column("label").cast("string"),
-                batch.column("v"), pa.array(homes, pa.int32()), pa.array(cells, pa.list_(pa.int32())),
+                lists, pa.array(homes, pa.int32()),
+                pa.ListArray.from_arrays(pa.array(offsets), pa.array(cells, pa.int32())),
             ], names=["rep", "copies", "label", "v", "home", "cells"])
     return assign
 
 
 def block_links(table: pa.Table, threshold: float) -> pa.Table:
-    """Links between block i and block j of one cell and label.
+    """Links between block i, whose vectors are at home, and block j of one cell and label.
 
     A pair counts in a cell that is home to one of the two; when both visit the other's home, in
     the smaller of these cells only.
@@ -171,28 +204,36 @@ def block_links(table: pa.Table, threshold: float) -> pa.Table:
     own = table.column("own").to_numpy()
     ids, copies = table.column("rep").to_numpy(), table.column("copies").to_numpy()
     home = table.column("home").to_numpy()
-    lists = table.column("v").combine_chunks()
-    points = unit(lists.flatten().to_numpy().reshape(len(ids), -1))
-    cells = table.column("cells").combine_chunks()
-    visits = np.repeat(np.arange(len(ids)), np.diff(cells.offsets.to_numpy()))
-    names = np.unique(np.concatenate([cells.flatten().to_numpy(), home]))
-    member = np.zeros((len(ids), len(names)), bool)
-    member[visits, np.searchsorted(names, cells.flatten().to_numpy())] = True
-    column = np.searchsorted(names, home)
+    points = unit(table.column("v").combine_chunks().flatten().to_numpy().reshape(len(ids), -1))
     a = np.flatnonzero(own == i)
     b = a if i == j else np.flatnonzero(own == j)
-    here_a, here_b = home[a] == cell, home[b] == cell
-    links = points[a] @ points[b].T >= threshold
-    links &= here_a[:, None] | here_b[None, :]
-    links &= ~(here_a[:, None] & (home[b] < cell)[None, :] & member[np.ix_(a, column[b])])
-    links &= ~(here_b[None, :] & (home[a] < cell)[:, None] & member[np.ix_(b, column[a])].T)
-    if i == j:
-        np.fill_diagonal(links, False)
-    count = np.zeros(len(ids), np.int64)
-    count[a] += links @ copies[b]
-    if i != j:
-        count[b] += links.T @ copies[a]
-    x, y = np.nonzero(links)
-    root = roots(ids, a[x], b[y])
+    elsewhere = places(table.column("cells").combine_chunks(), home)
+    count, xs, ys = np.zeros(len(ids), np.int64), [], []
+    for low in range(0, len(a), STRIP):
+        ahead = b[low:] if i == j else b
+        x, y = np.nonzero(points[a[low:low + STRIP]] @ points[ahead].T >= threshold)
+        x, y = a[low + x], ahead[y]
+        if i == j:
+            once = x < y
+        else:
+            once = (home[y] >= cell) | ~elsewhere(x, home[y])
+        x, y = x[once], y[once]
+        np.add.at(count, x, copies[y])
+        np.add.at(count, y, copies[x])
+        # The strip's links as stars, of at most one link per vector.
+        star = roots(np.arange(len(ids)), x, y) if len(x) else np.arange(len(ids))
+        xs.append(np.flatnonzero(star != np.arange(len(ids))))
+        ys.append(star[xs[-1]])
     linked = count > 0
+    root = roots(ids, np.concatenate(xs), np.concatenate(ys)) if linked.any() else ids
     return pa.table({"rep": ids[linked], "root": root[linked], "links": count[linked]})
+
+
+def places(cells: pa.ListArray, home: np.ndarray):
+    """Whether rows visit given cells, as a function; a row without a list visits none."""
+    lengths = cells.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    flat, rows = cells.flatten().to_numpy(), np.repeat(np.arange(len(lengths)), lengths)
+    least = min(home.min(), flat.min())
+    span = max(home.max(), flat.max()) - least + 1
+    visited = rows * span + (flat - least)
+    return lambda row, cell: np.isin(row * span + (cell - least), visited)

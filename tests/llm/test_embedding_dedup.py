@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from coldloop.llm import embedding_dedup
@@ -77,3 +78,50 @@ def test_null_and_repeated_ids(spark):
     assert got == sorted([(1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False),
                           (None, 0, None, True)], key=str)
     assert embedding_dedup.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_labels_that_fit_a_cell_are_not_divided(spark, documents, monkeypatch):
+    """Ten labels of 30 vectors are more than a cell together, and none is alone."""
+    def learn(*_):
+        raise AssertionError("no label needs centroids")
+    monkeypatch.setattr(embedding_dedup, "CELL_SIZE", 60)
+    monkeypatch.setattr(embedding_dedup, "spherical_kmeans", learn)
+    rows = [(i, v, i % 10) for i, v, _ in vectors(300, seed=3)]
+    folder = documents(rows, "vec_id long, embedding array<float>, label int", "embeddings")
+    got = QUERIES["op10_embedding_dedup"](spark, folder).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == brute(rows)
+
+
+@pytest.mark.parametrize("block", [1_024, 7])
+def test_divided_and_whole_labels_together(spark, documents, monkeypatch, block):
+    """One label in several cells with visitors, others whole, vectors of three lengths."""
+    monkeypatch.setattr(embedding_dedup, "BLOCK", block)
+    monkeypatch.setattr(embedding_dedup, "CELL_SIZE", 20)
+    rows = [(i, v, max(0, i % 8 - 4)) for i, v, _ in vectors(180, seed=4)]
+    rows += [(400 + i, v[:5], 0) for i, v, _ in vectors(40, seed=5)] + ODD
+    folder = documents(rows, "vec_id long, embedding array<float>, label int", "embeddings")
+    got = QUERIES["op10_embedding_dedup"](spark, folder).collect()
+    want = brute(rows)
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == want
+    assert sum(n for n, _ in want.values()) > 100
+
+
+def test_strips_of_a_block(monkeypatch):
+    """Strips of any length give the same links; what the smaller home has is left out."""
+    points = [v for _, v, _ in vectors(96, seed=6)]
+    own = [k // 12 % 2 for k in range(96)]
+    home = [k % 5 if guest else 2 for k, guest in enumerate(own)]
+    cells = [None if guest else [2, k % 3] for k, guest in enumerate(own)]
+    table = pa.table({
+        "cell": [2] * 96, "i": [0] * 96, "j": [1] * 96, "rep": range(96), "copies": [1, 2] * 48,
+        "own": own, "home": home, "cells": cells, "v": points})
+    found = []
+    for strip in (1_000, 5):
+        monkeypatch.setattr(embedding_dedup, "STRIP", strip)
+        found.append(embedding_dedup.block_links(table, 0.8))
+    unit = np.array(points) / np.linalg.norm(points, axis=1, keepdims=True)
+    pairs = [(x, y) for x in range(96) for y in range(96) if not own[x] and own[y]
+             and unit[x] @ unit[y] >= 0.8 and not (home[y] < 2 and home[y] in cells[x])]
+    assert len(pairs) > 20 and found[0].equals(found[1])
+    assert sum(found[0]["links"].to_pylist()) == sum(
+        [1, 2][x % 2] + [1, 2][y % 2] for x, y in pairs)
