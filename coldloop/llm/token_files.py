@@ -28,6 +28,10 @@ from coldloop.llm.text import file_system, quiet_tokenizers, ragged, slices, wor
 PART = "part int, docs long, without_id long, ids long"
 #: Distinct words whose ids a Python worker keeps, and new ones that are encoded as one text.
 CACHED_WORDS, RUNS = 60_000, 5_000
+#: Text bytes encoded at once (a worker takes some thirty bytes for each), and how large a batch
+#: the executor hands to a worker: it holds buffers of up to twice that besides its heap.
+SLICE, BATCH = 1 << 20, "4m"
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 @dataclass(frozen=True)
@@ -155,7 +159,8 @@ def write_tokens(docs: DataFrame, root: str, tokenizer_path: str, end_id: int,
     Documents are dealt by ranges of their id, so the order of parts is the order of ids.
     Equal ids stay together, ordered by text; rows without an id come first. A part is written
     under another name and renamed when whole, so repeated or parallel attempts are harmless.
-    The driver sees one row per part. An empty table gives a store without parts.
+    The driver sees one row per part. An empty table gives a store without parts. The session's
+    limit on bytes per Arrow batch is lowered while the files are written.
     """
     quiet_tokenizers()
     from tokenizers import Tokenizer
@@ -165,8 +170,14 @@ def write_tokens(docs: DataFrame, root: str, tokenizer_path: str, end_id: int,
         docs.select(F.col(id_column).cast("long").alias("doc_id"),
                     F.coalesce(F.col(text_column), F.lit("")).alias("text"))
         .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"))
-    written = ordered.mapInArrow(
-        _part_writer(root, width, tokenizer_path, end_id), PART).collect()
+    conf = docs.sparkSession.conf
+    before = conf.get(BATCH_SETTING)
+    conf.set(BATCH_SETTING, BATCH)
+    try:
+        written = ordered.mapInArrow(
+            _part_writer(root, width, tokenizer_path, end_id), PART).collect()
+    finally:
+        conf.set(BATCH_SETTING, before)
     parts, base = [], 0
     for row in sorted(written):
         parts.append((*row, base))
@@ -183,7 +194,7 @@ def _part_writer(root: str, width: int, tokenizer_path: str, end_id: int) -> Cal
         out = {kind: fs.open_output_stream(name) for kind, name in names.items()}
         docs = without_id = ids = 0
         out["offsets"].write(np.zeros(1, "<i8").tobytes())
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             found, each = word_encoder(tokenizer_path).encode(
                 batch.column("text"), end_id)
             out["ids"].write(found.astype(f"<u{width}").tobytes())

@@ -60,3 +60,41 @@ def test_empty_table(spark, tmp_path):
     docs = spark.createDataFrame([], "doc_id long, text string")
     store = token_files.write_tokens(docs, f"{tmp_path}/none", PATH, END_ID)
     assert store.parts == () and token_files.read_tokens(spark, store).count() == 0
+
+
+def test_long_texts_reach_the_encoder_in_small_batches(spark, tmp_path, monkeypatch):
+    """Texts of over 10 MB in one partition came as one batch, and were encoded 4 MB at a time."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice(["alpha", "beta", f"w{i}", "Gamma,"], 2_000)) for i in range(1_000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    seen, cut = tmp_path / "seen", token_files.slices
+
+    def watched(batches, *how):
+        def noted(some, kind):
+            for batch in some:
+                with seen.open("a") as out:
+                    print(kind, batch.column("text").nbytes, file=out)
+                yield batch
+        yield from noted(cut(noted(batches, "batch"), *how), "slice")
+
+    limit = spark.conf.get(token_files.BATCH_SETTING)
+    monkeypatch.setattr(token_files, "slices", watched)
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 1)
+    try:
+        store = token_files.write_tokens(docs, f"{tmp_path}/store", PATH, END_ID)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    sizes = {"batch": [], "slice": []}
+    for line in seen.read_text().splitlines():
+        kind, size = line.split()
+        sizes[kind].append(int(size))
+    total = sum(map(len, texts))
+    assert total > 10 << 20 and sum(sizes["batch"]) >= total
+    assert max(sizes["batch"]) < 5 << 20 and max(sizes["slice"]) < 3 << 19
+    assert spark.conf.get(token_files.BATCH_SETTING) == limit
+    got = token_files.read_tokens(spark, store).orderBy("start").collect()
+    assert [r.doc_id for r in got] == list(range(1_000))
+    for row in got[::97]:
+        ids = whole(texts[row.doc_id])
+        assert (row.n_tokens, row.ids_crc32) == (len(ids), zlib.crc32(ids.tobytes()))
