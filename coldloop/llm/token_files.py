@@ -23,14 +23,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coldloop.llm.text import file_system, quiet_tokenizers, ragged, slices, words
+from coldloop.llm.text import SLICE_BYTES, file_system, quiet_tokenizers, ragged, slices, words
 
 PART = "part int, docs long, without_id long, ids long"
 #: Distinct words whose ids a Python worker keeps, and new ones that are encoded as one text.
 CACHED_WORDS, RUNS = 60_000, 5_000
-#: Text bytes encoded at once (a worker takes some thirty bytes for each), and how large a batch
-#: the executor hands to a worker: it holds buffers of up to twice that besides its heap.
-SLICE, BATCH = 1 << 20, "4m"
+#: How large a batch the executor hands to a worker: it holds buffers of up to twice that besides
+#: its heap.
+BATCH = "4m"
 BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -153,14 +153,16 @@ def word_encoder(path: str) -> WordEncoder:
 
 
 def write_tokens(docs: DataFrame, root: str, tokenizer_path: str, end_id: int,
-                 id_column: str = "doc_id", text_column: str = "text") -> TokenStore:
+                 id_column: str = "doc_id", text_column: str = "text",
+                 slice_bytes: int = SLICE_BYTES) -> TokenStore:
     """Encode every text (null: empty) and write the ids in ascending document order.
 
     Documents are dealt by ranges of their id, so the order of parts is the order of ids.
     Equal ids stay together, ordered by text; rows without an id come first. A part is written
     under another name and renamed when whole, so repeated or parallel attempts are harmless.
     The driver sees one row per part. An empty table gives a store without parts. The session's
-    limit on bytes per Arrow batch is lowered while the files are written.
+    limit on bytes per Arrow batch is lowered while the files are written. ``slice_bytes`` of text are
+    encoded at once; a worker takes some thirty bytes for each, and small slices more time.
     """
     quiet_tokenizers()
     from tokenizers import Tokenizer
@@ -175,7 +177,7 @@ def write_tokens(docs: DataFrame, root: str, tokenizer_path: str, end_id: int,
     conf.set(BATCH_SETTING, BATCH)
     try:
         written = ordered.mapInArrow(
-            _part_writer(root, width, tokenizer_path, end_id), PART).collect()
+            _part_writer(root, width, tokenizer_path, end_id, slice_bytes), PART).collect()
     finally:
         conf.set(BATCH_SETTING, before)
     parts, base = [], 0
@@ -185,7 +187,8 @@ def write_tokens(docs: DataFrame, root: str, tokenizer_path: str, end_id: int,
     return TokenStore(root, width, tuple(parts))
 
 
-def _part_writer(root: str, width: int, tokenizer_path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _part_writer(root: str, width: int, tokenizer_path: str, end_id: int,
+                 slice_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, (fs, folder) = TaskContext.get().partitionId(), file_system(root)
         fs.create_dir(folder, recursive=True)
@@ -194,7 +197,7 @@ def _part_writer(root: str, width: int, tokenizer_path: str, end_id: int) -> Cal
         out = {kind: fs.open_output_stream(name) for kind, name in names.items()}
         docs = without_id = ids = 0
         out["offsets"].write(np.zeros(1, "<i8").tobytes())
-        for batch in slices(batches, "text", SLICE):
+        for batch in slices(batches, "text", slice_bytes):
             found, each = word_encoder(tokenizer_path).encode(
                 batch.column("text"), end_id)
             out["ids"].write(found.astype(f"<u{width}").tobytes())

@@ -7,6 +7,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from coldloop.llm import token_files
 from coldloop.llm.queries import END_ID, QUERIES
 from tests.llm import corpus
@@ -82,7 +83,8 @@ def test_long_texts_reach_the_encoder_in_small_batches(spark, tmp_path, monkeypa
     partitions = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", 1)
     try:
-        store = token_files.write_tokens(docs, f"{tmp_path}/store", PATH, END_ID)
+        store = token_files.write_tokens(docs, f"{tmp_path}/store", PATH, END_ID,
+                                         slice_bytes=corpus_pipeline.ENCODED_SLICE)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", partitions)
     sizes = {"batch": [], "slice": []}
