@@ -28,9 +28,6 @@ from coldloop.llm.text import SLICE_BYTES, file_system, quiet_tokenizers, ragged
 PART = "part int, docs long, without_id long, ids long"
 #: Distinct words whose ids a Python worker keeps, and new ones that are encoded as one text.
 CACHED_WORDS, RUNS = 60_000, 5_000
-#: How large a batch the executor hands to a worker: it holds buffers of up to twice that besides
-#: its heap.
-BATCH = "4m"
 BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -154,15 +151,16 @@ def word_encoder(path: str) -> WordEncoder:
 
 def write_tokens(docs: DataFrame, root: str, tokenizer_path: str, end_id: int,
                  id_column: str = "doc_id", text_column: str = "text",
-                 slice_bytes: int = SLICE_BYTES) -> TokenStore:
+                 slice_bytes: int = SLICE_BYTES, batch_bytes: int | None = None) -> TokenStore:
     """Encode every text (null: empty) and write the ids in ascending document order.
 
     Documents are dealt by ranges of their id, so the order of parts is the order of ids.
     Equal ids stay together, ordered by text; rows without an id come first. A part is written
     under another name and renamed when whole, so repeated or parallel attempts are harmless.
-    The driver sees one row per part. An empty table gives a store without parts. The session's
-    limit on bytes per Arrow batch is lowered while the files are written. ``slice_bytes`` of text are
-    encoded at once; a worker takes some thirty bytes for each, and small slices more time.
+    The driver sees one row per part. An empty table gives a store without parts. ``slice_bytes`` of
+    text are encoded at once; a worker takes some thirty bytes for each, and small slices more time.
+    ``batch_bytes``, if given, is the session's limit on bytes per Arrow batch while the files are
+    written; an executor holds buffers of up to twice that besides its heap.
     """
     quiet_tokenizers()
     from tokenizers import Tokenizer
@@ -174,7 +172,8 @@ def write_tokens(docs: DataFrame, root: str, tokenizer_path: str, end_id: int,
         .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"))
     conf = docs.sparkSession.conf
     before = conf.get(BATCH_SETTING)
-    conf.set(BATCH_SETTING, BATCH)
+    if batch_bytes is not None:
+        conf.set(BATCH_SETTING, f"{batch_bytes}b")
     try:
         written = ordered.mapInArrow(
             _part_writer(root, width, tokenizer_path, end_id, slice_bytes), PART).collect()

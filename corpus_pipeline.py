@@ -23,8 +23,9 @@ from coldloop.session import scratch_path
 LEAST_SCORE, LEAST_LETTERS = 0.3, 40
 #: Near copies: words per shingle and least Jaccard similarity in hundredths. ``op8`` has its own.
 NEAR_SHINGLE, NEAR_PERCENT = 5, 80
-#: Text bytes encoded at once. The stages before leave executors with a full heap, so workers take less.
-ENCODED_SLICE = 1 << 20
+#: Text bytes encoded at once and handed to a worker at once. The stages before leave executors with
+#: a full heap, so token files take less besides it.
+ENCODED_SLICE, ENCODED_BATCH = 1 << 20, 4 << 20
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -81,7 +82,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files of the mix; one row per document written, as read back from the files."""
     store = token_files.write_tokens(docs, scratch_path(spark, "tokens"),
                                      public_tokenizers.path("word_bpe_49k.json"), END_ID,
-                                     slice_bytes=ENCODED_SLICE)
+                                     slice_bytes=ENCODED_SLICE, batch_bytes=ENCODED_BATCH)
     return token_files.read_tokens(spark, store)
 
 

@@ -84,7 +84,8 @@ def test_long_texts_reach_the_encoder_in_small_batches(spark, tmp_path, monkeypa
     spark.conf.set("spark.sql.shuffle.partitions", 1)
     try:
         store = token_files.write_tokens(docs, f"{tmp_path}/store", PATH, END_ID,
-                                         slice_bytes=corpus_pipeline.ENCODED_SLICE)
+                                         slice_bytes=corpus_pipeline.ENCODED_SLICE,
+                                         batch_bytes=corpus_pipeline.ENCODED_BATCH)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", partitions)
     sizes = {"batch": [], "slice": []}
