@@ -23,11 +23,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coldloop.llm.text import SLICE_BYTES, file_system, quiet_tokenizers, ragged, slices, words
+from coldloop.llm.text import SLICE_BYTES, file_system, quiet_tokenizers, slices, words
 
 PART = "part int, docs long, without_id long, ids long"
-#: Distinct words whose ids a Python worker keeps, and new ones that are encoded as one text.
-CACHED_WORDS, RUNS = 60_000, 5_000
+#: Pieces whose ids a Python worker keeps, bytes of the longest one, and new ones encoded as one text.
+CACHED_WORDS, LONGEST, RUNS = 400_000, 64, 5_000
+#: Pieces that are one word to a tokenizer, with one closing id.
+LETTERS = r"^[a-zß-öø-ÿ]+$"
 BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -49,7 +51,8 @@ class WordEncoder:
 
     Exact for byte-level BPE with word ends that drops white space, folds case and puts letters
     and punctuation into separate pieces. Words are folded and parted from closing punctuation
-    as arrays; only what is new after that is encoded. Ids of pieces are kept, up to a bound.
+    as arrays; only what is new after that is encoded. Pieces and their ids are kept as arrays
+    too, up to a bound; the half asked for last stays.
     """
 
     def __init__(self, path: str) -> None:
@@ -57,75 +60,106 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        #: Ids of pieces met in several slices, and of those met since the last clearing.
-        self.known: dict[str, bytes] = {}
-        self.recent: dict[str, bytes] = {}
-
-    def _together(self, pieces: list[str]) -> list[bytes]:
+        self.dtype = f"<u{id_width(self.tokenizer)}"
+        vocabulary = self.tokenizer.get_vocab()
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        #: By id: whether it closes a word.
+        self.closing = np.zeros(max(vocabulary.values(), default=-1) + 1, bool)
+        if suffix:
+            self.closing[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        #: Pieces met, their ids as bytes, and the call that last asked for each.
+        self.pieces, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+        self.used, self.calls = np.zeros(0, np.int64), 0
+
+    def _packed(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """One binary value per piece: ``ids`` up to each of ``ends``."""
+        offsets = np.append(0, ends).astype(np.int64) * ids.itemsize
+        return pa.Array.from_buffers(
+            pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
+
+    def _together(self, pieces: list[str]) -> pa.Array:
         """Ids of pieces, encoded as one text and told apart by where they start in it."""
         found = self.tokenizer.encode(" ".join(pieces), add_special_tokens=False)
-        ids = np.array(found.ids, "<u4")
-        at = np.fromiter((start for start, _ in found.offsets), np.int64, len(ids))
+        at = np.fromiter((start for start, _ in found.offsets), np.int64, len(found.ids))
         ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)) + 1)
-        raw, cuts = ids.tobytes(), [0, *(np.searchsorted(at, ends) * 4).tolist()]
-        return [raw[i:j] for i, j in zip(cuts, cuts[1:])]
+        return self._packed(np.array(found.ids, self.dtype), np.searchsorted(at, ends))
+
+    def _letters(self, pieces: pa.Array) -> pa.Array:
+        """Ids of pieces of letters, encoded as one text: each ends with the id that closes a word."""
+        text = " ".join(pieces.to_pylist())
+        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        ids = np.array(found, self.dtype)
+        ends = np.flatnonzero(self.closing[ids]) + 1
+        return self._packed(ids, ends) if len(ends) == len(pieces) else self._together(text.split(" "))
 
-    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
+    def _learn(self, pieces: pa.Array) -> pa.Array:
         """Ids of new pieces: those within Latin-1 many at a time, others each on its own."""
-        learned = {}
-        plain = [p for p in pieces if p and (p.isascii() or max(p) <= "\xff") and "<|" not in p]
-        for at in range(0, len(plain), RUNS):
-            some = plain[at: at + RUNS]
-            learned.update(zip(some, self._together(some)))
-        for piece in pieces:
-            if piece not in learned:
-                ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-                learned[piece] = array("I", ids).tobytes()
-        return learned
-
-    def _ids(self, pieces: list[str]) -> list[bytes]:
-        """The ids of each piece, as bytes."""
-        if len(self.recent) > 2 * CACHED_WORDS:
-            self.recent = {}
-        if len(self.known) > CACHED_WORDS:
-            self.known = {}
-        known, recent = self.known, self.recent
-        found = list(map(known.get, pieces))
-        new = []
-        for at, ids in enumerate(found):
-            if ids is None:
-                piece = pieces[at]
-                ids = recent.pop(piece, None)
-                if ids is None:
-                    new.append(at)
-                else:
-                    found[at] = known[piece] = ids
-        learned = self._learn([pieces[at] for at in new])
-        recent.update(learned)
-        for at in new:
-            found[at] = learned[pieces[at]]
-        return found
+        letters = pc.match_substring_regex(pieces, LETTERS).to_numpy(zero_copy_only=False)
+        alone = pc.or_(foreign(pieces), pc.equal(pieces, "")).to_numpy(zero_copy_only=False)
+        kinds = [np.flatnonzero(x) for x in (letters, ~letters & ~alone, alone)]
+        encoded = [pa.array([], pa.large_binary())]
+        for at in range(0, len(kinds[0]), RUNS):
+            encoded.append(self._letters(pieces.take(pa.array(kinds[0][at: at + RUNS]))))
+        for at in range(0, len(kinds[1]), RUNS):
+            encoded.append(self._together(pieces.take(pa.array(kinds[1][at: at + RUNS])).to_pylist()))
+        encoded.append(pa.array(
+            [np.array(self.tokenizer.encode(x, add_special_tokens=False).ids, self.dtype).tobytes()
+             for x in pieces.take(pa.array(kinds[2])).to_pylist()], pa.large_binary()))
+        return pa.concat_arrays(encoded).take(pa.array(np.argsort(np.concatenate(kinds))))
+
+    def _ids(self, pieces: pa.Array) -> pa.Array:
+        """The ids of each of some distinct pieces, as bytes."""
+        self.calls += 1
+        # The kept pieces are looked up among the asked ones: fewer of those go into a hash table.
+        found = pc.index_in(self.pieces, value_set=pieces)
+        kept = np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False))
+        self.used[kept] = self.calls
+        at = np.full(len(pieces), -1)
+        at[found.drop_null().to_numpy()] = kept
+        new = np.flatnonzero(at < 0)
+        at[new] = len(self.pieces) + np.arange(len(new))
+        asked = pieces.take(pa.array(new))
+        learned = self._learn(asked)
+        ids = pa.concat_arrays([self.ids, learned])
+        short = pc.less_equal(pc.binary_length(asked), LONGEST)
+        asked, learned = asked.filter(short), learned.filter(short)
+        self.pieces = pa.concat_arrays([self.pieces, asked])
+        self.ids = pa.concat_arrays([self.ids, learned])
+        self.used = np.append(self.used, np.full(len(asked), self.calls))
+        if len(self.used) > CACHED_WORDS:
+            stay = np.sort(np.argsort(-self.used, kind="stable")[:CACHED_WORDS // 2])
+            self.pieces, self.ids = self.pieces.take(pa.array(stay)), self.ids.take(pa.array(stay))
+            self.used = self.used[stay]
+        return ids.take(pa.array(at))
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each closed by ``end_id``, and the number of ids of each text."""
+        if not len(texts):
+            return np.zeros(0, self.dtype), np.zeros(0, np.int64)
         bounds, codes, distinct = words(texts)
-        stems, tails = (x.dictionary_encode() for x in folded(distinct))
-        known = [*self._ids(stems.dictionary.to_pylist()), *self._ids(tails.dictionary.to_pylist()),
-                 np.uint32(end_id).tobytes(), b""]
-        # A slice has less than 2**31 bytes of text, and no more ids than bytes and documents.
-        lengths = np.fromiter(map(len, known), np.int32, len(known)) // 4
-        table = np.frombuffer(b"".join(known), np.uint32)
-        starts = np.cumsum(lengths) - lengths
-        # Two pieces per word, and one more word, the end, after the words of each text.
-        first = np.append(stems.indices.to_numpy(), np.int32(len(known) - 2))
-        second = np.append(tails.indices.to_numpy() + len(stems.dictionary), np.int32(len(known) - 1))
-        with_end = np.insert(codes, bounds[1:], len(distinct))
-        pieces = np.stack([first[with_end], second[with_end]], axis=1).ravel()
-        each = lengths[pieces]
-        sums = np.cumsum(each, dtype=np.int64)
-        ends = sums[2 * (bounds[1:] + np.arange(1, len(bounds))) - 1]
-        del sums
-        return table[ragged(starts[pieces], each, np.int32)], np.diff(ends, prepend=0)
+        both = pa.concat_arrays(folded(distinct.cast(pa.large_string()))).dictionary_encode()
+        known = self._ids(both.dictionary).take(both.indices)
+        stems, tails = known[:len(distinct)], known[len(distinct):]
+        ids = pa.concat_arrays([
+            pc.binary_join_element_wise(stems, tails, pa.scalar(b"", pa.large_binary())),
+            pa.array([np.array(end_id, self.dtype).tobytes()], pa.large_binary())])
+        # One more word, the end, after the words of each text.
+        all_ids = ids.take(pa.array(np.insert(codes, bounds[1:], len(distinct))))
+        _, offsets, flat = all_ids.buffers()
+        ends = np.frombuffer(offsets, np.int64)[bounds[1:] + np.arange(1, len(bounds))]
+        ends = ends // np.dtype(self.dtype).itemsize
+        return np.frombuffer(flat, self.dtype, ends[-1]), np.diff(ends, prepend=0)
+
+
+def id_width(tokenizer) -> int:
+    """Bytes per id."""
+    return 2 if tokenizer.get_vocab_size() <= 1 << 16 else 4
+
+
+def foreign(pieces: pa.Array) -> pa.Array:
+    """Whether pieces are the tokenizer's own affair: with an added token's ``<|`` or beyond Latin-1."""
+    return pc.or_(pc.invert(pc.match_substring_regex(pieces, r"^[\x{0}-\x{FF}]*$")),
+                  pc.match_substring(pieces, "<|"))
 
 
 def folded(distinct: pa.Array) -> tuple[pa.Array, pa.Array]:
@@ -134,8 +168,7 @@ def folded(distinct: pa.Array) -> tuple[pa.Array, pa.Array]:
     Other words stay whole: those with an added token's ``<|`` and those beyond Latin-1, whose
     case and composition rules are the tokenizer's own.
     """
-    own = pc.or_(pc.invert(pc.match_substring_regex(distinct, r"^[\x{0}-\x{FF}]*$")),
-                 pc.match_substring(distinct, "<|"))
+    own = foreign(distinct)
     lower = pc.if_else(own, distinct, pc.utf8_lower(distinct))
     apart = pc.and_(pc.invert(own), pc.match_substring_regex(lower, r"[0-9a-zß-öø-ÿ][.,!?;:]+$"))
     stem = pc.if_else(apart, pc.utf8_rtrim(lower, ".,!?;:"), lower)
@@ -165,7 +198,7 @@ def write_tokens(docs: DataFrame, root: str, tokenizer_path: str, end_id: int,
     quiet_tokenizers()
     from tokenizers import Tokenizer
 
-    width = 2 if Tokenizer.from_file(tokenizer_path).get_vocab_size() <= 1 << 16 else 4
+    width = id_width(Tokenizer.from_file(tokenizer_path))
     ordered = (
         docs.select(F.col(id_column).cast("long").alias("doc_id"),
                     F.coalesce(F.col(text_column), F.lit("")).alias("text"))
@@ -199,7 +232,7 @@ def _part_writer(root: str, width: int, tokenizer_path: str, end_id: int,
         for batch in slices(batches, "text", slice_bytes):
             found, each = word_encoder(tokenizer_path).encode(
                 batch.column("text"), end_id)
-            out["ids"].write(found.astype(f"<u{width}").tobytes())
+            out["ids"].write(found.astype(f"<u{width}", copy=False).tobytes())
             out["offsets"].write((ids + np.cumsum(each)).astype("<i8").tobytes())
             keys = batch.column("doc_id")
             out["docs"].write(keys.fill_null(0).to_numpy().astype("<i8").tobytes())

@@ -5,6 +5,8 @@ from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -101,3 +103,60 @@ def test_long_texts_reach_the_encoder_in_small_batches(spark, tmp_path, monkeypa
     for row in got[::97]:
         ids = whole(texts[row.doc_id])
         assert (row.n_tokens, row.ids_crc32) == (len(ids), zlib.crc32(ids.tobytes()))
+
+
+class Counted:
+    """A tokenizer that counts the words it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.words = tokenizer, 0
+
+    def encode(self, text, **how):
+        self.words += len(text.split())
+        return self.tokenizer.encode(text, **how)
+
+    def encode_batch_fast(self, texts, **how):
+        self.words += sum(len(text.split()) for text in texts)
+        return self.tokenizer.encode_batch_fast(texts, **how)
+
+
+def letters(n):
+    """``n`` distinct words."""
+    return ["".join(chr(97 + n // 26 ** k % 26) for k in range(5)) for n in range(n)]
+
+
+def test_pieces_are_encoded_once_while_they_are_kept():
+    """Over 120,000 pieces were forgotten before the next slice and encoded again."""
+    encoder = token_files.WordEncoder(PATH)
+    encoder.tokenizer = counted = Counted(encoder.tokenizer)
+    text = " ".join(letters(150_000))
+    first, each = encoder.encode(pa.array([text, "aaaaa"]), END_ID)
+    assert each.tolist() == [len(whole(text)), len(whole("aaaaa"))]
+    assert first.tolist() == [*whole(text).tolist(), *whole("aaaaa").tolist()]
+    before = counted.words
+    again, _ = encoder.encode(pa.array([text.title(), "aaaaa."]), END_ID)
+    assert counted.words - before <= 1  # the full stop
+    assert again.tolist() == [*whole(text).tolist(), *whole("aaaaa.").tolist()]
+
+
+@pytest.mark.parametrize("kept", [0, 3, 1_000])
+def test_kept_pieces_are_bounded_and_ids_stay_right(monkeypatch, kept):
+    monkeypatch.setattr(token_files, "CACHED_WORDS", kept)
+    encoder = token_files.WordEncoder(PATH)
+    long = "ab" * token_files.LONGEST
+    for texts in (TEXTS, TEXTS[::-1], [None, "", "\xa0", " \xa0 \x85x"], [long, None, f"{long}, {long}"],
+                  [" ".join(letters(900)), "Aaaaa"], TEXTS):
+        ids, each = encoder.encode(pa.array(texts, pa.string()), END_ID)
+        expected = [whole(text) for text in texts]
+        assert each.tolist() == [len(x) for x in expected]
+        assert ids.tolist() == np.concatenate(expected).tolist()
+        assert len(encoder.pieces) == len(encoder.ids) == len(encoder.used) <= kept
+        assert long not in encoder.pieces.to_pylist()
+
+
+def test_words_without_a_closing_id_are_told_apart_by_offsets():
+    encoder = token_files.WordEncoder(PATH)
+    encoder.closing[:] = False
+    ids, each = encoder.encode(pa.array(TEXTS), END_ID)
+    assert each.tolist() == [len(whole(text)) for text in TEXTS]
+    assert ids.tolist() == np.concatenate([whole(text) for text in TEXTS]).tolist()
