@@ -28,6 +28,8 @@ from coldloop.llm.text import SLICE_BYTES, file_system, quiet_tokenizers, slices
 PART = "part int, docs long, without_id long, ids long"
 #: Pieces whose ids a Python worker keeps, bytes of the longest one, and new ones encoded as one text.
 CACHED_WORDS, LONGEST, RUNS = 400_000, 64, 5_000
+#: Bytes of a slice for each kept piece: who asks for small slices has little memory.
+PER_PIECE = 10
 #: Pieces that are one word to a tokenizer, with one closing id.
 LETTERS = r"^[a-zß-öø-ÿ]+$"
 BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -107,8 +109,8 @@ class WordEncoder:
              for x in pieces.take(pa.array(kinds[2])).to_pylist()], pa.large_binary()))
         return pa.concat_arrays(encoded).take(pa.array(np.argsort(np.concatenate(kinds))))
 
-    def _ids(self, pieces: pa.Array) -> pa.Array:
-        """The ids of each of some distinct pieces, as bytes."""
+    def _ids(self, pieces: pa.Array, bound: int) -> pa.Array:
+        """The ids of each of some distinct pieces, as bytes; ``bound`` pieces are kept at most."""
         self.calls += 1
         # The kept pieces are looked up among the asked ones: fewer of those go into a hash table.
         found = pc.index_in(self.pieces, value_set=pieces)
@@ -126,19 +128,20 @@ class WordEncoder:
         self.pieces = pa.concat_arrays([self.pieces, asked])
         self.ids = pa.concat_arrays([self.ids, learned])
         self.used = np.append(self.used, np.full(len(asked), self.calls))
-        if len(self.used) > CACHED_WORDS:
-            stay = np.sort(np.argsort(-self.used, kind="stable")[:CACHED_WORDS // 2])
+        if len(self.used) > bound:
+            stay = np.sort(np.argsort(-self.used, kind="stable")[:bound // 2])
             self.pieces, self.ids = self.pieces.take(pa.array(stay)), self.ids.take(pa.array(stay))
             self.used = self.used[stay]
         return ids.take(pa.array(at))
 
-    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array, end_id: int,
+               bound: int = CACHED_WORDS) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each closed by ``end_id``, and the number of ids of each text."""
         if not len(texts):
             return np.zeros(0, self.dtype), np.zeros(0, np.int64)
         bounds, codes, distinct = words(texts)
         both = pa.concat_arrays(folded(distinct.cast(pa.large_string()))).dictionary_encode()
-        known = self._ids(both.dictionary).take(both.indices)
+        known = self._ids(both.dictionary, bound).take(both.indices)
         stems, tails = known[:len(distinct)], known[len(distinct):]
         ids = pa.concat_arrays([
             pc.binary_join_element_wise(stems, tails, pa.scalar(b"", pa.large_binary())),
@@ -231,7 +234,7 @@ def _part_writer(root: str, width: int, tokenizer_path: str, end_id: int,
         out["offsets"].write(np.zeros(1, "<i8").tobytes())
         for batch in slices(batches, "text", slice_bytes):
             found, each = word_encoder(tokenizer_path).encode(
-                batch.column("text"), end_id)
+                batch.column("text"), end_id, min(CACHED_WORDS, slice_bytes // PER_PIECE))
             out["ids"].write(found.astype(f"<u{width}", copy=False).tobytes())
             out["offsets"].write((ids + np.cumsum(each)).astype("<i8").tobytes())
             keys = batch.column("doc_id")

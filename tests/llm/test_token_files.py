@@ -140,13 +140,12 @@ def test_pieces_are_encoded_once_while_they_are_kept():
 
 
 @pytest.mark.parametrize("kept", [0, 3, 1_000])
-def test_kept_pieces_are_bounded_and_ids_stay_right(monkeypatch, kept):
-    monkeypatch.setattr(token_files, "CACHED_WORDS", kept)
+def test_kept_pieces_are_bounded_and_ids_stay_right(kept):
     encoder = token_files.WordEncoder(PATH)
     long = "ab" * token_files.LONGEST
     for texts in (TEXTS, TEXTS[::-1], [None, "", "\xa0", " \xa0 \x85x"], [long, None, f"{long}, {long}"],
                   [" ".join(letters(900)), "Aaaaa"], TEXTS):
-        ids, each = encoder.encode(pa.array(texts, pa.string()), END_ID)
+        ids, each = encoder.encode(pa.array(texts, pa.string()), END_ID, kept)
         expected = [whole(text) for text in texts]
         assert each.tolist() == [len(x) for x in expected]
         assert ids.tolist() == np.concatenate(expected).tolist()
