@@ -410,7 +410,7 @@ def optimisation_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     store.create()
     for asset in (0, 1, 0):
         store.upsert(rows.where(F.col("asset_id") == asset))
-    cells.unpersist()
+    rows.unpersist()
     return edge(store.read(), "asset_id", *OPTIMISATION_COLUMNS)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from types import SimpleNamespace
 
+import duckdb
 import pytest
 from pyspark.sql import types as T
 
@@ -12,9 +13,12 @@ from coldloop.config import OPTIMISATION_SCHEMA
 from coldloop.operators.ordering import with_positions
 from coldloop.operators.registry import family_tag, lookup, registry, with_paths
 from coldloop.operators.sequences import Scaler
+from coldloop.plans import oracle
+from coldloop.plans.queries import QUERIES
 from coldloop.session import scratch_path
 from coldloop.sources.readings import with_time_features
 from coldloop.sources.results import DayCache, OptimisationStore, read_metrics, write_metrics
+from tests.compare import difference, duckdb_tables
 
 D1, D2 = dt.date(2026, 5, 1), dt.date(2026, 5, 2)
 
@@ -67,6 +71,22 @@ def test_store_create_replace_upsert_clear(spark):
     assert store.read().isEmpty()
 
 
+def test_upsert_query_stores_both_assets_and_frees_its_rows(spark, tmp_path):
+    """Four users are two assets; readings every half hour of three dates."""
+    duckdb.sql("""
+        SELECT i AS event_id, TIMESTAMP '2026-05-01' + to_minutes((i // 4) * 30) AS ts,
+               i % 4 AS user_id, CASE WHEN i % 3 = 0 THEN 'click' ELSE 'view' END AS event_type,
+               (i * 37 % 900) / 4 AS value
+        FROM range(4 * 48 * 3) r(i)""").write_parquet(str(tmp_path / "events.parquet"))
+    persisted = spark.sparkContext._jsc.getPersistentRDDs
+    before = set(persisted())
+    got = QUERIES["optimisation_upsert"](spark, str(tmp_path))
+    assert set(persisted()) <= before
+    want = duckdb_tables(str(tmp_path)).execute(oracle.oracle_sql()["optimisation_upsert"]).df()
+    assert difference(got.toPandas(), want) is None
+    assert want["asset_id"].value_counts().to_dict() == {0: 276, 1: 276}
+
+
 def test_metrics_file_loses_its_header_and_keeps_text(spark):
     path = scratch_path(spark, "metrics")
     published = spark.createDataFrame(PUBLISHED + [(None, "x", "1", "2")],
